@@ -115,6 +115,18 @@ def title_dates(date: ColumnLike) -> Column:
     return F.array(*[F.date_format(d, p) for p in patterns])
 
 
+def dates_in_title(title: ColumnLike) -> Column:
+    """Every date some spelling of which may stand in the title, one digit cut off included.
+
+    A superset for joining on the day; `title_dates` decides afterwards.
+    """
+    long = F.regexp_extract_all(col(title), F.lit(r"(?=(\d{1,2}([/-])\d{1,2}\2\d{4}))"), F.lit(1))
+    short = F.regexp_extract_all(col(title), F.lit(r"(?=(\d{1,2}([/-])\d{1,2}\2\d{2}))"), F.lit(1))
+    day = lambda x, p: F.try_to_timestamp(F.replace(x, F.lit("-"), F.lit("/")), F.lit(p)).cast("date")
+    every = F.concat(F.transform(long, lambda x: day(x, "M/d/yyyy")), F.transform(short, lambda x: day(x, "M/d/yy")))
+    return F.array_distinct(F.filter(every, lambda d: d.isNotNull()))
+
+
 # The sampling-window rule, in seconds.
 DEFAULT_WINDOW = 600
 NO_CHAPTER_WINDOW = 900

@@ -31,7 +31,7 @@ def anchored_clusters(
 ) -> DataFrame:
     """Add `anchor`, the first value of the row's cluster."""
     points = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_x")).distinct()
-    seq = Sequence(keys, ["_x"], ["_x"], target_rows)
+    seq = Sequence(keys, ["_x"], ["_x"], target_rows).sized(points)
     gaps = seq.apply(points, _prev=Prev("_x"))
     gap = F.col("_x") - F.col("_prev")
     opens = F.coalesce(gap > width if inclusive else gap >= width, F.lit(True))
@@ -39,15 +39,8 @@ def anchored_clusters(
     folded = runs.groupBy(*keys, "_run").agg(F.array_sort(F.collect_list("_x")).alias("_xs"))
     spread = folded.select(*keys, "_xs", F.explode(anchored_starts(F.col("_xs"), width, inclusive)).alias("anchor"))
     # the members of an anchor are the run's values inside its window
-    member = lambda x: (x >= F.col("anchor")) & (x - F.col("anchor") <= width if inclusive else x - F.col("anchor") < width)
-    members = spread.select(*keys, "anchor", F.explode(F.filter("_xs", member)).alias("_x"))
-    return df.join(members, (F.col(value).cast("double") == F.col("_x")) & _same(df, members, keys)).select(
-        *[df[c] for c in df.columns], members["anchor"]
+    inside = lambda x: x - F.col("anchor") <= width if inclusive else x - F.col("anchor") < width
+    members = spread.select(
+        *keys, "anchor", F.explode(F.filter("_xs", lambda x: (x >= F.col("anchor")) & inside(x))).alias("_x")
     )
-
-
-def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & (a[k] == b[k])
-    return cond
+    return df.withColumn("_x", F.col(value).cast("double")).join(members, [*keys, "_x"]).select(*df.columns, "anchor")

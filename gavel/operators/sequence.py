@@ -1,22 +1,29 @@
 """Ordered computations inside a group that stay balanced when one group is huge.
 
-A plain `Window.partitionBy(meeting)` sends a whole meeting to one task.  Here a
-group with more than `target_rows` rows is first cut into consecutive chunks; the
-window runs per chunk, a summary with one row per chunk carries state across the
-cuts, and the two are joined on the chunk.  A group below the target is a single
-chunk, so ordinary data pays for one extra aggregate only.
+A plain `Window.partitionBy(meeting)` sends a whole meeting to one task.  That is
+right while every meeting fits one, so the largest group is counted first (a
+map-side combined count).  If it is within `target_rows`, a plain window is used.
+If not, large groups are cut into consecutive chunks; the window runs per chunk, a
+summary with one row per chunk carries state across the cuts, and the two are
+joined on the chunk.  The cut rows are written to the checkpoint folder once, as
+both sides read them.
 
     seq = Sequence(keys=["meeting_id"], order=["sec", "idx"], ordinals=["sec", "idx"])
     seq.apply(df, prev=Prev("sec"), turn=Running(F.col("is_start")))
+
+`seq.sized(df)` makes the count once; the result may be applied to `df` and to
+anything that has no more rows per group than `df`.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 TARGET_ROWS = 1_000_000
 
 
@@ -30,6 +37,9 @@ class Prev:
 
     value: str | Column
 
+    def plain(self, w):
+        return F.lag(_col(self.value)).over(w)
+
     def inner(self, w):
         return F.lag(F.struct(_col(self.value).alias("v"))).over(w)
 
@@ -49,6 +59,9 @@ class Next:
 
     value: str | Column
 
+    def plain(self, w):
+        return F.lead(_col(self.value)).over(w)
+
     def inner(self, w):
         return F.lead(F.struct(_col(self.value).alias("v"))).over(w)
 
@@ -69,6 +82,9 @@ class Carry:
     value: str | Column
     before: bool = False
 
+    def plain(self, w):
+        return self.inner(w)
+
     def inner(self, w):
         last = -1 if self.before else 0
         return F.last(_col(self.value), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, last))
@@ -90,6 +106,9 @@ class Running:
 
     value: str | Column
 
+    def plain(self, w):
+        return self.inner(w)
+
     def inner(self, w):
         return F.sum(_col(self.value)).over(w.rowsBetween(Window.unboundedPreceding, 0))
 
@@ -114,6 +133,9 @@ class RunningMax:
 
     value: str | Column
 
+    def plain(self, w):
+        return self.inner(w)
+
     def inner(self, w):
         return F.max(_col(self.value)).over(w.rowsBetween(Window.unboundedPreceding, 0))
 
@@ -133,6 +155,9 @@ class First:
 
     value: str | Column
 
+    def plain(self, w):
+        return F.first(_col(self.value)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+
     def inner(self, w):
         return F.lit(None).cast("boolean")
 
@@ -152,6 +177,9 @@ class Total:
 
     value: str | Column
 
+    def plain(self, w):
+        return F.sum(_col(self.value)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+
     def inner(self, w):
         return F.lit(None).cast("boolean")
 
@@ -219,9 +247,23 @@ class Sequence:
     ordinals: list[str] = field(default_factory=list)
     target_rows: int = TARGET_ROWS
     rounds: int = 2
+    fits: bool | None = None
+
+    def sized(self, df: DataFrame) -> Sequence:
+        """This sequence with the largest group of `df` counted."""
+        largest = df.groupBy(*self.keys).count().agg(F.max("count")).first()[0] or 0
+        return replace(self, fits=largest <= self.target_rows)
 
     def apply(self, df: DataFrame, **ops) -> DataFrame:
         """Add one column per op; `df` columns are kept."""
+        fits = self.fits if self.fits is not None else self.sized(df).fits
+        return self._plain(df, ops) if fits else self._cut(df, ops)
+
+    def _plain(self, df: DataFrame, ops: dict) -> DataFrame:
+        w = Window.partitionBy(*self.keys).orderBy(*[_col(o) for o in self.order])
+        return df.select("*", *[op.plain(w).alias(n) for n, op in ops.items()])
+
+    def _cut(self, df: DataFrame, ops: dict) -> DataFrame:
         order = [_col(o) for o in self.order]
         if not self.ordinals:
             raise ValueError("ordinals are needed to cut large groups")
@@ -230,6 +272,7 @@ class Sequence:
             df = df.withColumn("_all", F.lit(0))
             keys = ["_all"]
         cut, chunks = chunked(df, keys, self.ordinals, self.target_rows, self.rounds)
+        cut = cut_lineage(cut)
         by = keys + chunks
         inner = Window.partitionBy(*by).orderBy(*order)
         across = Window.partitionBy(*keys).orderBy(*chunks)

@@ -15,6 +15,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import (
     ascii_share,
@@ -218,7 +219,7 @@ def align(captions: DataFrame, segments: DataFrame, video: str) -> DataFrame:
 # --- the older search by sequence similarity --------------------------------
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff–Obershelp similarity, for which Spark has no built-in."""
     return pd.Series(
@@ -235,7 +236,7 @@ def caption_windows(captions: DataFrame, video: str, widest: int = 5) -> DataFra
     """Runs of 1..widest consecutive captions with the start of the first."""
     from ..operators.sequence import Next, Sequence
 
-    seq = Sequence([video], ["cap_id"], ["cap_id"])
+    seq = Sequence([video], ["cap_id"], ["cap_id"]).sized(captions)
     df = captions.select(video, "cap_id", "start", "text")
     out = df.withColumn("t1", F.col("text"))
     for k in range(2, widest + 1):

@@ -10,10 +10,16 @@ from ..operators.ranges import asof_backward
 from ..operators.sequence import Carry, First, Next, Position, Prev, Running, RunningMax, Sequence, TARGET_ROWS
 
 
+def _sequence(key: str, index: str | list[str], target_rows: int = TARGET_ROWS) -> Sequence:
+    """Order by one index column, or by several that make the order total (first one numeric)."""
+    order = [index] if isinstance(index, str) else list(index)
+    return Sequence([key], order, order, target_rows)
+
+
 def detect_gaps(
     segments: DataFrame,
     key: str,
-    index: str,
+    index: str | list[str],
     clock: str,
     min_gap_minutes: float = 60.0,
     seconds: Column | None = None,
@@ -28,7 +34,7 @@ def detect_gaps(
     already has numeric times (then `wrap=False` for absolute times).
     """
     base = segments.withColumn("_sec", seconds if seconds is not None else wall_clock_seconds(clock))
-    seq = Sequence([key], [index], [index], target_rows)
+    seq = _sequence(key, index, target_rows).sized(segments)
     seen = seq.apply(base, _before=Carry("_sec", before=True), end_timestamp=Prev(clock), _first=First("_sec"))
     passed = wrapped_difference("_sec", "_before") if wrap else F.col("_sec") - F.col("_before")
     gaps = (
@@ -38,7 +44,7 @@ def detect_gaps(
         .withColumn("resume_timestamp", F.col(clock))
         .drop("_before", "_first", "_passed")
     )
-    return Sequence([key], [index], [index], target_rows).apply(gaps, gap_no=Position()).drop("_sec")
+    return seq.apply(gaps, gap_no=Position()).drop("_sec")
 
 
 def gap_parts(gaps: DataFrame) -> DataFrame:
@@ -65,26 +71,26 @@ def save_offsets(videos: DataFrame, offsets: DataFrame, on: list[str]) -> tuple[
     return filled.select(*videos.columns), new.join(videos.select(*on).distinct(), on, "left_anti")
 
 
-def segment_durations(segments: DataFrame, key: str, index: str, seconds: str, default: int = 30) -> DataFrame:
+def segment_durations(segments: DataFrame, key: str, index: str | list[str], seconds: str, default: int = 30) -> DataFrame:
     """Time until the next segment; the last one gets the default."""
-    seq = Sequence([key], [index], [index])
+    seq = _sequence(key, index)
     out = seq.apply(segments, _next=Next(seconds))
     return out.withColumn("duration", F.coalesce(F.col("_next") - F.col(seconds), F.lit(default))).drop("_next")
 
 
-def speaker_turns(segments: DataFrame, key: str, index: str, speaker: str) -> DataFrame:
+def speaker_turns(segments: DataFrame, key: str, index: str | list[str], speaker: str) -> DataFrame:
     """Number the runs of one speaker; a null speaker closes a named run."""
-    seq = Sequence([key], [index], [index])
+    seq = _sequence(key, index).sized(segments)
     marked = seq.apply(segments, _prev=Prev(F.struct(F.col(speaker).alias("s"))))
     starts = (F.col("_prev").isNull() | ~F.col("_prev.s").eqNullSafe(F.col(speaker))).cast("bigint")
     return seq.apply(marked.withColumn("_starts", starts), turn_no=Running("_starts")).drop("_prev", "_starts")
 
 
 def within_search_window(
-    segments: DataFrame, key: str, index: str, seconds: str, limit_seconds: int = 1200, at_least: int = 10
+    segments: DataFrame, key: str, index: str | list[str], seconds: str, limit_seconds: int = 1200, at_least: int = 10
 ) -> DataFrame:
     """Segments up to the first one past the limit after the baseline, but at least `at_least`."""
-    seq = Sequence([key], [index], [index])
+    seq = _sequence(key, index).sized(segments)
     base = seq.apply(segments, _base=First(seconds), _pos=Position())
     late = (F.col(seconds) - F.col("_base") > limit_seconds).cast("int")
     marked = seq.apply(base.withColumn("_late", late), _passed=RunningMax("_late"))

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import iso_duration_seconds, title_dates
+from ..functions.dates import dates_in_title, iso_duration_seconds, title_dates
 from ..functions.rules import LEGACY_TERMS, SEARCH_TERMS
 from ..functions.video import chapters_of, session_rank, title_part_session
 from ..operators.keyed import keep_or_all
-from ..operators.ranges import interval_join
 
 MIN_SECONDS = 600
 
@@ -41,7 +40,12 @@ def candidates(meetings: DataFrame, listing: DataFrame, terms: DataFrame) -> Dat
     meetings: meeting_id, date, label.
     """
     long_enough = parsed(listing).where(F.col("duration_sec").isNull() | (F.col("duration_sec") >= MIN_SECONDS))
-    near = interval_join(meetings, long_enough, "date", "published_at", 1, 4)
+    # the title names the day, so the day is the join key and the interval a filter on top
+    spread = long_enough.withColumn("date", F.explode(dates_in_title("title")))
+    published = F.to_date("published_at")
+    near = meetings.join(spread, "date").where(
+        (published >= F.date_sub("date", 1)) & (published <= F.date_add("date", 4))
+    )
     dated = near.where(F.exists(title_dates("date"), lambda s: F.col("title").contains(s)))
     # the term table is a fixed handful of rows
     with_term = dated.join(F.broadcast(terms), "label").where(F.lower("title").contains(F.lower("term")))
