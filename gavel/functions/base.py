@@ -42,6 +42,15 @@ def strip(text: ColumnLike) -> Column:
     return F.regexp_replace(col(text), r"^[\s\u00A0]+|[\s\u00A0]+\z", "")
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate `value` once and hand it to `body` as a variable.
+
+    Inside array lambdas Spark re-evaluates a repeated sub-expression on every use;
+    binding it as a lambda variable avoids that.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def lines_of(text: ColumnLike) -> Column:
     """Trimmed non-blank lines as an array."""
     parts = F.transform(F.split(col(text), "\n"), strip)
@@ -55,8 +64,11 @@ def indexes(arr: Column) -> Column:
 
 def islands(arr: Column, starts: Column) -> Column:
     """Cut `arr` at the 0-based `starts`; elements before the first start are left out."""
-    def piece(s, k):
-        end = F.coalesce(F.try_element_at(starts, k + 2), F.size(arr))
-        return F.slice(arr, s + 1, end - s)
+    def cut(a, at):
+        def piece(s, k):
+            end = F.coalesce(F.try_element_at(at, k + 2), F.size(a))
+            return F.slice(a, s + 1, end - s)
+
+        return F.transform(at, piece)
 
-    return F.transform(starts, piece)
+    return let(arr, lambda a: let(starts, lambda at: cut(a, at)))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .base import ColumnLike, blank_to_null, capture, col, first_present, indexes, islands, lines_of, squash, strip
+from .base import ColumnLike, blank_to_null, capture, col, first_present, indexes, islands, let, lines_of, squash, strip
 
 # File-number shapes, in the order they are tried.
 FILE_NUMBER_PATTERNS = (
@@ -122,14 +122,18 @@ def repair_splits(text: ColumnLike) -> Column:
 
 def paragraphs(text: ColumnLike) -> Column:
     """Array of paragraphs: a numbered line, or a line after sentence end, opens one."""
-    lines = lines_of(repair_splits(text))
-    starts = F.filter(
-        indexes(lines),
-        lambda i: (i == 0)
-        | F.get(lines, i).rlike(r"^\d+\.\s+")
-        | F.get(lines, i - 1).rlike(r"[.!?]\z"),
-    )
-    return F.transform(islands(lines, starts), lambda p: F.array_join(p, " "))
+
+
+    def fold(lines):
+        starts = F.filter(
+            indexes(lines),
+            lambda i: (i == 0)
+            | F.get(lines, i).rlike(r"^\d+\.\s+")
+            | F.get(lines, i - 1).rlike(r"[.!?]\z"),
+        )
+        return F.transform(islands(lines, starts), lambda p: F.array_join(p, " "))
+
+    return let(lines_of(repair_splits(text)), fold)
 
 
 def fold_paragraphs(text: ColumnLike) -> Column:
@@ -139,15 +143,16 @@ def fold_paragraphs(text: ColumnLike) -> Column:
 
 def background_parts(text: ColumnLike) -> Column:
     """Struct of numbered items (number removed) and plain paragraphs."""
-    sections = F.filter(F.transform(F.split(col(text), r"\n\s*\n"), strip), lambda s: F.length(s) > 0)
-    numbered = F.transform(
-        F.filter(sections, lambda s: s.rlike(r"^\d+\.\s")),
-        lambda s: F.regexp_replace(s, r"^\d+\.\s*", ""),
-    )
-    return F.struct(
-        numbered.alias("items"),
-        F.filter(sections, lambda s: ~s.rlike(r"^\d+\.\s")).alias("paragraphs"),
-    )
+    parts = F.filter(F.transform(F.split(col(text), r"\n\s*\n"), strip), lambda s: F.length(s) > 0)
+
+    def sort_out(sections):
+        numbered = F.filter(sections, lambda s: s.rlike(r"^\d+\.\s"))
+        return F.struct(
+            F.transform(numbered, lambda s: F.regexp_replace(s, r"^\d+\.\s*", "")).alias("items"),
+            F.filter(sections, lambda s: ~s.rlike(r"^\d+\.\s")).alias("paragraphs"),
+        )
+
+    return let(parts, sort_out)
 
 
 # --- names, files, slugs ---------------------------------------------------
@@ -166,11 +171,10 @@ def title_case(text: ColumnLike) -> Column:
     ext = F.regexp_extract(t, TITLE_EXTENSIONS, 0)
     stem = F.regexp_replace(t, TITLE_EXTENSIONS, "")
     # tokens alternate between words and separator runs
-    tokens = F.regexp_extract_all(stem, F.lit(r"(\s+|-+|_+|[^\s_-]+)"), F.lit(1))
+    split_up = F.regexp_extract_all(stem, F.lit(r"(\s+|-+|_+|[^\s_-]+)"), F.lit(1))
     is_word = lambda x: ~x.rlike(r"^(\s+|-+|_+)$")
-    first = F.array_position(F.transform(tokens, lambda x: F.when(is_word(x), 1).otherwise(0)), 1) - 1
 
-    def cased(x, i):
+    def cased(x, i, first):
         upper, lower = F.upper(x), F.lower(x)
         capital = F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, 2, 1_000_000)))
         return (
@@ -180,7 +184,11 @@ def title_case(text: ColumnLike) -> Column:
             .otherwise(capital)
         )
 
-    return F.concat(F.array_join(F.transform(tokens, cased), ""), ext)
+    def all_cased(tokens):
+        first = F.array_position(F.transform(tokens, lambda x: F.when(is_word(x), 1).otherwise(0)), 1) - 1
+        return let(first, lambda f: F.array_join(F.transform(tokens, lambda x, i: cased(x, i, f)), ""))
+
+    return F.concat(let(split_up, all_cased), ext)
 
 
 def file_extension(name: ColumnLike) -> Column:
@@ -303,10 +311,14 @@ def content_words(text: ColumnLike) -> Column:
 
 def ngrams(words: Column, n: int) -> Column:
     """Space-joined n-grams in order, duplicates kept; empty when there are too few words."""
-    return F.when(
-        F.size(words) >= n,
-        F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.array_join(F.slice(words, i, n), " ")),
-    ).otherwise(F.array().cast("array<string>"))
+
+    def grams(ws):
+        places = F.sequence(F.lit(1), F.size(ws) - (n - 1))
+        return F.when(
+            F.size(ws) >= n, F.transform(places, lambda i: F.array_join(F.slice(ws, i, n), " "))
+        ).otherwise(F.array().cast("array<string>"))
+
+    return let(words, grams)
 
 
 def overlap_share(a: Column, b: Column) -> Column:
@@ -317,10 +329,9 @@ def overlap_share(a: Column, b: Column) -> Column:
 
 def ngram_score(a: Column, b: Column, n: int) -> Column:
     """Share of a's n-grams found in b; share of a's words when either side is short."""
-    grams = ngrams(a, n)
-    seen = F.array_distinct(ngrams(b, n))
-    by_gram = F.size(F.filter(grams, lambda g: F.array_contains(seen, g))) / F.size(grams)
-    by_word = F.size(F.filter(a, lambda w: F.array_contains(b, w))) / F.size(a)
+    found = lambda xs, ys: F.size(F.filter(xs, lambda x: F.array_contains(ys, x))) / F.size(xs)
+    by_gram = let(F.array_distinct(ngrams(b, n)), lambda seen: let(ngrams(a, n), lambda grams: found(grams, seen)))
+    by_word = let(F.array_distinct(b), lambda words: found(a, words))
     return F.when(F.size(a) == 0, F.lit(0.0)).when((F.size(a) < n) | (F.size(b) < n), by_word).otherwise(by_gram)
 
 
@@ -331,38 +342,43 @@ def ascii_share(text: ColumnLike) -> Column:
 
 def substring_position(needle: ColumnLike, haystack: ColumnLike) -> Column:
     """Relative position of the needle, trimming words from both ends until it is found."""
-    a, b = normalize_for_match(needle), normalize_for_match(haystack)
-    words = F.filter(F.split(a, " "), lambda w: F.length(w) > 0)
-    n = F.size(words)
-    last_trim = F.least(F.floor(n / 2) - 1, F.floor((n - 3) / 2)).cast("int")
-    trimmed = F.when(
-        last_trim >= 1,
-        F.transform(F.sequence(F.lit(1), last_trim), lambda k: F.array_join(F.slice(words, k + 1, n - k * 2), " ")),
-    ).otherwise(F.array().cast("array<string>"))
-    tries = F.concat(F.array(a), trimmed)
-    hits = F.filter(F.transform(tries, lambda s: F.instr(b, s)), lambda p: p > 0)
-    found = (F.try_element_at(hits, F.lit(1)) - 1) / F.length(b)
-    return F.when((F.length(a) > 0) & (F.length(b) > 0), found)
+
+    def search(a, b):
+        words = F.filter(F.split(a, " "), lambda w: F.length(w) > 0)
+        n = F.size(words)
+        last_trim = F.least(F.floor(n / 2) - 1, F.floor((n - 3) / 2)).cast("int")
+        shorter = let(words, lambda ws: F.transform(
+            F.sequence(F.lit(1), last_trim), lambda k: F.array_join(F.slice(ws, k + 1, F.size(ws) - k * 2), " ")
+        ))
+        tries = F.when(last_trim >= 1, F.concat(F.array(a), shorter)).otherwise(F.array(a))
+        hits = F.filter(F.transform(tries, lambda s: F.instr(b, s)), lambda p: p > 0)
+        return F.when((F.length(a) > 0) & (F.length(b) > 0), (F.try_element_at(hits, F.lit(1)) - 1) / F.length(b))
+
+    return let(normalize_for_match(needle), lambda a: let(normalize_for_match(haystack), lambda b: search(a, b)))
 
 
 def best_window(a: Column, b: Column) -> Column:
     """Struct(position, overlap) of the window of b that shares most words with a."""
-    na, nb = F.size(a), F.size(b)
-    distinct = F.size(F.array_distinct(a))
-    # max of (shared words, -start): the first window wins among equals
-    best = F.array_max(
-        F.transform(
-            F.sequence(F.lit(0), F.greatest(nb - na, F.lit(0))),
-            lambda i: F.struct(F.size(F.array_intersect(a, F.slice(b, i + 1, na))).alias("n"), (-i).alias("neg")),
+    shape = lambda p, o: F.struct(p.cast("double").alias("position"), o.cast("double").alias("overlap"))
+
+    def slide(x, y):
+        nx, ny, distinct = F.size(x), F.size(y), F.size(F.array_distinct(x))
+        shared = F.transform(
+            F.sequence(F.lit(0), F.greatest(ny - nx, F.lit(0))),
+            # the negated start makes the first window win among equals
+            lambda i: F.struct(F.size(F.array_intersect(x, F.slice(y, i + 1, nx))).alias("n"), (-i).alias("neg")),
         )
-    )
-    empty = F.struct(F.lit(0.5).alias("position"), F.lit(0.0).alias("overlap"))
-    short = F.struct(F.lit(0.0).alias("position"), overlap_share(a, b).alias("overlap"))
-    slid = F.struct(
-        F.when(best["n"] > 0, (-best["neg"]) / (nb - na)).otherwise(F.lit(0.0)).alias("position"),
-        (best["n"] / distinct).alias("overlap"),
-    )
-    return F.when((na == 0) | (nb == 0), empty).when(nb <= na, short).otherwise(slid)
+        slid = let(
+            F.array_max(shared),
+            lambda m: shape(F.when(m["n"] > 0, (-m["neg"]) / (ny - nx)).otherwise(F.lit(0.0)), m["n"] / distinct),
+        )
+        return (
+            F.when((nx == 0) | (ny == 0), shape(F.lit(0.5), F.lit(0.0)))
+            .when(ny <= nx, shape(F.lit(0.0), overlap_share(x, y)))
+            .otherwise(slid)
+        )
+
+    return let(a, lambda x: let(b, lambda y: slide(x, y)))
 
 
 # --- people ----------------------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.base import ColumnLike, col
+from ..functions.base import ColumnLike, col, let
 from ..functions.text import normalize_name, speaker_case
 from ..operators.sequence import Position, Sequence
 
@@ -197,14 +197,14 @@ def standalone_surnames(names: DataFrame, column: str = "name") -> DataFrame:
 
 def word_chunks(text: ColumnLike, size: int = 250) -> Column:
     """Non-overlapping chunks of words, the input unit of an outside model."""
-    words = F.filter(F.split(col(text), r"\s+"), lambda w: F.length(w) > 0)
-    return F.when(
-        F.size(words) > 0,
-        F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(words) - 1) / size).cast("int")),
-            lambda i: F.array_join(F.slice(words, i * size + 1, size), " "),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+
+    def cut(words):
+        places = F.sequence(F.lit(0), F.floor((F.size(words) - 1) / size).cast("int"))
+        return F.when(
+            F.size(words) > 0, F.transform(places, lambda i: F.array_join(F.slice(words, i * size + 1, size), " "))
+        ).otherwise(F.array().cast("array<string>"))
+
+    return let(F.filter(F.split(col(text), r"\s+"), lambda w: F.length(w) > 0), cut)
 
 
 def build_dictionary(

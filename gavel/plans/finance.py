@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.base import ColumnLike, col, indexes, lines_of, squash
+from ..functions.base import ColumnLike, col, indexes, let, lines_of, squash
 from ..functions.money import MONEY, amount_label, amount_value, amounts_in, entry_type, section_of_line, signed_value
 from ..functions.rules import is_second_part
 
@@ -16,39 +16,48 @@ def summary_lines(text: ColumnLike, strict_reference: bool = False) -> Column:
     Row-local: the section of a line is the last header at or before it, and the
     line above joins the context unless it has an amount of its own.
     """
-    lines = F.transform(lines_of(text), squash)
-    headers = F.filter(
-        F.transform(lines, lambda x, i: F.struct(i.alias("i"), section_of_line(x).alias("s"))),
-        lambda h: h["s"].isNotNull(),
-    )
 
-    def one(i):
-        line, above = F.get(lines, i), F.get(lines, i - 1)
-        shown = F.when((i > 0) & ~above.rlike(r"\$\d"), above)
-        return F.struct(
-            i.alias("line_no"),
-            F.try_element_at(F.filter(headers, lambda h: h["i"] <= i), F.lit(-1))["s"].alias("section"),
-            F.concat_ws(" ", line, shown).alias("context"),
-            amounts_in(line, strict_reference).alias("amounts"),
-        )
+    def read(lines, headers):
+        def one(i):
+            line, above = F.get(lines, i), F.get(lines, i - 1)
+            shown = F.when((i > 0) & ~above.rlike(r"\$\d"), above)
+            return F.struct(
+                i.alias("line_no"),
+                F.try_element_at(F.filter(headers, lambda h: h["i"] <= i), F.lit(-1))["s"].alias("section"),
+                F.concat_ws(" ", line, shown).alias("context"),
+                amounts_in(line, strict_reference).alias("amounts"),
+            )
+
+        return F.transform(_with_money(lines), one)
+
+    def headers_of(lines):
+        marked = F.transform(lines, lambda x, i: F.struct(i.alias("i"), section_of_line(x).alias("s")))
+        return F.filter(marked, lambda h: h["s"].isNotNull())
+
+    return let(F.transform(lines_of(text), squash), lambda lines: let(headers_of(lines), lambda hs: read(lines, hs)))
 
-    return F.filter(F.transform(indexes(lines), one), lambda e: F.size(e["amounts"]) > 0)
+
+def _with_money(lines: Column) -> Column:
+    """Indexes of the lines that hold an amount."""
+    return F.filter(indexes(lines), lambda i: F.get(lines, i).rlike(r"\$\d"))
 
 
 def block_lines(text: ColumnLike, strict_reference: bool = False) -> Column:
     """Lines of any other text that hold amounts, with the line above as context."""
-    lines = lines_of(text)
-
-    def one(i):
-        line = F.get(lines, i)
-        return F.struct(
-            i.alias("line_no"),
-            F.lit(None).cast("string").alias("section"),
-            F.concat_ws(" ", F.when(i > 0, F.get(lines, i - 1)), line).alias("context"),
-            amounts_in(line, strict_reference).alias("amounts"),
-        )
-
-    return F.filter(F.transform(indexes(lines), one), lambda e: F.size(e["amounts"]) > 0)
+
+    def read(lines):
+        def one(i):
+            line = F.get(lines, i)
+            return F.struct(
+                i.alias("line_no"),
+                F.lit(None).cast("string").alias("section"),
+                F.concat_ws(" ", F.when(i > 0, F.get(lines, i - 1)), line).alias("context"),
+                amounts_in(line, strict_reference).alias("amounts"),
+            )
+
+        return F.transform(_with_money(lines), one)
+
+    return let(lines_of(text), read)
 
 
 def mentions(df: DataFrame, keys: list[str], text: str, source: str, rank: int, strict_reference: bool = False) -> DataFrame:

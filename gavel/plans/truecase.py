@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.base import let
+
 BROADCAST_ENTRIES = 50_000
 MAX_WORDS = 6
 
@@ -122,20 +124,19 @@ def _with_broadcast(texts: DataFrame, text: str, out: str, rows: list, keep: boo
 
 def phrases_of(text: str, max_words: int):
     """Distinct lower-case word runs of a text, hyphen parts included, punctuation trimmed."""
-    words = F.filter(F.split(F.lower(F.col(text)), r"\s+"), lambda w: F.length(w) > 0)
     clean = lambda p: F.regexp_replace(p, r"^[^\p{L}\p{N}_]+|[^\p{L}\p{N}_]+\z", "")
-    runs = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), F.lit(max_words)),
-            lambda n: F.when(
-                F.size(words) >= n,
-                F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: clean(F.array_join(F.slice(words, i, n), " "))),
-            ).otherwise(F.array().cast("array<string>")),
-        )
-    )
-    parts = F.flatten(F.transform(words, lambda w: F.split(clean(w), "[^\\p{L}\\p{N}_]")))
-    bare = F.transform(words, lambda w: F.regexp_replace(w, r"[^\p{L}\p{N}_-]", ""))
-    return F.array_distinct(F.concat(runs, parts, bare))
+
+    def of(words):
+        def runs(n):
+            places = F.sequence(F.lit(1), F.size(words) - n + 1)
+            joined = F.transform(places, lambda i: clean(F.array_join(F.slice(words, i, n), " ")))
+            return F.when(F.size(words) >= n, joined).otherwise(F.array().cast("array<string>"))
+
+        parts = F.flatten(F.transform(words, lambda w: F.split(clean(w), r"[^\p{L}\p{N}_]")))
+        bare = F.transform(words, lambda w: F.regexp_replace(w, r"[^\p{L}\p{N}_-]", ""))
+        return F.array_distinct(F.concat(*[runs(n) for n in range(1, max_words + 1)], parts, bare))
+
+    return let(F.filter(F.split(F.lower(F.col(text)), r"\s+"), lambda w: F.length(w) > 0), of)
 
 
 def _with_join(texts: DataFrame, key: str, text: str, out: str, dictionary: DataFrame, max_words: int, keep: bool) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.base import ColumnLike, indexes, islands, lines_of, strip
+from ..functions.base import ColumnLike, indexes, islands, let, lines_of, strip
 from ..functions.text import is_land_use, land_use_type
 
 CODE = r"^([A-Z]{1,4}(?:-\d+)?)"
@@ -39,47 +39,53 @@ def latest_reports(items: DataFrame, docs: DataFrame, keys: list[str]) -> DataFr
 
 def zoning(text: ColumnLike) -> Column:
     """Struct(current, requested, future_land_use); later lines override earlier ones."""
-    lines = lines_of(text)
     both = lambda x: x.contains("CURRENT ZONING:") & x.contains("REQUESTED ZONING:")
     code = lambda x: F.nullif(F.regexp_extract(x, CODE, 1), F.lit(""))
     after = lambda x, label: strip(F.replace(x, F.lit(label), F.lit("")))
+    last = lambda values: F.try_element_at(F.filter(values, lambda v: v.isNotNull()), F.lit(-1))
 
-    def found(which):
-        def at(i):
-            line = F.get(lines, i)
-            pieces = F.split(F.get(lines, i + 1), r"\)\s+")
-            piece = F.element_at(pieces, 1 if which == "current" else -1)
-            from_pair = F.when(both(line) & (F.size(pieces) >= 2), code(piece))
-            label = "CURRENT ZONING:" if which == "current" else "REQUESTED ZONING:"
-            alone = line.startswith(label) & ~(both(line) if which == "current" else F.lit(False))
-            return F.coalesce(F.when(alone, code(after(line, label))), from_pair)
-
-        return F.try_element_at(F.filter(F.transform(indexes(lines), at), lambda v: v.isNotNull()), F.lit(-1))
-
-    land = F.filter(
-        F.transform(lines, lambda x: F.nullif(strip(F.regexp_extract(x, r"FUTURE LAND USE:\s*([^(]+)", 1)), F.lit(""))),
-        lambda v: v.isNotNull(),
-    )
-    return F.struct(
-        found("current").alias("current_zoning"),
-        found("requested").alias("requested_zoning"),
-        F.try_element_at(land, F.lit(-1)).alias("future_land_use"),
-    )
+    def read(lines):
+        def found(label, end, alone_too):
+            def at(i):
+                line, pieces = F.get(lines, i), F.split(F.get(lines, i + 1), r"\)\s+")
+                from_pair = F.when(both(line) & (F.size(pieces) >= 2), code(F.element_at(pieces, end)))
+                alone = line.startswith(label) & (F.lit(alone_too) | ~both(line))
+                return F.coalesce(F.when(alone, code(after(line, label))), from_pair)
+
+            return last(F.transform(indexes(lines), at))
+
+        land = F.transform(lines, lambda x: F.nullif(strip(F.regexp_extract(x, r"FUTURE LAND USE:\s*([^(]+)", 1)), F.lit("")))
+        return F.struct(
+            found("CURRENT ZONING:", 1, False).alias("current_zoning"),
+            found("REQUESTED ZONING:", -1, True).alias("requested_zoning"),
+            last(land).alias("future_land_use"),
+        )
+
+    return let(lines_of(text), read)
 
 
 def waivers_and_findings(text: ColumnLike, longest: int = 16) -> Column:
     """Struct(waivers, findings): waiver blocks up to the findings, findings to a stop word."""
-    lines = lines_of(text)
-    stop = F.try_element_at(F.filter(indexes(lines), lambda i: F.upper(F.get(lines, i)).contains("FINDINGS:")), F.lit(1))
-    before = F.slice(lines, 1, F.coalesce(stop, F.size(lines)))
-    starts = F.filter(indexes(before), lambda i: F.upper(F.get(before, i)).rlike(WAIVER_START))
-    waivers = F.transform(islands(before, starts), lambda b: F.array_join(b, " "))
-    tail = F.slice(lines, stop + 2, longest)
-    end = F.try_element_at(F.filter(indexes(tail), lambda i: F.upper(F.get(tail, i)).rlike(FINDINGS_END)), F.lit(1))
-    said = F.array_join(F.concat(F.array(F.get(lines, stop)), F.slice(tail, 1, F.coalesce(end, F.size(tail)))), " ")
-    return F.struct(
-        waivers.alias("waivers"), F.when(stop.isNotNull(), strip(F.regexp_replace(said, FOOT, ""))).alias("findings")
-    )
+    first = lambda xs, test: F.try_element_at(F.filter(indexes(xs), lambda i: test(F.upper(F.get(xs, i)))), F.lit(1))
+
+    def read(lines, stop):
+        before = F.slice(lines, 1, F.coalesce(stop, F.size(lines)))
+
+        def blocks(ls):
+            starts = F.filter(indexes(ls), lambda i: F.upper(F.get(ls, i)).rlike(WAIVER_START))
+            return F.transform(islands(ls, starts), lambda b: F.array_join(b, " "))
+
+        def said(tail):
+            kept = F.slice(tail, 1, F.coalesce(first(tail, lambda u: u.rlike(FINDINGS_END)), F.size(tail)))
+            return F.array_join(F.concat(F.array(F.get(lines, stop)), kept), " ")
+
+        findings = let(F.slice(lines, stop + 2, longest), said)
+        return F.struct(
+            let(before, blocks).alias("waivers"),
+            F.when(stop.isNotNull(), strip(F.regexp_replace(findings, FOOT, ""))).alias("findings"),
+        )
+
+    return let(lines_of(text), lambda ls: let(first(ls, lambda u: u.contains("FINDINGS:")), lambda st: read(ls, st)))
 
 
 def attach_reports(items: DataFrame, reports: DataFrame, key: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.base import indexes, islands, strip
+from ..functions.base import indexes, islands, let, strip
 
 SPEAKER_LINE = r"^(\d{1,2}:\d{2}:\d{2}[AP]M)\s+>>([^:]+):(.*)$"
 STAMPED_LINE = r"^\d{1,2}:\d{2}:\d{2}[AP]M\s+>>"
@@ -14,7 +14,10 @@ STAMP = r"^\d{1,2}:\d{2}:\d{2}[AP]M"
 
 def header_fields(lines: Column, title_marker: str) -> Column:
     """Struct(meeting_title, meeting_date_time, disclaimer) of the first 20 lines."""
-    head = F.slice(lines, 1, 20)
+    return let(lines, lambda ls: _header(ls, F.slice(ls, 1, 20), title_marker))
+
+
+def _header(lines: Column, head: Column, title_marker: str) -> Column:
     stop = F.array_position(F.transform(head, lambda x: F.when(x.contains("DISCLAIMER:"), 1).otherwise(0)), 1).cast("int")
     before = F.slice(head, 1, F.when(stop > 0, stop - 1).otherwise(F.size(head)))
     titles = F.filter(before, lambda x: x.contains(title_marker))
@@ -36,7 +39,6 @@ def speaker_segments(lines: Column, boilerplate: tuple[str, ...] = ("Skip to",),
     stamped lines without a speaker, boilerplate and segments without text.
     `keep_opening=False` drops the text that follows the colon on the opening line.
     """
-    starts = F.filter(indexes(lines), lambda i: F.get(lines, i).rlike(SPEAKER_LINE))
 
     def is_noise(x):
         noise = x.rlike(STAMPED_LINE) & ~x.rlike(SPEAKER_LINE)
@@ -55,7 +57,11 @@ def speaker_segments(lines: Column, boilerplate: tuple[str, ...] = ("Skip to",),
             F.array_join(F.concat(first, rest), " ").alias("text"),
         )
 
-    return F.filter(F.transform(islands(lines, starts), segment), lambda s: F.length(s["text"]) > 0)
+    def cut(ls):
+        starts = F.filter(indexes(ls), lambda i: F.get(ls, i).rlike(SPEAKER_LINE))
+        return F.filter(F.transform(islands(ls, starts), segment), lambda s: F.length(s["text"]) > 0)
+
+    return let(lines, cut)
 
 
 def parse_pages(pages: DataFrame, lines: Column, keep: list[str], title_marker: str, **options) -> DataFrame:
