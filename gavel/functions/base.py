@@ -37,9 +37,13 @@ def squash(text: ColumnLike) -> Column:
     return F.trim(F.regexp_replace(col(text), r"[\s\u00A0]+", " "))
 
 
+# Fixed value: what counts as whitespace at the ends of a text.
+WHITESPACE = " \t\n\x0b\f\r\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+
+
 def strip(text: ColumnLike) -> Column:
     """Trim every kind of whitespace, not only spaces."""
-    return F.regexp_replace(col(text), r"^[\s\u00A0]+|[\s\u00A0]+\z", "")
+    return F.btrim(col(text), F.lit(WHITESPACE))
 
 
 def let(value: Column, body) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("timeline", "warehouse", "finance")
+MODULES = ("timeline", "warehouse", "finance", "text")
 
 
 def registered() -> dict:
