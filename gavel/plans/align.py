@@ -27,6 +27,7 @@ from ..functions.text import (
 )
 from ..operators.clusters import anchored_clusters
 from ..operators.keyed import best_per_key
+from ..session import cut_lineage
 
 N = 3
 MIN_SCORE = 0.3
@@ -197,14 +198,17 @@ def align(captions: DataFrame, segments: DataFrame, video: str) -> DataFrame:
     from ..operators.sequence import First, Next, Position, Sequence
 
     on = [video]
-    c = Sequence(on, ["cap_id"], ["cap_id"]).apply(clean_captions(captions), pos=Position())
+    c = clean_captions(captions.select(video, "cap_id", "start", "text", "no_speech_prob"))
+    c = Sequence(on, ["cap_id"], ["cap_id"]).apply(c, pos=Position())
     c = c.withColumn("pos", F.col("pos") - 1).withColumn("w", content_words("text"))
-    s = Sequence(on, ["seg_id"], ["seg_id"]).apply(segments, pos=Position(), _base=First("sec"), _next=Next("sec"))
+    s = segments.select(video, "seg_id", "sec", "text")
+    s = Sequence(on, ["seg_id"], ["seg_id"]).apply(s, pos=Position(), _base=First("sec"), _next=Next("sec"))
     s = s.select(
         video, "seg_id", "text", (F.col("pos") - 1).alias("pos"), (F.col("sec") - F.col("_base")).alias("elapsed"),
         F.coalesce(F.col("_next") - F.col("sec"), F.lit(30)).alias("duration"), content_words("text").alias("w"),
     )
-    hits = ngram_matches(c, s, on, "cap_id", "seg_id", "w", "w")
+    # matches and pairs are read by several branches below and are small next to the texts
+    hits = cut_lineage(ngram_matches(c, s, on, "cap_id", "seg_id", "w", "w"))
     pairs = (
         hits.join(c.select(video, "cap_id", F.col("text").alias("c_text"), "start", F.col("pos").alias("c_pos")), [video, "cap_id"])
         .join(s.select(video, "seg_id", F.col("text").alias("s_text"), "elapsed", "duration", F.col("pos").alias("s_pos")), [video, "seg_id"])
@@ -213,7 +217,7 @@ def align(captions: DataFrame, segments: DataFrame, video: str) -> DataFrame:
     )
     fuzzy = early_matches(c, s, hits, on, "cap_id", "seg_id").withColumn("share", position_share("c_text", "s_text"))
     fuzzy = fuzzy.withColumn("offset", implied_offset("start", "elapsed", "share", "duration"))
-    return choose_offset(pairs, fuzzy, on, "cap_id")
+    return choose_offset(cut_lineage(pairs), fuzzy, on, "cap_id")
 
 
 # --- the older search by sequence similarity --------------------------------

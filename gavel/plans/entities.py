@@ -44,7 +44,7 @@ def _word_count(x: Column) -> Column:
 
 def people_in(text: ColumnLike, extra_stop: tuple[str, ...] = ()) -> Column:
     """Distinct rule-based person names of a text."""
-    found = F.concat(*[F.regexp_extract_all(col(text), F.lit(p), F.lit(1)) for p in PERSON_PATTERNS])
+    found = F.concat(*[F.regexp_extract_all(col(text), F.lit("(?U)" + p), F.lit(1)) for p in PERSON_PATTERNS])
     stop = F.array(*[F.lit(w) for w in (*NOT_PERSON_WORDS, *extra_stop)])
     named = F.transform(found, F.trim)
     fit = lambda n: _word_count(n).between(2, 4) & ~F.arrays_overlap(F.split(F.lower(n), r"\s+"), stop)
@@ -54,7 +54,7 @@ def people_in(text: ColumnLike, extra_stop: tuple[str, ...] = ()) -> Column:
 def organizations_in(text: ColumnLike, place: str) -> Column:
     """Distinct rule-based organisation names of a text."""
     found = F.concat(
-        *[F.regexp_extract_all(col(text), F.lit(p.replace("{place}", place)), F.lit(1)) for p in ORGANIZATION_PATTERNS]
+        *[F.regexp_extract_all(col(text), F.lit("(?U)" + p.replace("{place}", place)), F.lit(1)) for p in ORGANIZATION_PATTERNS]
     )
     return F.array_distinct(F.filter(F.transform(found, F.trim), lambda n: _word_count(n).between(2, 10)))
 
@@ -165,7 +165,7 @@ def top(entities: DataFrame, n: int = 20) -> DataFrame:
 def acronyms(texts: DataFrame, doc: str, columns: list[str], stop: DataFrame, min_support: int = 2) -> DataFrame:
     """Upper-case tokens of 2–5 letters seen in enough documents, stop words left out."""
     every = F.concat_ws(" ", *columns)
-    found = texts.select(doc, F.explode(F.array_distinct(F.regexp_extract_all(every, F.lit(r"\b([A-Z]{2,5})\b"), F.lit(1)))).alias("token"))
+    found = texts.select(doc, F.explode(F.array_distinct(F.regexp_extract_all(every, F.lit(r"(?U)\b([A-Z]{2,5})\b"), F.lit(1)))).alias("token"))
     kept = found.join(stop.select(F.upper("word").alias("token")).distinct(), "token", "left_anti")
     # a token occurs once per document row; documents given in several rows are folded first
     per_doc = kept.groupBy("token", doc).agg(F.lit(1).alias("_one"))

@@ -74,8 +74,8 @@ def compare(spark_df, con, sql: str):
     a = sorted((tuple(norm(r[i]) for i in si) for r in s_rows), key=key)
     b = sorted((tuple(norm(r[i]) for i in di) for r in d_rows), key=key)
     if len(a) != len(b):
-        extra = [x for x in a if x not in set(b)][:2] if len(a) < 20000 else []
-        missing = [x for x in b if x not in set(a)][:2] if len(b) < 20000 else []
+        sa, sb = set(a), set(b)
+        extra, missing = [x for x in a if x not in sb][:2], [x for x in b if x not in sa][:2]
         return False, f"rows {len(a)} vs {len(b)}; only spark {extra}; only sql {missing}; order {order}"
     if a != b:
         bad = [(x, y) for x, y in zip(a, b) if x != y]
