@@ -302,7 +302,7 @@ def match_words(text: ColumnLike) -> Column:
 
 def content_words(text: ColumnLike) -> Column:
     """Words of three or more characters, with a letter, not on the stop list; order kept."""
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
+    stop = F.split(F.lit(" ".join(STOP_WORDS)), " ")  # folded to a constant array
     return F.filter(
         match_words(text),
         lambda w: (F.length(w) >= 3) & w.rlike("[A-Z]") & ~F.array_contains(stop, w),

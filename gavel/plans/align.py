@@ -48,52 +48,55 @@ def clean_captions(captions: DataFrame) -> DataFrame:
 
 def ngram_matches(
     captions: DataFrame, segments: DataFrame, on: list[str], caption_id: str, segment_id: str,
-    caption_words: str, segment_words: str, n: int = N, min_score: float = MIN_SCORE,
+    caption_words: str, segment_words: str, n: int = N, min_score: float = MIN_SCORE, short_captions: bool = True,
 ) -> DataFrame:
     """Pairs whose n-gram score reaches the floor: (on, caption_id, segment_id, score).
 
     Texts that repeat are compared once per distinct word list and expanded at the
-    end.  When a side has fewer than n words single words take the place of n-grams.
+    end.  When a side has fewer than n words single words take the place of n-grams;
+    `short_captions=False` says that no caption is that short.
     """
-    sides = {}
-    for name, df, ident, words in (("c", captions, caption_id, caption_words), ("s", segments, segment_id, segment_words)):
-        hashed = df.select(*on, F.col(ident).alias(f"{name}_id"), F.col(words).alias("w")).withColumn(
-            f"{name}_text", F.xxhash64(F.array_join("w", " "))
-        )
-        members = hashed.select(*on, f"{name}_id", f"{name}_text")
-        texts = hashed.groupBy(*on, f"{name}_text").agg(F.first("w").alias(f"{name}_w"))
-        sides[name] = (members, texts)
-    (c_members, c_texts), (s_members, s_texts) = sides["c"], sides["s"]
-
-    def candidates(c: DataFrame, s: DataFrame, size: int) -> DataFrame:
-        """Pairs that share at least one of the caption's rarest grams."""
-        c_grams = c.select(*on, "c_text", F.posexplode(ngrams(F.col("c_w"), size)).alias("pos", "gram"))
-        c_grams = c_grams.withColumn("gram", F.xxhash64("gram"))
-        s_grams = s.select(*on, "s_text", F.explode(F.array_distinct(ngrams(F.col("s_w"), size))).alias("gram"))
-        s_grams = s_grams.withColumn("gram", F.xxhash64("gram"))
-        wanted = c_grams.select(*on, "gram").distinct()
-        s_hits = s_grams.join(wanted, [*on, "gram"], "left_semi")
-        seen = s_hits.groupBy(*on, "gram").agg(F.count(F.lit(1)).alias("df"))
-        weighed = c_grams.join(seen, [*on, "gram"], "left").withColumn("df", F.coalesce("df", F.lit(0)))
-        # per caption: keep the rarest total - ceil(floor*total) + 1 positions
-        rarest = (
-            weighed.groupBy(*on, "c_text")
-            .agg(F.array_sort(F.collect_list(F.struct("df", "pos", "gram"))).alias("g"))
-            .withColumn("need", F.greatest(F.lit(1), F.ceil(F.size("g") * F.lit(min_score) - 1e-9)).cast("int"))
-            .select(*on, "c_text", F.explode(F.slice("g", F.lit(1), F.size("g") - F.col("need") + 1)).alias("x"))
-            .where(F.col("x.df") > 0)
-            .select(*on, "c_text", F.col("x.gram").alias("gram"))
-            .distinct()
-        )
-        return rarest.join(s_hits, [*on, "gram"]).select(*on, "c_text", "s_text").distinct()
 
-    long_c, short_c = F.size("c_w") >= n, F.size("c_w") < n
-    long_s, short_s = F.size("s_w") >= n, F.size("s_w") < n
-    pairs = (
-        candidates(c_texts.where(long_c), s_texts.where(long_s), n)
-        .unionByName(candidates(c_texts.where(long_c), s_texts.where(short_s), 1))
-        .unionByName(candidates(c_texts.where(short_c), s_texts, 1))
+    def distinct_texts(df: DataFrame, ident: str, words: str, side: str) -> tuple[DataFrame, DataFrame]:
+        rows = df.select(*on, F.col(ident).alias(f"{side}_id"), F.col(words).alias("w")).withColumn(
+            f"{side}_text", F.xxhash64(F.array_join("w", " "))
+        )
+        return rows.drop("w"), rows.groupBy(*on, f"{side}_text").agg(F.first("w").alias(f"{side}_w"))
+
+    c_members, c_texts = distinct_texts(captions, caption_id, caption_words, "c")
+    s_members, s_texts = distinct_texts(segments, segment_id, segment_words, "s")
+
+    # units: n = n-grams for long against long, s = words against short segments,
+    # a = words of a short caption against anything
+    unit = lambda kind, words: F.struct(F.lit(kind).alias("kind"), words.alias("grams"))
+    c_w, s_w = F.col("c_w"), F.col("s_w")
+    c_units = F.when(F.size(c_w) >= n, F.array(unit("n", ngrams(c_w, n)), unit("s", c_w))).otherwise(F.array(unit("a", c_w)))
+    s_long, s_short = [unit("n", F.array_distinct(ngrams(s_w, n)))], [unit("s", F.array_distinct(s_w))]
+    if short_captions:
+        s_long, s_short = [*s_long, unit("a", F.array_distinct(s_w))], [*s_short, unit("a", F.array_distinct(s_w))]
+    s_units = F.when(F.size(s_w) >= n, F.array(*s_long)).otherwise(F.array(*s_short))
+
+    c_grams = c_texts.select(*on, "c_text", F.explode(c_units).alias("u")).select(
+        *on, "c_text", "u.kind", F.posexplode("u.grams").alias("pos", "g")
+    ).select(*on, "c_text", "kind", "pos", F.xxhash64("kind", "g").alias("gram"))
+    s_grams = s_texts.select(*on, "s_text", F.explode(s_units).alias("u")).select(
+        *on, "s_text", "u.kind", F.explode("u.grams").alias("g")
+    ).select(*on, "s_text", F.xxhash64("kind", "g").alias("gram"))
+
+    s_hits = s_grams.join(c_grams.select(*on, "gram").distinct(), [*on, "gram"], "left_semi")
+    seen = s_hits.groupBy(*on, "gram").agg(F.count(F.lit(1)).alias("df"))
+    weighed = c_grams.join(seen, [*on, "gram"], "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    # of each caption's grams: the rarest total - ceil(floor * total) + 1 positions
+    need = F.greatest(F.lit(1), F.ceil(F.size("g") * F.lit(min_score) - 1e-9)).cast("int")
+    rarest = (
+        weighed.groupBy(*on, "c_text", "kind")
+        .agg(F.array_sort(F.collect_list(F.struct("df", "pos", "gram"))).alias("g"))
+        .select(*on, "c_text", F.explode(F.slice("g", F.lit(1), F.size("g") - need + 1)).alias("x"))
+        .where(F.col("x.df") > 0)
+        .select(*on, "c_text", F.col("x.gram").alias("gram"))
+        .distinct()
     )
+    pairs = rarest.join(s_hits, [*on, "gram"]).select(*on, "c_text", "s_text").distinct()
     scored = (
         pairs.join(c_texts, [*on, "c_text"]).join(s_texts, [*on, "s_text"])
         .withColumn("score", ngram_score(F.col("c_w"), F.col("s_w"), n))
@@ -208,7 +211,7 @@ def align(captions: DataFrame, segments: DataFrame, video: str) -> DataFrame:
         F.coalesce(F.col("_next") - F.col("sec"), F.lit(30)).alias("duration"), content_words("text").alias("w"),
     )
     # matches and pairs are read by several branches below and are small next to the texts
-    hits = cut_lineage(ngram_matches(c, s, on, "cap_id", "seg_id", "w", "w"))
+    hits = cut_lineage(ngram_matches(c, s, on, "cap_id", "seg_id", "w", "w", short_captions=False))
     pairs = (
         hits.join(c.select(video, "cap_id", F.col("text").alias("c_text"), "start", F.col("pos").alias("c_pos")), [video, "cap_id"])
         .join(s.select(video, "seg_id", F.col("text").alias("s_text"), "elapsed", "duration", F.col("pos").alias("s_pos")), [video, "seg_id"])

@@ -45,7 +45,7 @@ def _word_count(x: Column) -> Column:
 def people_in(text: ColumnLike, extra_stop: tuple[str, ...] = ()) -> Column:
     """Distinct rule-based person names of a text."""
     found = F.concat(*[F.regexp_extract_all(col(text), F.lit("(?U)" + p), F.lit(1)) for p in PERSON_PATTERNS])
-    stop = F.array(*[F.lit(w) for w in (*NOT_PERSON_WORDS, *extra_stop)])
+    stop = F.split(F.lit(" ".join((*NOT_PERSON_WORDS, *extra_stop))), " ")  # folded to a constant array
     named = F.transform(found, F.trim)
     fit = lambda n: _word_count(n).between(2, 4) & ~F.arrays_overlap(F.split(F.lower(n), r"\s+"), stop)
     return F.array_distinct(F.filter(named, fit))

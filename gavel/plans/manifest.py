@@ -16,7 +16,7 @@ def content_hash(content: ColumnLike) -> Column:
 
 def is_error_page(content: ColumnLike, size: ColumnLike) -> Column:
     """Small body that is HTML where a document was expected."""
-    head = F.decode(F.substring(col(content), 1, 200), F.lit("ISO-8859-1"))
+    head = F.decode(F.substring(col(content), 1, 200), "ISO-8859-1")
     not_pdf = ~head.startswith("%P")
     return not_pdf & (col(size) < 10_000) & (head.contains("<!DOCTYPE") | head.contains("<html"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("timeline", "warehouse", "finance", "text", "entities", "align", "reports")
+MODULES = ("timeline", "warehouse", "finance", "text", "entities", "align", "reports", "streams")
 
 
 def registered() -> dict:

@@ -296,7 +296,14 @@ tm AS (SELECT * FROM (VALUES ('CRA', 'community redevelopment', 0), ('CRA', 'tcc
 ls AS (SELECT event_id AS video_id, ts, lower(CASE event_type WHEN 'error' THEN 'TCC' WHEN 'view' THEN 'Community Redevelopment' ELSE 'City Council' END || CASE WHEN user_id % 3 = 0 THEN ' PM' ELSE '' END || ' ' ||
   CASE event_id % 4 WHEN 0 THEN strftime(ts, '%m/%d/%Y') WHEN 1 THEN strftime(ts, '%-m-%-d-%Y') WHEN 2 THEN strftime(ts, '%m-%d-%y') ELSE strftime(ts, '%-m/%-d/%y') END) AS title FROM events WHERE event_id % 60 >= 10),
 nr AS (SELECT mt.*, ls.* FROM mt JOIN ls ON CAST(ls.ts AS DATE) BETWEEN mt.date - 1 AND mt.date + 4
-  AND len(list_filter(['%m/%d/%Y', '%-m/%-d/%Y', '%m/%d/%y', '%-m/%-d/%y', '%m-%d-%Y', '%-m-%-d-%Y', '%m-%d-%y', '%-m-%-d-%y'], lambda f: contains(ls.title, strftime(mt.date, f)))) > 0),
+  AND (contains(ls.title, strftime(mt.date, '%m/%d/%Y'))
+  OR contains(ls.title, strftime(mt.date, '%-m/%-d/%Y'))
+  OR contains(ls.title, strftime(mt.date, '%m/%d/%y'))
+  OR contains(ls.title, strftime(mt.date, '%-m/%-d/%y'))
+  OR contains(ls.title, strftime(mt.date, '%m-%d-%Y'))
+  OR contains(ls.title, strftime(mt.date, '%-m-%-d-%Y'))
+  OR contains(ls.title, strftime(mt.date, '%m-%d-%y'))
+  OR contains(ls.title, strftime(mt.date, '%-m-%-d-%y')))),
 wt AS (SELECT nr.*, tm.priority FROM nr JOIN tm ON nr.label = tm.label AND contains(nr.title, tm.term)),
 fs AS (SELECT meeting_id, min(priority) AS priority FROM wt GROUP BY 1),
 cd AS (SELECT DISTINCT wt.meeting_id, wt.label, video_id, wt.priority, CASE WHEN title LIKE '% pm %' THEN 'evening' END AS session FROM wt JOIN fs USING (meeting_id, priority))
@@ -500,8 +507,8 @@ QUERIES = {
     "videos_found": (
         videos_found,
         f"""WITH {CAND}, kp AS (SELECT *, CASE label WHEN 'CRA' THEN true WHEN 'Special' THEN true WHEN 'Evening' THEN session IS NOT NULL ELSE session IS NULL END AS keep FROM cd),
-            ak AS (SELECT *, bool_or(keep) OVER (PARTITION BY meeting_id) AS some FROM kp)
-            SELECT meeting_id, video_id, 1 AS part, CASE WHEN session = 'evening' THEN 3 ELSE 99 END AS session_rank FROM ak WHERE keep OR NOT some""",
+            ak AS (SELECT *, bool_or(keep) OVER (PARTITION BY meeting_id) AS any_kept FROM kp)
+            SELECT meeting_id, video_id, 1 AS part, CASE WHEN session = 'evening' THEN 3 ELSE 99 END AS session_rank FROM ak WHERE keep OR NOT any_kept""",
     ),
     "page_lines": (page_lines, LINES_SQL),
     "page_links": (page_links, LINKS_PAGE_SQL),
