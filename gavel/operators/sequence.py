@@ -198,7 +198,7 @@ def chunked(
     keys: list[str],
     ordinals: list[str],
     target_rows: int = TARGET_ROWS,
-    rounds: int = 2,
+    rounds: int = 4,
 ) -> tuple[DataFrame, list[str]]:
     """Add integer chunk columns that cut every large group into ordered pieces.
 
@@ -246,7 +246,7 @@ class Sequence:
     order: list[str | Column]
     ordinals: list[str] = field(default_factory=list)
     target_rows: int = TARGET_ROWS
-    rounds: int = 2
+    rounds: int = 4
     fits: bool | None = None
 
     def sized(self, df: DataFrame) -> Sequence:

@@ -35,6 +35,8 @@ MAX_NOISE = 0.5
 MIN_ASCII = 0.85
 MIN_WORDS = 4
 CLUSTER_SECONDS = 30.0
+EARLY_CAPTIONS = 5
+EARLY_SEGMENTS = 15
 
 
 def clean_captions(captions: DataFrame) -> DataFrame:
@@ -83,6 +85,7 @@ def ngram_matches(
         *on, "s_text", "u.kind", F.explode("u.grams").alias("g")
     ).select(*on, "s_text", F.xxhash64("kind", "g").alias("gram"))
 
+    # segment grams that some caption has; counted first, joined to the rare ones after
     s_hits = s_grams.join(c_grams.select(*on, "gram").distinct(), [*on, "gram"], "left_semi")
     seen = s_hits.groupBy(*on, "gram").agg(F.count(F.lit(1)).alias("df"))
     weighed = c_grams.join(seen, [*on, "gram"], "left").withColumn("df", F.coalesce("df", F.lit(0)))
@@ -94,7 +97,6 @@ def ngram_matches(
         .select(*on, "c_text", F.explode(F.slice("g", F.lit(1), F.size("g") - need + 1)).alias("x"))
         .where(F.col("x.df") > 0)
         .select(*on, "c_text", F.col("x.gram").alias("gram"))
-        .distinct()
     )
     pairs = rarest.join(s_hits, [*on, "gram"]).select(*on, "c_text", "s_text").distinct()
     scored = (
@@ -128,7 +130,7 @@ def fuzzy_score(a: Column, b: Column) -> Column:
 
 def early_matches(
     captions: DataFrame, segments: DataFrame, known: DataFrame, on: list[str], caption_id: str, segment_id: str,
-    first_captions: int = 5, first_segments: int = 15, floor: float = 0.35,
+    first_captions: int = EARLY_CAPTIONS, first_segments: int = EARLY_SEGMENTS, floor: float = 0.35,
 ) -> DataFrame:
     """Fuzzy pairs among the first captions and segments that have no n-gram match yet.
 
@@ -178,7 +180,7 @@ def choose_offset(pairs: DataFrame, fuzzy: DataFrame, on: list[str], caption_id:
     chosen = counts.join(single, on).join(best, on, "left")
     near = lambda a: F.abs(F.col(a) - F.col("cluster_offset")) <= CLUSTER_SECONDS
     opening = (
-        pairs.where((F.col("s_pos") == 0) & (F.col("c_pos") < 5)).join(best.select(*on, "cluster_offset"), on)
+        pairs.where((F.col("s_pos") == 0) & (F.col("c_pos") < EARLY_CAPTIONS)).join(best.select(*on, "cluster_offset"), on)
         .where(near("start")).groupBy(*on).agg(F.min_by("start", "c_pos").alias("opening_start"))
     )
     early = (
@@ -200,25 +202,33 @@ def align(captions: DataFrame, segments: DataFrame, video: str) -> DataFrame:
     """
     from ..operators.sequence import First, Next, Position, Sequence
 
-    on = [video]
-    c = clean_captions(captions.select(video, "cap_id", "start", "text", "no_speech_prob"))
-    c = Sequence(on, ["cap_id"], ["cap_id"]).apply(c, pos=Position())
-    c = c.withColumn("pos", F.col("pos") - 1).withColumn("w", content_words("text"))
-    s = segments.select(video, "seg_id", "sec", "text")
-    s = Sequence(on, ["seg_id"], ["seg_id"]).apply(s, pos=Position(), _base=First("sec"), _next=Next("sec"))
-    s = s.select(
-        video, "seg_id", "text", (F.col("pos") - 1).alias("pos"), (F.col("sec") - F.col("_base")).alias("elapsed"),
-        F.coalesce(F.col("_next") - F.col("sec"), F.lit(30)).alias("duration"), content_words("text").alias("w"),
+    on, c_key, s_key = [video], [video, "cap_id"], [video, "seg_id"]
+    # positions come from slim rows; texts are joined back only where they are needed
+    spoken = clean_captions(captions).select(*c_key, "start", "text")
+    c_meta = Sequence(on, ["cap_id"], ["cap_id"]).apply(spoken.select(*c_key), pos=Position()).withColumn("pos", F.col("pos") - 1)
+    s_meta = Sequence(on, ["seg_id"], ["seg_id"]).apply(
+        segments.select(*s_key, "sec"), pos=Position(), _base=First("sec"), _next=Next("sec")
+    ).select(
+        *s_key, (F.col("pos") - 1).alias("pos"), (F.col("sec") - F.col("_base")).alias("elapsed"),
+        F.coalesce(F.col("_next") - F.col("sec"), F.lit(30)).alias("duration"),
     )
+    said = segments.select(*s_key, "text")
+    words = content_words("text").alias("w")
+
     # matches and pairs are read by several branches below and are small next to the texts
-    hits = cut_lineage(ngram_matches(c, s, on, "cap_id", "seg_id", "w", "w", short_captions=False))
+    hits = cut_lineage(
+        ngram_matches(spoken.select(*c_key, words), said.select(*s_key, words), on, "cap_id", "seg_id", "w", "w", short_captions=False)
+    )
     pairs = (
-        hits.join(c.select(video, "cap_id", F.col("text").alias("c_text"), "start", F.col("pos").alias("c_pos")), [video, "cap_id"])
-        .join(s.select(video, "seg_id", F.col("text").alias("s_text"), "elapsed", "duration", F.col("pos").alias("s_pos")), [video, "seg_id"])
+        hits.join(spoken.withColumnRenamed("text", "c_text"), c_key).join(c_meta.withColumnRenamed("pos", "c_pos"), c_key)
+        .join(said.withColumnRenamed("text", "s_text"), s_key).join(s_meta.withColumnRenamed("pos", "s_pos"), s_key)
         .withColumn("share", position_share("c_text", "s_text"))
         .withColumn("offset", implied_offset("start", "elapsed", "share", "duration"))
+        .drop("c_text", "s_text")
     )
-    fuzzy = early_matches(c, s, hits, on, "cap_id", "seg_id").withColumn("share", position_share("c_text", "s_text"))
+    opening = c_meta.where(F.col("pos") < EARLY_CAPTIONS).join(spoken, c_key).withColumn("w", words)
+    early = s_meta.where(F.col("pos") < EARLY_SEGMENTS).join(said, s_key).withColumn("w", words)
+    fuzzy = early_matches(opening, early, hits, on, "cap_id", "seg_id").withColumn("share", position_share("c_text", "s_text"))
     fuzzy = fuzzy.withColumn("offset", implied_offset("start", "elapsed", "share", "duration"))
     return choose_offset(cut_lineage(pairs), fuzzy, on, "cap_id")
 

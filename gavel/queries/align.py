@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import best_window, content_words, match_words, substring_position
 from ..plans import align
-from .tables import table
+from .tables import spread_table, table
 
 
 def _words(df, ident, text="text"):
@@ -16,7 +16,7 @@ def _words(df, ident, text="text"):
 def caption_matches(spark, d):
     """Every benchmark item against every document: 3-gram score of at least 0.3, all words."""
     c = _words(table(spark, d, "benchmark"), "item_id")
-    s = _words(table(spark, d, "documents"), "doc_id")
+    s = _words(spread_table(spark, d, "documents"), "doc_id")
     out = align.ngram_matches(c, s, ["k"], "item_id", "doc_id", "w", "w")
     return out.select("item_id", "doc_id", F.round("score", 6).alias("score"))
 
@@ -36,7 +36,7 @@ WHERE len(dd.w) < 3 AND len(list_filter(b.w, lambda x: list_contains(dd.w, x)))
 
 def caption_filter(spark, d):
     """Documents that would pass as spoken captions."""
-    docs = table(spark, d, "documents").withColumn("no_speech_prob", (F.col("doc_id") % 10) / 10.0)
+    docs = spread_table(spark, d, "documents").withColumn("no_speech_prob", (F.col("doc_id") % 10) / 10.0)
     return align.clean_captions(docs).select("doc_id")
 
 
@@ -48,7 +48,7 @@ SELECT doc_id FROM c WHERE doc_id % 10 <= 5 AND length(regexp_replace(text, '[^\
 
 def match_positions(spark, d):
     """Where a turn's middle words stand in the turn: by substring and by best window."""
-    c = table(spark, d, "conversations").withColumn("w", match_words("text")).where(F.size("w") >= 8)
+    c = spread_table(spark, d, "conversations").withColumn("w", match_words("text")).where(F.size("w") >= 8)
     half = F.floor(F.size("w") / 2).cast("int")
     needle = F.array_join(F.slice("w", F.floor(F.size("w") / 4).cast("int") + 1, half), " ")
     win = best_window(F.slice("w", F.floor(F.size("w") / 4).cast("int") + 1, half), F.col("w"))
@@ -72,14 +72,14 @@ FROM t JOIN bw USING (conv_id, turn)
 
 def _captions(spark, d):
     """Sentences of every turn as captions of its conversation."""
-    c = table(spark, d, "conversations")
+    c = spread_table(spark, d, "conversations")
     rows = c.select("conv_id", "turn", F.posexplode(F.split("text", r"[.\n]")).alias("i", "text")).where(F.length(F.trim("text")) > 0)
     cap_id = F.col("turn") * 1000 + F.col("i")
     return rows.select("conv_id", cap_id.alias("cap_id"), (F.col("turn") * 60 + F.col("i") * 5 + 40).cast("double").alias("start"), "text", F.lit(0.0).alias("no_speech_prob"))
 
 
 def _segments(spark, d):
-    return table(spark, d, "conversations").select("conv_id", F.col("turn").alias("seg_id"), F.col("turn").alias("pos"), (F.col("turn") * 60).alias("sec"), "text")
+    return spread_table(spark, d, "conversations").select("conv_id", F.col("turn").alias("seg_id"), F.col("turn").alias("pos"), (F.col("turn") * 60).alias("sec"), "text")
 
 
 def aligned_offsets(spark, d):
@@ -118,7 +118,7 @@ SELECT conv_id, cap_id, seg_id, round(0.6 * s2 + 0.4 * ws, 6) AS score FROM sr W
 
 def similar_text(spark, d):
     """Caption window most similar to the conversation's first turn."""
-    ref = table(spark, d, "conversations").where(F.col("turn") == 0).select("conv_id", F.col("text").alias("ref"))
+    ref = spread_table(spark, d, "conversations").where(F.col("turn") == 0).select("conv_id", F.col("text").alias("ref"))
     out = align.find_text(_captions(spark, d), ref, "conv_id", "ref")
     return out.select("conv_id", "start", F.round("ratio", 6).alias("ratio"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..operators.keyed import distinct_union
 from ..plans import entities, truecase
-from .tables import table
+from .tables import spread_table, table
 
 PLACE = "Springfield"
 
@@ -81,7 +81,7 @@ SELECT name, CAST(sum(n) AS BIGINT) AS frequency, count(*) AS transcripts, CAST(
 
 def merged_speakers(spark, d):
     """Word pairs of documents merged with speakers, case-insensitively."""
-    docs = table(spark, d, "documents")
+    docs = spread_table(spark, d, "documents")
     pairs = docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"([A-Z][a-z]+ [a-z]+)"), F.lit(1)))).alias("name"))
     ents = entities.entity_stats(pairs.withColumn("confidence", F.lit(0.9)), "doc_id", ["name"])
     speakers = table(spark, d, "conversations").select("conv_id", F.upper(F.regexp_extract("text", r"^([A-Z][a-z]+ [a-z]+)", 1)).alias("speaker")).where(F.col("speaker") != "")
@@ -139,7 +139,7 @@ def name_kinds(spark, d):
 
 def acronyms(spark, d):
     """Upper-case tokens in two or more documents, common words left out."""
-    docs = table(spark, d, "documents")
+    docs = spread_table(spark, d, "documents")
     stop = table(spark, d, "nation").select(F.lit("the").alias("word")).union(table(spark, d, "region").select(F.lower("r_name")))
     return entities.acronyms(docs, "doc_id", ["text"], stop)
 
@@ -153,7 +153,7 @@ SELECT token, count(*) AS meetings FROM t WHERE token <> 'THE' AND token NOT IN
 def config_merge(spark, d):
     """Known list united with what was found, new entries marked."""
     found = acronyms(spark, d).select("token")
-    known = table(spark, d, "documents").select(F.upper("lang").alias("token"))
+    known = spread_table(spark, d, "documents").select(F.upper("lang").alias("token"))
     union, new = entities.merge_config(known, found, "token")
     return union.join(new.withColumn("is_new", F.lit(1)), "token", "left").select("token", F.coalesce("is_new", F.lit(0)).alias("is_new"))
 
@@ -177,7 +177,7 @@ def standard_union(spark, d):
 
 def ranked_entities(spark, d):
     """Every word pair of the documents with its rank by score, then name."""
-    docs = table(spark, d, "documents")
+    docs = spread_table(spark, d, "documents")
     pairs = docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"([A-Z][a-z]+ [a-z]+)"), F.lit(1)))).alias("name"))
     stats = pairs.groupBy("name").agg(F.count(F.lit(1)).cast("double").alias("score"))
     return entities.ranked(stats).select("name", "score", F.col("rank").cast("bigint").alias("rank"))
@@ -191,7 +191,7 @@ SELECT name, score, row_number() OVER (ORDER BY score DESC, name) AS rank FROM s
 
 
 def top_entities(spark, d):
-    docs = table(spark, d, "documents")
+    docs = spread_table(spark, d, "documents")
     pairs = docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"([A-Z][a-z]+ [a-z]+)"), F.lit(1)))).alias("name"))
     return entities.top(pairs.groupBy("name").agg(F.count(F.lit(1)).alias("score")))
 
@@ -222,7 +222,7 @@ SELECT lower(proper) AS word, min(proper) AS proper FROM w GROUP BY 1 UNION ALL
 
 
 def word_chunks(spark, d):
-    docs = table(spark, d, "documents")
+    docs = spread_table(spark, d, "documents")
     rows = docs.select("doc_id", F.posexplode(entities.word_chunks("text")).alias("chunk_no", "chunk"))
     return rows.select("doc_id", F.col("chunk_no").cast("bigint").alias("chunk_no"), F.size(F.split("chunk", " ")).cast("bigint").alias("words"))
 
@@ -238,7 +238,7 @@ def _dictionary(spark, d):
     kinds = [
         truecase.dictionary_rows(table(spark, d, "nation").select(F.col("n_name").alias("name")), "entity"),
         truecase.dictionary_rows(table(spark, d, "part").select(F.initcap("p_name").alias("name")), "entity"),
-        truecase.dictionary_rows(table(spark, d, "documents").select(F.upper("lang").alias("name")).distinct(), "acronym"),
+        truecase.dictionary_rows(spread_table(spark, d, "documents").select(F.upper("lang").alias("name")).distinct(), "acronym"),
     ]
     out = kinds[0]
     for k in kinds[1:]:
@@ -271,7 +271,7 @@ SELECT p_partkey, 'We need ' || array_to_string(list_transform(string_split(p_na
 
 def truecased_turns(spark, d):
     """Every conversation turn, shouted and cased again."""
-    c = table(spark, d, "conversations").select(F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("turn_id"), F.upper("text").alias("shouted"))
+    c = spread_table(spark, d, "conversations").select(F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("turn_id"), F.upper("text").alias("shouted"))
     return truecase.truecase(c, "turn_id", "shouted", _dictionary(spark, d)).select("turn_id", "cased")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import money
 from ..plans import finance
-from .tables import table
+from .tables import spread_table, table
 
 
 def _cents(c):
@@ -15,7 +15,7 @@ def _cents(c):
 
 def _priced(spark, d):
     """Line items with prices as shown in text: $1,234.56."""
-    li = table(spark, d, "lineitem")
+    li = spread_table(spark, d, "lineitem")
     shown = F.concat(F.lit("$"), F.format_number(_cents("l_extendedprice"), 2))
     return li.withColumn("shown", shown).withColumn("price", _cents("l_extendedprice"))
 

@@ -8,7 +8,7 @@ from ..functions.video import session_rank
 from ..operators.ranges import interval_join
 from ..plans import coverage, diff, directives, manifest, videos
 from ..sources import html, transcripts
-from .tables import meetings, table
+from .tables import meetings, spread_table, table
 
 # --- directives ---------------------------------------------------------------
 
@@ -313,7 +313,7 @@ cd AS (SELECT DISTINCT wt.meeting_id, wt.label, video_id, wt.priority, CASE WHEN
 
 
 def page_lines(spark, d):
-    p = table(spark, d, "pages")
+    p = spread_table(spark, d, "pages")
     rows = p.select("page_id", html.page_lines("html").alias("lines"))
     return rows.select("page_id", F.size("lines").cast("bigint").alias("lines"), F.md5(F.array_join("lines", "\n")).alias("text_md5"))
 
@@ -328,7 +328,7 @@ SELECT page_id, CAST(len(ls) AS BIGINT) AS lines, md5(array_to_string(ls, chr(10
 
 
 def page_links(spark, d):
-    p = table(spark, d, "pages")
+    p = spread_table(spark, d, "pages")
     return html.links(p, "/", ["page_id"]).select("page_id", F.col("pos").cast("bigint").alias("pos"), "href", F.md5("text").alias("text_md5"))
 
 
@@ -342,7 +342,7 @@ SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY n) - 1 AS pos,
 
 def page_facts(spark, d):
     """Title, date, agenda type and addendum flag; the heading is put in front of each page."""
-    p = table(spark, d, "pages")
+    p = spread_table(spark, d, "pages")
     kind = F.when(F.col("page_id") % 3 == 0, "R E G U L A R  F I N A L  A G E N D A").when(F.col("page_id") % 3 == 1, "D R A F T").otherwise("Agenda")
     extra = F.when(F.col("page_id") % 5 == 0, "<p>Addendum  to Final\n Agenda</p>").otherwise("")
     top = F.concat(F.lit("<h1>"), kind, F.lit("</h1><span>Thursday, March "), (F.col("page_id") % 28 + 1).cast("string"), F.lit(", 2026</span>"), extra)

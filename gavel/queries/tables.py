@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.layout import spread_scan
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A given table; zone-less timestamps read as UTC timestamps."""
@@ -17,6 +19,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return df
 
 
+def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table for heavy per-row work: small files are spread over the cores."""
+    return spread_scan(table(spark, folder, name))
+
+
 def event_segments(spark: SparkSession, folder: str) -> DataFrame:
     """events as segments: meeting = user, us = microseconds, sec = seconds."""
     e = table(spark, folder, "events")

@@ -8,7 +8,7 @@ from ..functions import dates, text, urls, video
 from ..functions.base import capture, lines_of
 from ..functions.boilerplate import clean_agenda_text
 from ..plans import calendar, search, zoning
-from .tables import table
+from .tables import spread_table, table
 
 PLACE = "Springfield"
 
@@ -123,7 +123,7 @@ SELECT o_orderkey, 'The order of customer ' || o_custkey || ' totals.' || chr(10
 
 def folded_paragraphs(spark, d):
     """Wrapped lines of every document folded to paragraphs."""
-    docs = table(spark, d, "documents")
+    docs = spread_table(spark, d, "documents")
     rows = docs.select("doc_id", F.posexplode(text.paragraphs("text")).alias("para_no", "para"))
     return rows.select("doc_id", F.col("para_no").cast("bigint").alias("para_no"), F.md5("para").alias("para_md5"))
 
@@ -145,7 +145,7 @@ SELECT doc_id, CAST(p - 1 AS BIGINT) AS para_no, md5(string_agg(line, ' ' ORDER
 
 def background_lists(spark, d):
     """Numbered items and plain paragraphs of each document's blank-line blocks."""
-    docs = table(spark, d, "documents")
+    docs = spread_table(spark, d, "documents")
     numbered = F.concat(F.lit("1. first\n\nplain "), F.col("lang"), F.lit("\n\n2. second "), F.col("source"))
     parts = text.background_parts(numbered)
     return docs.select("doc_id", F.array_join(parts["items"], "|").alias("items"), F.array_join(parts["paragraphs"], "|").alias("paragraphs"))
@@ -201,7 +201,7 @@ def link_columns(spark, d):
 
 def ascii_text(spark, d):
     """Documents in plain ASCII."""
-    return table(spark, d, "documents").select("doc_id", F.md5(text.to_ascii("text")).alias("ascii_md5"))
+    return spread_table(spark, d, "documents").select("doc_id", F.md5(text.to_ascii("text")).alias("ascii_md5"))
 
 
 ASCII_SQL = r"""
@@ -215,7 +215,7 @@ SELECT doc_id, md5(regexp_replace(replace(replace(replace(replace(t, '…', '...
 
 def content_word_counts(spark, d):
     """Normalised words and content words of every document."""
-    docs = table(spark, d, "documents")
+    docs = spread_table(spark, d, "documents")
     w = docs.select("doc_id", text.match_words("text").alias("a"), text.content_words("text").alias("c"), F.round(text.ascii_share("text"), 6).alias("ascii_share"))
     return w.select("doc_id", F.size("a").cast("bigint").alias("words"), F.size("c").cast("bigint").alias("content_words"), F.md5(F.array_join("c", " ")).alias("content_md5"), "ascii_share")
 
@@ -270,7 +270,7 @@ SELECT p_partkey, (p_partkey + 100000) || '.0000,' || (p_partkey + 200000) AS fo
 
 def transcript_search(spark, d):
     """First fifty documents that hold a phrase, with a highlighted snippet."""
-    docs = table(spark, d, "documents")
+    docs = spread_table(spark, d, "documents")
     out = search.search(docs, "the of", ["doc_id"])
     return out.select("doc_id", "snippet")
 
