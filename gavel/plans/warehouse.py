@@ -138,7 +138,7 @@ def match_transcripts(meetings: DataFrame, transcripts: DataFrame) -> tuple[Data
 
 
 def segment_rows(transcripts: DataFrame, links: DataFrame) -> DataFrame:
-    rows = transcripts.join(links, "transcript_id").select(
+    rows = transcripts.select("transcript_id", "date", "segments").join(links, "transcript_id").select(
         "meeting_id", F.year("date").alias("year"), F.posexplode("segments").alias("segment_index", "s")
     )
     return rows.select(
