@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import Carry, Sequence
+from .sequence import Carry, Lowest, Sequence
 
 
 def asof_backward(
@@ -45,15 +45,13 @@ def asof_backward(
     )
     both = lefts.unionByName(rights, allowMissingColumns=True)
     seq = Sequence(keys, ["_t", "_side", "_tie"], ["_t", "_side"], target_rows)
-    out = seq.apply(both, _hit=Carry("_right"))
+    ops = {"_hit": Carry("_right")}
     if fallback_first:
-        first = rights.groupBy(*keys).agg(
-            F.min_by("_right", F.struct(F.col("_t"), -F.col("_tie"))).alias("_first")
-        )
-        out = out.where(F.col("_side") == 1).join(first, keys, "left")
-        out = out.withColumn("_hit", F.coalesce("_hit", "_first")).drop("_first")
-    else:
-        out = out.where(F.col("_side") == 1)
+        ops["_first"] = Lowest(F.when(F.col("_side") == 0, F.struct("_t", (-F.col("_tie")).alias("tie"), "_right")))
+    out = seq.apply(both, **ops)
+    out = out.where(F.col("_side") == 1)
+    if fallback_first:
+        out = out.withColumn("_hit", F.coalesce("_hit", "_first._right"))
     return out.select(*keys, "_left.*", F.col("_hit").alias("match"))
 
 

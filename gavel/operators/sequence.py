@@ -171,6 +171,29 @@ class First:
         return outer["v"]
 
 
+@dataclass(frozen=True)
+class Lowest:
+    """Minimum over the whole group, on every row."""
+
+    value: str | Column
+
+    def plain(self, w):
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return F.min(_col(self.value)).over(whole)
+
+    def inner(self, w):
+        return F.lit(None).cast("boolean")
+
+    def edge(self, order):
+        return F.min(_col(self.value))
+
+    def across(self, edge, w):
+        return F.min(edge).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+
+    def combine(self, inner, outer):
+        return outer
+
+
 @dataclass(frozen=True)
 class Total:
     """Sum over the whole group, on every row."""

@@ -168,10 +168,11 @@ def choose_offset(pairs: DataFrame, fuzzy: DataFrame, on: list[str], caption_id:
         F.count_distinct(caption_id).alias("support"),
         F.max("score").alias("best_score"),
         F.max_by("offset", F.struct(F.col("score"), -F.col("offset"))).alias("best_offset"),
-        F.array_sort(F.collect_list("offset")).alias("offsets"),
+        # the upper median: the middle one, or the greater of the middle two
+        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY offset DESC)").alias("upper_median"),
     )
-    upper_median = F.element_at("offsets", F.floor(F.size("offsets") / 2).cast("int") + 1)
-    clusters = clusters.withColumn("cluster_offset", F.when(F.col("size") >= 3, upper_median).otherwise(F.col("best_offset")))
+    offset = F.when(F.col("size") >= 3, F.col("upper_median")).otherwise(F.col("best_offset"))
+    clusters = clusters.withColumn("cluster_offset", offset)
     best = best_per_key(
         clusters.select(*on, "support", "best_score", "anchor", "cluster_offset", "size"),
         on,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_bucket
+from ..functions.text import file_extension
 from ..operators.nesting import subtotals
 
 
@@ -36,6 +37,13 @@ def document_volume(docs: DataFrame, dims: list[str], size: str, error: str | No
     )
 
 
+def by_extension(docs: DataFrame, name: str, size: str) -> DataFrame:
+    """Bytes per file extension (.pdf when there is none), largest first."""
+    ext = F.coalesce(F.nullif(file_extension(name), F.lit("")), F.lit(".pdf"))
+    totals = docs.groupBy(ext.alias("extension")).agg(F.count(F.lit(1)).alias("documents"), F.sum(size).alias("bytes"))
+    return totals.orderBy(F.desc("bytes"), "extension")
+
+
 def annual_projection(docs: DataFrame, date: str, size: str) -> DataFrame:
     """Yearly bytes from the weeks that were observed."""
     per_week = docs.groupBy(F.date_trunc("week", F.col(date)).alias("week")).agg(F.sum(size).alias("_b"))

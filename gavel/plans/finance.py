@@ -82,40 +82,55 @@ def mentions(df: DataFrame, keys: list[str], text: str, source: str, rank: int,
     )
 
 
-def _settle(state: Column, kind: Column, context: Column) -> Column:
-    """Next entry type after one more mention of the same amount."""
-    c = F.lower(context)
-    cut = c.contains("decrease")
-    named = c.contains("(expenditure)") | (kind == "expenditure")
-    return (
-        F.when(state.isNull() | (state == "unspecified"), kind)
-        .when(state == kind, state)
-        .when(c.contains("expenditure decrease"), F.lit("expenditure_decrease"))
-        .when(named & ~cut, F.lit("expenditure"))
-        .otherwise(state)
+def consolidate(found: DataFrame, keys: list[str], contexts: bool = True) -> DataFrame:
+    """One row per item and amount string, mentions taken in reading order.
+
+    The first typed mention sets the type.  Later mentions of another type change it
+    only when their wording is definite.  As types come from the wording, a mention
+    is one of: definite (an "expenditure decrease", or a plain expenditure), leaning
+    ("(expenditure)" next to revenue or credit words, which moves any other type
+    than its own to expenditure), or without effect.  The result is therefore the
+    last definite type, or else the first one, moved to expenditure by a leaning
+    mention after it: four ordered aggregates, combined before the shuffle.
+    """
+    text = F.lower("context")
+    kind = F.col("type")
+    typed = kind != "unspecified"
+    cut = text.contains("decrease")
+    definite = (
+        F.when(text.contains("expenditure decrease"), "expenditure_decrease")
+        .when((kind == "expenditure") & ~cut, "expenditure")
     )
-
-
-def consolidate(found: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per item and amount string, mentions taken in reading order."""
-    seq = F.struct("source_rank", "line_no", "amount_no")
-    row = F.struct("source_rank", "line_no", "amount_no", "type", "context", "source")
-    grouped = found.groupBy(*keys, "amount").agg(
-        F.max_by("value", seq).alias("value"),
-        F.min_by("section", F.when(F.col("section").isNotNull(), seq)).alias("section"),
-        F.array_sort(F.collect_list(row)).alias("_m"),
+    leaning = text.contains("(expenditure)") & ~cut
+    rows = found.withColumn("_seq", F.struct("source_rank", "line_no", "amount_no")).select(
+        "*", definite.alias("_definite"), (leaning & (kind == "revenue")).alias("_from_cut"),
+        (leaning & (kind == "expenditure_decrease")).alias("_from_revenue"),
     )
-    kind = F.aggregate(
-        "_m", F.lit(None).cast("string"), lambda s, m: _settle(s, m["type"], m["context"])
+    at = lambda c: F.when(c, F.col("_seq"))
+    is_definite = F.col("_definite").isNotNull()
+    every = [
+        F.max_by("value", "_seq").alias("value"),
+        F.min_by("section", at(F.col("section").isNotNull())).alias("section"),
+        F.count(F.lit(1)).alias("mentions"),
+        F.array_sort(F.collect_set("source")).alias("sources"),
+        F.max_by("_definite", at(is_definite)).alias("_last"),
+        F.max(at(is_definite)).alias("_last_at"),
+        F.min_by("type", at(typed)).alias("_first"),
+        F.min(at(typed)).alias("_first_at"),
+        F.max(at(F.col("_from_cut"))).alias("_cut_at"),
+        F.max(at(F.col("_from_revenue"))).alias("_revenue_at"),
+    ]
+    if contexts:  # the texts of one item bound this list
+        every.append(F.array_sort(F.collect_list(F.struct("_seq", "context"))).alias("_contexts"))
+    out = rows.groupBy(*keys, "amount").agg(*every)
+    base, since = F.coalesce("_last", "_first", F.lit("unspecified")), F.coalesce("_last_at", "_first_at")
+    moved = ((base == "expenditure_decrease") & (F.col("_cut_at") > since)) | (
+        (base == "revenue") & (F.col("_revenue_at") > since)
     )
-    return grouped.select(
-        *keys,
-        "amount",
-        "value",
-        kind.alias("type"),
-        "section",
-        F.transform("_m", lambda m: m["context"]).alias("contexts"),
-        F.array_distinct(F.transform("_m", lambda m: m["source"])).alias("sources"),
+    settled = F.when(F.coalesce(moved, F.lit(False)), "expenditure").otherwise(base)
+    listed = [F.transform("_contexts", lambda m: m["context"]).alias("contexts")] if contexts else []
+    return out.select(
+        *keys, "amount", "value", settled.alias("type"), "section", "mentions", "sources", *listed
     ).withColumn("signed_value", signed_value("type", "value"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.base import ColumnLike, col
+from ..functions.base import ColumnLike, col, let
 from ..functions.text import content_type, object_key, public_url, slug
 from ..operators.keyed import carry_forward_column
 
@@ -70,22 +70,77 @@ def carry_links(new: DataFrame, old: DataFrame, item: str = "item_id", title: st
     return carry_forward_column(n, o.select(item, "_slug", link), [item, "_slug"], link).drop("_slug")
 
 
+GRAM = 5
+
+
+def _pieces(text: Column, sizes) -> Column:
+    """Distinct substrings of the given sizes, tagged with their size."""
+
+    def of(t):
+        one = lambda n: F.when(
+            F.length(t) >= n,
+            F.transform(F.sequence(F.lit(1), F.length(t) - (n - 1)), lambda i: F.concat(F.lit(f"{n}:"), F.substr(t, i, F.lit(n)))),
+        ).otherwise(F.array().cast("array<string>"))
+        return F.array_distinct(F.concat(*[one(n) for n in sizes]))
+
+    return let(text, of)
+
+
+def _substrings(number: Column) -> Column:
+    """Every substring of a short identifier."""
+    starts = lambda t: F.sequence(F.lit(1), F.length(t))
+    of = lambda t: F.flatten(F.transform(starts(t), lambda i: F.transform(F.sequence(F.lit(1), F.length(t) - i + 1), lambda n: F.substr(t, i, n))))
+    return let(number, lambda t: F.when(F.length(t) > 0, F.array_distinct(of(t))).otherwise(F.array().cast("array<string>")))
+
+
 def link_items(links: DataFrame, items: DataFrame, meeting: str) -> DataFrame:
     """Resolve document links to agenda items of the same meeting in three tiers.
 
     Tier 1 compares numbers (either holds the other), tier 2 the link text inside
     the item text, tier 3 the same on letters and digits only; the first tier that
-    hits wins, then the lowest item number.
+    hits wins, then the lowest item number.  Containment is an equi-join: an
+    identifier meets the substrings of the other one, and a text meets the items
+    that hold its rarest five-letter piece, so a meeting is never paired with itself.
     links: meeting, link_id, number, text; items: meeting, item_id, item_no, text.
     """
     squeeze = lambda c: F.regexp_replace(F.lower(c), r"[^a-z0-9]", "")
-    i = items.select(meeting, "item_id", "item_no", F.lower("text").alias("_it"), squeeze(F.col("text")).alias("_iq"))
-    pairs = links.join(i, meeting)
-    by_number = F.col("item_id").contains(F.col("number")) | F.col("number").contains(F.col("item_id"))
-    by_text = F.col("_it").contains(F.lower("text")) & (F.length("text") > 0)
-    by_letters = F.col("_iq").contains(squeeze(F.col("text"))) & (F.length(squeeze(F.col("text"))) > 0)
-    tier = F.when(by_number, 1).when(by_text, 2).when(by_letters, 3)
-    best = pairs.withColumn("tier", tier).where(F.col("tier").isNotNull()).groupBy(meeting, "link_id").agg(
-        F.min(F.struct("tier", "item_no", "item_id")).alias("b")
+    asked = links.select(meeting, "number", F.lower("text").alias("lt")).distinct().withColumn("lq", squeeze(F.col("lt")))
+    i = items.select(meeting, "item_id", "item_no", F.lower("text").alias("it")).withColumn("iq", squeeze(F.col("it")))
+    best = F.min(F.struct("tier", "item_no", "item_id")).alias("b")
+    by = [meeting, "number", "lt"]
+
+    ids = i.groupBy(meeting, "item_id").agg(F.min("item_no").alias("item_no")).withColumn("tier", F.lit(1))
+    numbers = asked.select(meeting, "number").where(F.length("number") > 0).distinct()
+    inside = numbers.join(ids.select("*", F.explode(_substrings(F.col("item_id"))).alias("number")), [meeting, "number"])
+    around = numbers.select("*", F.explode(_substrings(F.col("number"))).alias("item_id")).join(ids, [meeting, "item_id"])
+    tier1 = inside.unionByName(around).groupBy(meeting, "number").agg(best)
+    tier1 = asked.join(tier1, [meeting, "number"]).select(*by, "b")
+
+    texts = asked.select(meeting, "lt", "lq").where(F.length("lt") > 0).distinct()
+    # text without letters or digits can only match as it stands
+    probe = F.when(F.length("lq") > 0, F.col("lq")).otherwise(F.col("lt"))
+    size = F.least(F.length(probe), F.lit(GRAM))
+    mine = texts.withColumn("_probe", probe).withColumn("_size", size)
+    mine = mine.select(
+        meeting, "lt", "lq",
+        F.explode(F.filter(_pieces(F.col("_probe"), range(1, GRAM + 1)), lambda p: p.startswith(F.concat(F.col("_size").cast("string"), F.lit(":"))))).alias("piece"),
+    )
+    distinct_items = i.groupBy(meeting, "it", "iq").agg(F.min(F.struct("item_no", "item_id")).alias("_i")).select(
+        meeting, "it", "iq", "_i.item_no", "_i.item_id"
     )
-    return links.join(best, [meeting, "link_id"], "left").select(*links.columns, "b.item_id", "b.tier")
+    plain = F.filter(_pieces(F.col("it"), range(1, GRAM + 1)), lambda p: ~F.substring(p, 3, GRAM).rlike("[a-z0-9]"))
+    theirs = distinct_items.withColumn("piece", F.explode(F.array_union(_pieces(F.col("iq"), range(1, GRAM + 1)), plain)))
+    theirs = theirs.join(mine.select(meeting, "piece").distinct(), [meeting, "piece"], "left_semi")
+    seen = theirs.groupBy(meeting, "piece").agg(F.count(F.lit(1)).alias("n"))
+    rarest = mine.join(seen, [meeting, "piece"]).groupBy(meeting, "lt", "lq").agg(F.min_by("piece", F.struct("n", "piece")).alias("piece"), F.count(F.lit(1)).alias("found"))
+    every = mine.groupBy(meeting, "lt").agg(F.count(F.lit(1)).alias("wanted"))
+    # a text of which some piece occurs nowhere is contained nowhere
+    rarest = rarest.join(every, [meeting, "lt"]).where(F.col("found") == F.col("wanted")).drop("found", "wanted")
+    hits = rarest.join(theirs, [meeting, "piece"])
+    tier = F.when(F.col("it").contains(F.col("lt")), 2).when((F.length("lq") > 0) & F.col("iq").contains(F.col("lq")), 3)
+    tier23 = hits.withColumn("tier", tier).where(F.col("tier").isNotNull()).groupBy(meeting, "lt").agg(best)
+    tier23 = asked.join(tier23, [meeting, "lt"]).select(*by, "b")
+
+    answer = tier1.unionByName(tier23).groupBy(*by).agg(F.min("b").alias("b"))
+    out = links.withColumn("lt", F.lower("text")).join(answer, by, "left")
+    return out.select(*links.columns, "b.item_id", "b.tier")

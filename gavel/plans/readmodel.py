@@ -23,12 +23,15 @@ def listing(meetings: DataFrame, videos: DataFrame, since: str | None = None) ->
 
 
 def items_with_documents(items: DataFrame, documents: DataFrame) -> DataFrame:
-    """Items per meeting as ordered pages, each item with its ordered documents."""
-    docs = documents.groupBy("meeting_id", "item_pos").agg(
-        F.array_sort(F.collect_list(F.struct("doc_pos", "title", "source_url"))).alias("documents")
-    )
-    joined = items.join(docs, ["meeting_id", "item_pos"], "left")
-    return nest_pages(joined, ["meeting_id"], "item_pos", ["item_number", "file_number", "title", "documents"], "items")
+    """Items per meeting as ordered pages, each item with its ordered documents.
+
+    An item with more documents than a page holds comes once per `doc_page`.
+    """
+    docs = nest_pages(documents, ["meeting_id", "item_pos"], "doc_pos", ["title", "source_url"], "documents")
+    joined = items.join(docs.withColumnRenamed("page", "doc_page"), ["meeting_id", "item_pos"], "left")
+    joined = joined.withColumn("doc_page", F.coalesce("doc_page", F.lit(0).cast("bigint")))
+    fields = ["item_number", "file_number", "title", "documents"]
+    return nest_pages(joined, ["meeting_id", "doc_page"], "item_pos", fields, "items")
 
 
 def segments_nested(segments: DataFrame) -> DataFrame:
@@ -36,13 +39,11 @@ def segments_nested(segments: DataFrame) -> DataFrame:
 
 
 def videos_with_chapters(videos: DataFrame, chapters: DataFrame) -> DataFrame:
-    ch = chapters.groupBy("meeting_id", "video_id").agg(
-        F.array_sort(F.collect_list(F.struct("chapter_index", "title", "seconds"))).alias("chapters")
-    )
-    joined = videos.join(ch, ["meeting_id", "video_id"], "left")
-    return joined.groupBy("meeting_id").agg(
-        F.array_sort(F.collect_list(F.struct("part", "video_id", "title", "chapters"))).alias("videos")
-    )
+    """Videos per meeting as ordered pages, each with its ordered chapters (paged alike)."""
+    ch = nest_pages(chapters, ["meeting_id", "video_id"], "chapter_index", ["title", "seconds"], "chapters")
+    joined = videos.join(ch.withColumnRenamed("page", "chapter_page"), ["meeting_id", "video_id"], "left")
+    joined = joined.withColumn("chapter_page", F.coalesce("chapter_page", F.lit(0).cast("bigint")))
+    return nest_pages(joined, ["meeting_id", "chapter_page"], "part", ["video_id", "title", "chapters"], "videos")
 
 
 def baselines(segments: DataFrame) -> DataFrame:
@@ -50,14 +51,17 @@ def baselines(segments: DataFrame) -> DataFrame:
     return segments.groupBy("meeting_id").agg(F.min_by("timestamp", "segment_index").alias("baseline"))
 
 
-def by_date(meetings: DataFrame, buckets: int = 64) -> DataFrame:
-    """Date → meetings, in pages spread by id so no date has to fit one task."""
-    page = F.pmod(F.xxhash64("id"), F.lit(buckets)).alias("page")
-    return (
-        meetings.select("date", page, F.struct("id", "meeting_type", "title").alias("_m"))
-        .groupBy("date", "page")
-        .agg(F.array_sort(F.collect_list("_m")).alias("meetings"))
-    )
+def by_date(meetings: DataFrame) -> DataFrame:
+    """Date → meetings in id order, in pages of bounded size."""
+    placed = Sequence(["date"], ["id"], ["id"]).apply(meetings.select("date", "id", "meeting_type", "title"), pos=Position())
+    placed = placed.withColumn("pos", F.col("pos") - 1)
+    return nest_pages(placed, ["date"], "pos", ["id", "meeting_type", "title"], "meetings")
+
+
+def index_order(meetings: DataFrame, date: str, tie: str) -> DataFrame:
+    """Newest first, meetings without a date last and shown as 0000-00-00."""
+    shown = F.coalesce(F.date_format(date, "yyyy-MM-dd"), F.lit("0000-00-00"))
+    return meetings.withColumn("shown_date", shown).orderBy(F.desc_nulls_last(date), tie)
 
 
 def latest_and_archive(meetings: DataFrame) -> DataFrame:

@@ -118,7 +118,13 @@ def _mentions(spark, d):
     """Every line as a mention of an amount in its order; the part's last digit is the amount."""
     li = table(spark, d, "lineitem")
     amount = F.col("l_partkey") % 5
-    context = F.when(F.col("l_returnflag") == "A", "expenditure decrease").when(F.col("l_returnflag") == "N", "grant revenue").when(F.col("l_linestatus") == "O", "(expenditure)").otherwise("plain")
+    context = (
+        F.when((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O"), "expenditure decrease")
+        .when(F.col("l_returnflag") == "A", F.when(F.col("l_quantity") > 25, "budget decrease").otherwise("credit (expenditure)"))
+        .when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), "grant revenue")
+        .when(F.col("l_returnflag") == "N", "revenue (expenditure)")
+        .when((F.col("l_linestatus") == "O") & (F.col("l_quantity") > 40), "payment").otherwise("plain")
+    )
     return li.select(
         "l_orderkey", F.lit(0).alias("source_rank"), F.concat(F.lit("src"), F.col("l_suppkey") % 3).alias("source"),
         F.col("l_linenumber").alias("line_no"), (F.col("l_partkey") * 100_000 + F.col("l_suppkey")).alias("amount_no"),
@@ -130,10 +136,10 @@ def _mentions(spark, d):
 
 def consolidated_amounts(spark, d):
     """One entry per order and amount with the settled type."""
-    out = finance.consolidate(_mentions(spark, d), ["l_orderkey"])
+    out = finance.consolidate(_mentions(spark, d), ["l_orderkey"], contexts=False)
     return out.select(
         "l_orderkey", "amount", F.col("value").cast("double").alias("value"), "type", "section",
-        F.size("contexts").cast("bigint").alias("mentions"), F.array_join(F.array_sort("sources"), ",").alias("sources"),
+        "mentions", F.array_join("sources", ",").alias("sources"),
         F.col("signed_value").cast("double").alias("signed_value"),
     )
 
@@ -142,14 +148,16 @@ CONSOLIDATED_SQL = """
 WITH RECURSIVE e AS MATERIALIZED (
   SELECT l_orderkey, '$' || (l_partkey % 5) AS amount, l_partkey % 5 AS val, 'src' || (l_suppkey % 3) AS src,
     CASE WHEN l_linestatus = 'O' THEN 'projected_costs' END AS section,
-    CASE WHEN l_returnflag = 'A' THEN 'expenditure_decrease' WHEN l_returnflag = 'N' THEN 'revenue' WHEN l_linestatus = 'O' THEN 'expenditure' ELSE 'unspecified' END AS t,
+    CASE WHEN l_returnflag = 'A' THEN 'expenditure_decrease' WHEN l_returnflag = 'N' THEN 'revenue' WHEN l_linestatus = 'O' AND l_quantity > 40 THEN 'expenditure' ELSE 'unspecified' END AS t,
+    CASE WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN 'D' WHEN l_returnflag = 'A' AND l_quantity > 25 THEN '' WHEN l_returnflag = 'A' THEN 'E'
+         WHEN l_returnflag = 'N' AND l_linestatus <> 'O' THEN 'E' WHEN l_returnflag NOT IN ('A', 'N') AND l_linestatus = 'O' AND l_quantity > 40 THEN 'E' ELSE '' END AS force,
     row_number() OVER (PARTITION BY l_orderkey, l_partkey % 5 ORDER BY l_linenumber, l_partkey * 100000 + l_suppkey) AS n
   FROM lineitem),
 f AS (
   SELECT l_orderkey, amount, n, t AS state FROM e WHERE n = 1
   UNION ALL
   SELECT e.l_orderkey, e.amount, e.n, CASE WHEN f.state = 'unspecified' THEN e.t WHEN f.state = e.t THEN f.state
-     WHEN e.t = 'expenditure_decrease' THEN 'expenditure_decrease' WHEN e.t = 'expenditure' THEN 'expenditure' ELSE f.state END
+     WHEN e.force = 'D' THEN 'expenditure_decrease' WHEN e.force = 'E' THEN 'expenditure' ELSE f.state END
   FROM f JOIN e ON e.l_orderkey = f.l_orderkey AND e.amount = f.amount AND e.n = f.n + 1),
 last AS (SELECT l_orderkey, amount, arg_max(state, n) AS type FROM f GROUP BY 1, 2),
 agg AS (SELECT l_orderkey, amount, max(val) AS val, count(*) AS mentions, min(section) AS section, string_agg(DISTINCT src, ',' ORDER BY src) AS sources FROM e GROUP BY 1, 2)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.video import session_rank
 from ..operators.ranges import interval_join
-from ..plans import coverage, diff, directives, manifest, videos
+from ..plans import coverage, diff, directives, manifest, videos, zoning
 from ..sources import html, transcripts
 from .tables import meetings, spread_table, table
 
@@ -357,7 +357,7 @@ def agenda_table_rows(spark, d):
         F.lit("<table><tbody><tr><td>"), F.col("l_linenumber").cast("string"), F.lit(".</td><td>File No. PS25-"), F.col("l_partkey").cast("string"),
         F.lit(" <a id=\"lnk"), F.col("l_suppkey").cast("string"), F.lit("\" href=\"javascript:loadAgendaItem("), F.col("l_suppkey").cast("string"), F.lit(",1)\">open</a></td></tr></tbody></table>"),
     )
-    pages = li.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list(row)), "").alias("html"))
+    pages = li.select("l_orderkey", row.alias("html"))
     return html.agenda_rows(pages, "l_orderkey").select("l_orderkey", "number", "agenda_item_id", "link_id", "file_number", "raw_text")
 
 
@@ -368,12 +368,12 @@ SELECT l_orderkey, l_linenumber AS number, CAST(l_suppkey AS VARCHAR) AS agenda_
 
 
 def meeting_list(spark, d):
-    """Meeting-list rows parsed from tables made of orders, one page per customer."""
+    """Meeting-list rows parsed from tables made of orders, one page per order."""
     o = table(spark, d, "orders")
     link = F.when(F.col("o_orderstatus") == "P", "<a href=\"/s?doctype=3\">Summary</a>").otherwise(F.concat(F.lit("<a href=\"/ViewMeeting?id="), F.col("o_orderkey").cast("string"), F.lit("&amp;doctype=1\">Agenda</a>")))
     name = F.when(F.col("o_orderpriority") == "1-URGENT", "Evening CRA").when(F.col("o_orderpriority") == "2-HIGH", "Special").otherwise("Council")
     row = F.concat(F.lit("<tr data-meeting-id=\""), F.col("o_orderkey").cast("string"), F.lit("\"><td>"), name, F.lit("</td><td>"), link, F.lit("</td></tr>"))
-    pages = o.groupBy("o_custkey").agg(F.concat(F.lit("<table>"), F.array_join(F.array_sort(F.collect_list(row)), ""), F.lit("</table>")).alias("html"))
+    pages = o.select("o_custkey", F.concat(F.lit("<table>"), row, F.lit("</table>")).alias("html"))
     return html.meeting_list_rows(pages, "o_custkey", "https://records.example.org")
 
 
@@ -389,7 +389,7 @@ def transcript_index(spark, d):
     day = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(F.date_format("o_orderdate", "M/d/yyyy"))
     name = F.when(F.col("o_orderpriority") == "1-URGENT", "Evening CRA").when(F.col("o_orderpriority") == "2-HIGH", "Workshop").otherwise("Council")
     row = F.concat(F.lit("<tr><td>"), day, F.lit("</td><td>"), name, F.lit("</td><td><a href='/t?pkey="), F.col("o_orderkey").cast("string"), F.lit("'>read</a></td></tr>"))
-    pages = o.groupBy("o_custkey").agg(F.concat(F.lit("<table>"), F.array_join(F.array_sort(F.collect_list(row)), ""), F.lit("</table>")).alias("html"))
+    pages = o.select("o_custkey", F.concat(F.lit("<table>"), row, F.lit("</table>")).alias("html"))
     return html.transcript_index_rows(pages, "o_custkey")
 
 
@@ -422,26 +422,92 @@ SELECT o_orderkey, 'Order ' || o_orderkey AS title, 'owed by ' || o_custkey AS b
 
 
 def transcript_pages(spark, d):
-    """Header fields and speaker segments of transcript pages made of conversations."""
-    c = table(spark, d, "conversations")
-    line = F.concat(
-        F.lpad(F.col("turn").cast("string"), 4, "0"), F.lit("~9:"), F.lpad(F.col("turn").cast("string"), 2, "0"), F.lit(":00AM >>"), F.upper("role"), F.lit(": opening\n"),
-        F.regexp_replace("text", r"\s+", " "), F.lit("\n9:59:59AM >> nobody\nSkip to content\n"),
+    """Header fields and speaker segments of transcript pages, one page per conversation turn."""
+    c = spread_table(spark, d, "conversations")
+    stamp = F.concat(F.lit("9:"), F.lpad(F.col("turn").cast("string"), 2, "0"))
+    page = F.concat(
+        F.lit("SPRING CITY COUNCIL\nTHURSDAY, OCTOBER 23, 2025, 9:00 A.M.\nDISCLAIMER:\nnot official\nfor reading only\n"),
+        stamp, F.lit(":00AM >>"), F.upper("role"), F.lit(": opening\n"), F.regexp_replace("text", r"\s+", " "),
+        F.lit("\n9:59:59AM >> nobody\nSkip to content\n"), stamp, F.lit(":30AM >>CHAIR:\nthank\nyou\n"), stamp, F.lit(":40AM >>CLERK:\n"),
     )
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: F.substring(x, 6, 10_000_000)), "")
-    pages = c.groupBy("conv_id").agg(joined.alias("body"))
-    head = F.concat(F.lit("SPRING CITY COUNCIL\nTHURSDAY, OCTOBER 23, 2025, 9:00 A.M.\nDISCLAIMER:\nnot official\nfor reading only\n"), "body")
-    out = transcripts.parse_pages(pages.withColumn("t", head), html.lines_of(F.col("t")), ["conv_id"], "CITY COUNCIL")
-    rows = out.select("conv_id", "meeting_title", "meeting_date_time", "disclaimer", "segment_count", F.posexplode("segments").alias("i", "s"))
-    return rows.select("conv_id", "meeting_title", "meeting_date_time", "disclaimer", "segment_count", F.col("i").alias("segment_index"), "s.timestamp", "s.speaker", F.md5("s.text").alias("text_md5"))
+    pages = c.select("conv_id", "turn", page.alias("t"))
+    out = transcripts.parse_pages(pages, html.lines_of(F.col("t")), ["conv_id", "turn"], "CITY COUNCIL")
+    head = ["conv_id", "turn", "meeting_title", "meeting_date_time", "disclaimer", "segment_count"]
+    rows = out.select(*head, F.posexplode("segments").alias("i", "s"))
+    return rows.select(*head, F.col("i").alias("segment_index"), "s.timestamp", "s.speaker", F.md5("s.text").alias("text_md5"))
 
 
 TRANSCRIPT_SQL = r"""
-SELECT conv_id, 'SPRING CITY COUNCIL' AS meeting_title, 'THURSDAY, OCTOBER 23, 2025, 9:00 A.M.' AS meeting_date_time, 'not official for reading only' AS disclaimer,
-  CAST(count(*) OVER (PARTITION BY conv_id) AS INTEGER) AS segment_count, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS segment_index,
-  '9:' || lpad(CAST(turn AS VARCHAR), 2, '0') || ':00AM' AS timestamp, upper(role) AS speaker, md5(trim('opening ' || trim(regexp_replace(text, '\s+', ' ', 'g')))) AS text_md5 FROM conversations
+WITH h AS (SELECT conv_id, turn, 'SPRING CITY COUNCIL' AS meeting_title, 'THURSDAY, OCTOBER 23, 2025, 9:00 A.M.' AS meeting_date_time, 'not official for reading only' AS disclaimer,
+  2 AS segment_count, '9:' || lpad(CAST(turn AS VARCHAR), 2, '0') AS st, role, text FROM conversations)
+SELECT conv_id, turn, meeting_title, meeting_date_time, disclaimer, segment_count, 0 AS segment_index, st || ':00AM' AS timestamp, upper(role) AS speaker,
+  md5(trim('opening ' || trim(regexp_replace(text, '\s+', ' ', 'g')))) AS text_md5 FROM h
+UNION ALL SELECT conv_id, turn, meeting_title, meeting_date_time, disclaimer, segment_count, 1, st || ':30AM', 'CHAIR', md5('thank you') FROM h
+"""
+
+
+# --- staff reports, exports, maps -------------------------------------------------------------
+
+
+def _reports(spark, d):
+    """Land-use items made of parts, with lines as their documents."""
+    p = table(spark, d, "part")
+    fn = F.concat(F.when(F.col("p_size") % 3 == 0, "REZ-25-").when(F.col("p_size") % 3 == 1, "VAC-25-").otherwise("PS25-"), F.col("p_partkey").cast("string"))
+    items = p.select("p_partkey", fn.alias("file_number"), F.col("p_name").alias("title"))
+    kind = F.when(F.col("l_returnflag") == "A", "Notice ").otherwise("Staff Report Final ")
+    docs = table(spark, d, "lineitem").select(
+        F.col("l_partkey").alias("p_partkey"), F.concat(kind, F.when(F.col("l_linestatus") == "O", F.date_format("l_shipdate", "MM.dd.yy")).otherwise(F.repeat(F.lit("x"), F.col("l_linenumber")))).alias("doc_title"),
+        (F.col("l_orderkey") * 1000 + F.col("l_suppkey")).alias("doc_pos"), F.concat_ws("/", "l_orderkey", "l_linenumber", "l_suppkey").alias("url"),
+    )
+    return items, docs
+
+
+def latest_reports(spark, d):
+    """Newest final staff report of each land-use item."""
+    items, docs = _reports(spark, d)
+    return zoning.latest_reports(items, docs, ["p_partkey"]).select("p_partkey", "land_use_type", "doc_title")
+
+
+def attached_reports(spark, d):
+    """Every part with the report of its item, if it has one."""
+    items, docs = _reports(spark, d)
+    found = zoning.latest_reports(items, docs, ["p_partkey"]).select("p_partkey", "doc_title", "land_use_type")
+    out = zoning.attach_reports(items, found, "p_partkey")
+    return out.select("p_partkey", "file_number", F.col("staff_report.land_use_type").alias("land_use_type"), F.col("staff_report.doc_title").alias("doc_title"))
+
+
+REPORTS = """
+dc AS (SELECT l_partkey AS p_partkey, CASE WHEN l_linestatus = 'O' THEN l_shipdate END AS dt, 'Staff Report Final ' || CASE WHEN l_linestatus = 'O' THEN strftime(l_shipdate, '%m.%d.%y') ELSE repeat('x', l_linenumber) END AS doc_title
+  FROM lineitem WHERE l_returnflag <> 'A'),
+dy AS (SELECT *, CASE WHEN dt IS NOT NULL THEN make_date(2000 + CAST(strftime(dt, '%y') AS INTEGER), CAST(month(dt) AS INTEGER), CAST(day(dt) AS INTEGER)) END AS rd FROM dc),
+bs AS (SELECT p_partkey, arg_max(doc_title, (rd IS NOT NULL, coalesce(rd, DATE '1900-01-01'), length(doc_title))) AS doc_title FROM dy GROUP BY 1),
+lr AS (SELECT p.p_partkey, CASE p_size % 3 WHEN 0 THEN 'REZONING' WHEN 1 THEN 'VACATION' END AS land_use_type, doc_title FROM part p JOIN bs USING (p_partkey) WHERE p_size % 3 < 2)
 """
 
+
+def extension_totals(spark, d):
+    docs = table(spark, d, "documents").withColumn("name", F.concat(F.col("source"), F.when(F.col("doc_id") % 3 == 0, ".DOCX").when(F.col("doc_id") % 3 == 1, ".pdf").otherwise("")))
+    return coverage.by_extension(docs.withColumn("name", F.regexp_replace("name", r"^[^.]*", "x")), "name", "n_chars")
+
+
+def json_export(spark, d):
+    """Meetings written as JSON lines and read back with an explicit schema; empty values stay out."""
+    from .streams import _scratch
+
+    out = _scratch(spark)
+    p = table(spark, d, "part")
+    amounts = F.when(F.col("p_size") % 2 == 0, F.array(F.concat(F.lit("$"), F.col("p_size").cast("string"))))
+    p.select("p_partkey", "p_name", amounts.alias("amounts")).write.json(out)
+    back = spark.read.schema("p_partkey bigint, p_name string, amounts array<string>").json(out)
+    return back.select("p_partkey", "p_name", F.to_json("amounts").alias("amounts"))
+
+
+def map_rows(spark, d):
+    """JSON maps of events as rows, summed per key."""
+    e = table(spark, d, "events").select("event_type", F.explode(F.from_json("props", "map<string,bigint>")).alias("name", "value"))
+    return e.groupBy("event_type", "name").agg(F.count(F.lit(1)).alias("entries"), F.sum("value").alias("total"))
+
+
 QUERIES = {
     "directive_items": (
         directive_items,
@@ -522,4 +588,19 @@ QUERIES = {
     "transcript_index": (transcript_index, INDEX_SQL),
     "item_pages": (item_pages, ITEM_SQL),
     "transcript_pages": (transcript_pages, TRANSCRIPT_SQL),
+    "latest_reports": (latest_reports, f"WITH {REPORTS} SELECT * FROM lr"),
+    "attached_reports": (
+        attached_reports,
+        f"""WITH {REPORTS} SELECT p.p_partkey, CASE p_size % 3 WHEN 0 THEN 'REZ-25-' WHEN 1 THEN 'VAC-25-' ELSE 'PS25-' END || p.p_partkey AS file_number, lr.land_use_type, lr.doc_title
+            FROM part p LEFT JOIN lr USING (p_partkey)""",
+    ),
+    "extension_totals": (
+        extension_totals,
+        "SELECT CASE WHEN doc_id % 3 = 0 THEN '.docx' ELSE '.pdf' END AS extension, count(*) AS documents, CAST(sum(n_chars) AS BIGINT) AS bytes FROM documents GROUP BY 1",
+    ),
+    "json_export": (json_export, "SELECT p_partkey, p_name, CASE WHEN p_size % 2 = 0 THEN '[\"$' || p_size || '\"]' END AS amounts FROM part"),
+    "map_rows": (
+        map_rows,
+        """SELECT event_type, 'k' AS name, count(*) AS entries, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY 1""",
+    ),
 }

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.layout import spread_scan
+from ..session import skew_settings
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A given table; zone-less timestamps read as UTC timestamps."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    skew_settings(spark)
     df = spark.read.parquet(f"{folder}/{name}.parquet")
     for f in df.schema.fields:
         if isinstance(f.dataType, T.TimestampNTZType):

@@ -413,7 +413,7 @@ def positioned_lines(spark, d):
     """Text pieces with x and y put back into lines, page by page."""
     li = table(spark, d, "lineitem")
     pieces = li.select(
-        F.col("l_suppkey").alias("doc"), (F.col("l_partkey") % 50).alias("page"), F.col("l_partkey").cast("double").alias("x"),
+        F.col("l_suppkey").alias("doc"), (F.col("l_partkey") % 500).alias("page"), F.col("l_partkey").cast("double").alias("x"),
         (F.col("l_quantity") / 8).alias("y"), F.concat_ws(".", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string")).alias("piece"),
     )
     out = calendar.lines_from_positions(pieces, "doc", "page", "x", "y", "piece")
@@ -421,7 +421,7 @@ def positioned_lines(spark, d):
 
 
 POSITION_SQL = """
-WITH RECURSIVE pc AS MATERIALIZED (SELECT l_suppkey AS doc, l_partkey % 50 AS page, l_partkey AS x, l_quantity / 8 AS y, l_orderkey || '.' || l_linenumber || '.' || l_partkey AS t FROM lineitem),
+WITH RECURSIVE pc AS MATERIALIZED (SELECT l_suppkey AS doc, l_partkey % 500 AS page, l_partkey AS x, l_quantity / 8 AS y, l_orderkey || '.' || l_linenumber || '.' || l_partkey AS t FROM lineitem),
 ys AS MATERIALIZED (SELECT DISTINCT doc, page, y FROM pc),
 nx AS MATERIALIZED (SELECT a.doc, a.page, a.y, min(b.y) AS ny FROM ys a LEFT JOIN ys b ON a.doc = b.doc AND a.page = b.page AND b.y - a.y >= 0.2 GROUP BY ALL),
 st AS (SELECT doc, page, min(y) AS s FROM ys GROUP BY 1, 2 UNION ALL SELECT n.doc, n.page, n.ny FROM st JOIN nx n ON st.doc = n.doc AND st.page = n.page AND st.s = n.y WHERE n.ny IS NOT NULL),

@@ -8,6 +8,7 @@ from ..functions import rules
 from ..functions.base import blank_to_null, first_present, zero_to_null
 from ..functions.text import default_title
 from ..operators import keyed
+from ..operators.sequence import Position, Sequence
 from ..plans import discover, readmodel, warehouse
 from .tables import meetings, table
 
@@ -37,11 +38,15 @@ own AS (SELECT g.*, coalesce(b.id, 1000000 + first_id) AS id, b.id IS NULL AS st
 
 
 def item_counts(spark, d):
-    """Items of each meeting as an array, and its length."""
-    li = table(spark, d, "lineitem")
-    nested = readmodel.nest_pages(li, ["l_orderkey"], "l_linenumber", ["l_partkey"], "items")
-    # the page column keeps arrays bounded; lengths add up over the pages
-    return nested.groupBy(F.col("l_orderkey").alias("meeting_id")).agg(F.sum(F.size("items")).alias("item_count"))
+    """Items per meeting; what would be the length of its array."""
+    return table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("meeting_id")).agg(F.count(F.lit(1)).alias("item_count"))
+
+
+def _placed_lines(spark, d):
+    """Lines with a dense place inside their order."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    order = ["l_linenumber", "l_partkey", "l_suppkey"]
+    return Sequence(["l_orderkey"], order, order).apply(li, pos=Position())
 
 
 def keep_fullest(spark, d):
@@ -223,25 +228,24 @@ def listing(spark, d):
 
 def nested_items(spark, d):
     """Items as ordered arrays per meeting, shown as text."""
-    li = table(spark, d, "lineitem")
-    pages = readmodel.nest_pages(li, ["l_orderkey"], "l_linenumber", ["l_partkey", "l_suppkey"], "items")
+    pages = readmodel.nest_pages(_placed_lines(spark, d), ["l_orderkey"], "pos", ["l_linenumber", "l_partkey", "l_suppkey"], "items")
     shown = F.array_join(F.transform("items", lambda x: F.concat_ws(":", x["l_linenumber"], x["l_partkey"], x["l_suppkey"])), ",")
     return pages.select(F.col("l_orderkey").alias("meeting_id"), "page", shown.alias("items"))
 
 
 def nested_documents(spark, d):
     """customer → orders → lines as a two-level nested model."""
-    o, li = table(spark, d, "orders"), table(spark, d, "lineitem")
+    o, li = table(spark, d, "orders"), _placed_lines(spark, d)
     items = o.select(F.col("o_custkey").alias("meeting_id"), F.col("o_orderkey").alias("item_pos"), F.lit(1).alias("item_number"), F.col("o_orderstatus").alias("file_number"), F.col("o_orderpriority").alias("title"))
     docs = li.join(o.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_custkey").alias("meeting_id"), F.col("l_orderkey").alias("item_pos"), F.col("l_linenumber").alias("doc_pos"),
-        F.col("l_partkey").cast("string").alias("title"), F.col("l_suppkey").cast("string").alias("source_url"),
+        F.col("o_custkey").alias("meeting_id"), F.col("l_orderkey").alias("item_pos"), F.col("pos").alias("doc_pos"),
+        F.concat_ws(":", "l_linenumber", "l_partkey").alias("title"), F.col("l_suppkey").cast("string").alias("source_url"),
     )
     nested = readmodel.items_with_documents(items, docs)
     flat = nested.select("meeting_id", F.explode("items").alias("i"))
     return flat.select(
         "meeting_id", F.col("i.item_pos").alias("item_pos"), F.col("i.title").alias("title"),
-        F.array_join(F.transform("i.documents", lambda x: F.concat_ws(":", x["doc_pos"], x["title"], x["source_url"])), ",").alias("documents"),
+        F.array_join(F.transform("i.documents", lambda x: F.concat_ws(":", x["title"], x["source_url"])), ",").alias("documents"),
     )
 
 
@@ -292,6 +296,12 @@ def combined_days(spark, d):
     return readmodel.combined_days(m).select("date", "id", F.col("position").cast("bigint").alias("position"), "in_day", "is_multi")
 
 
+def index_order(spark, d):
+    """Index of meetings, newest first, those without a date last."""
+    m = meetings(spark, d).withColumn("date", F.when(F.col("o_custkey") % 9 != 0, F.col("date")))
+    return readmodel.index_order(m, "date", "id").select("id", "shown_date")
+
+
 def orphan_lines(spark, d):
     """Foreign-key check: lines whose part the kept parts lack."""
     parts = table(spark, d, "part").where(F.col("p_size") > 10).select(F.col("p_partkey").alias("l_partkey"))
@@ -408,13 +418,13 @@ QUERIES = {
     ),
     "nested_items": (
         nested_items,
-        """SELECT l_orderkey AS meeting_id, CAST(l_linenumber // 1000 AS BIGINT) AS page,
+        """SELECT l_orderkey AS meeting_id, CAST(0 AS BIGINT) AS page,
              string_agg(l_linenumber || ':' || l_partkey || ':' || l_suppkey, ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS items FROM lineitem GROUP BY 1, 2""",
     ),
     "nested_documents": (
         nested_documents,
         """SELECT o_custkey AS meeting_id, o_orderkey AS item_pos, o_orderpriority AS title,
-             string_agg(l_linenumber || ':' || l_partkey || ':' || l_suppkey, ',' ORDER BY l_linenumber, CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR)) AS documents
+             string_agg(l_linenumber || ':' || l_partkey || ':' || l_suppkey, ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS documents
            FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2, 3""",
     ),
     "videos_with_chapters": (
@@ -438,6 +448,10 @@ QUERIES = {
              CASE WHEN count(*) OVER (PARTITION BY CAST(o_orderdate AS DATE)) > 1 THEN 1 ELSE 0 END AS is_multi
            FROM orders WHERE o_orderstatus <> 'P'""",
     ),
+    "index_order": (
+        index_order,
+        "SELECT o_orderkey AS id, CASE WHEN o_custkey % 9 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '0000-00-00' END AS shown_date FROM orders",
+    ),
     "orphan_lines": (orphan_lines, "SELECT l_returnflag, count(*) AS orphans FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10) GROUP BY 1"),
     "metadata_lookup": (
         metadata_lookup,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gavel.operators.clusters import anchored_clusters
 from gavel.operators.ranges import asof_backward
-from gavel.operators.sequence import Carry, First, Next, Position, Prev, Running, RunningMax, Sequence, Total, chunked
+from gavel.operators.sequence import Carry, First, Lowest, Next, Position, Prev, Running, RunningMax, Sequence, Total, chunked
 
 
 @pytest.fixture(scope="module")
@@ -37,13 +37,14 @@ def expected(df):
         F.row_number().over(w).cast("bigint").alias("pos"),
         F.first("v").over(whole).alias("first"),
         F.sum("id").over(whole).alias("total"),
+        F.min("v").over(whole).alias("low"),
     )
 
 
 def every_op():
     return dict(
         prev=Prev("v"), next=Next("v"), carry=Carry("v"), before=Carry("v", before=True), running=Running("id"),
-        top=RunningMax("v"), pos=Position(), first=First("v"), total=Total("id"),
+        top=RunningMax("v"), pos=Position(), first=First("v"), total=Total("id"), low=Lowest("v"),
     )
 
 
