@@ -2,9 +2,12 @@
 
 Sorted values join the open cluster while they lie within `width` of its first
 value (the anchor), so it is not a session window.  A gap wider than `width`
-always opens a cluster, whatever came before.  The rows are therefore first cut
-at such gaps (a balanced sequence job), and only the distinct values inside one
-gap-free run are folded, as a native array aggregate.
+always opens a cluster, whatever came before, so the values are first cut into
+runs at such gaps (a balanced sequence job).  A run of ordinary length is folded
+as a native array aggregate.  A run too long for that is solved by pointer
+doubling: every value knows the value that would open the next cluster after it,
+and following those pointers 1, 2, 4, … steps at a time marks all anchors in a
+logarithmic number of joins.
 """
 
 from __future__ import annotations
@@ -12,20 +15,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import Prev, Running, Sequence
+from ..session import cut_lineage
+from .sequence import Carry, Prev, Running, Sequence
+
+
+def _opens(x: Column, anchor: Column, width: float, inclusive: bool) -> Column:
+    return x > anchor + width if inclusive else x >= anchor + width
 
 
 def anchored_starts(values: Column, width: float, inclusive: bool = True) -> Column:
     """Anchors of a sorted array of doubles."""
 
     def step(starts, x):
-        gap = x - F.get(starts, F.size(starts) - 1)
-        opens = gap > width if inclusive else gap >= width
-        return F.when(gap.isNull() | opens, F.concat(starts, F.array(x))).otherwise(starts)
+        last = F.get(starts, F.size(starts) - 1)
+        opens = last.isNull() | _opens(x, last, width, inclusive)
+        return F.when(opens, F.concat(starts, F.array(x))).otherwise(starts)
 
     return F.aggregate(values, F.array().cast("array<double>"), step)
 
 
+def _anchors_by_doubling(points: DataFrame, by: list[str], width: float, inclusive: bool, target_rows: int) -> DataFrame:
+    """Anchors of long runs.  points: by, _x (distinct values)."""
+    # walking down from large values, the last point seen is the next one above
+    first_side = (1, 0) if inclusive else (0, 1)  # at equal values: probe before point, or after
+    above = points.select(*by, (-F.col("_x")).alias("_n"), F.lit(first_side[0]).alias("_side"), F.col("_x").alias("_point"))
+    probes = points.select(*by, (-(F.col("_x") + width)).alias("_n"), F.lit(first_side[1]).alias("_side"), F.col("_x").alias("_from"))
+    both = above.unionByName(probes, allowMissingColumns=True)
+    seen = Sequence(by, ["_n", "_side"], ["_n", "_side"], target_rows).apply(both, _to=Carry("_point"))
+    jump = cut_lineage(seen.where(F.col("_from").isNotNull()).select(*by, F.col("_from").alias("_x"), "_to"))
+    marked = points.groupBy(*by).agg(F.min("_x").alias("_x"))
+    while True:
+        reached = marked.join(jump, [*by, "_x"]).where(F.col("_to").isNotNull()).select(*by, F.col("_to").alias("_x"))
+        reached = cut_lineage(reached)
+        if reached.isEmpty():
+            return marked
+        marked = cut_lineage(marked.unionByName(reached).distinct())
+        further = jump.select(*by, F.col("_x").alias("_to"), F.col("_to").alias("_next"))
+        jump = cut_lineage(jump.join(further, [*by, "_to"]).select(*by, "_x", F.col("_next").alias("_to")))
+
+
 def anchored_clusters(
     df: DataFrame, keys: list[str], value: str, width: float, inclusive: bool = True, target_rows: int = 1_000_000
 ) -> DataFrame:
@@ -33,14 +61,22 @@ def anchored_clusters(
     points = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_x")).distinct()
     seq = Sequence(keys, ["_x"], ["_x"], target_rows).sized(points)
     gaps = seq.apply(points, _prev=Prev("_x"))
-    gap = F.col("_x") - F.col("_prev")
-    opens = F.coalesce(gap > width if inclusive else gap >= width, F.lit(True))
-    runs = seq.apply(gaps.withColumn("_new", opens.cast("bigint")), _run=Running("_new"))
-    folded = runs.groupBy(*keys, "_run").agg(F.array_sort(F.collect_list("_x")).alias("_xs"))
-    spread = folded.select(*keys, "_xs", F.explode(anchored_starts(F.col("_xs"), width, inclusive)).alias("anchor"))
-    # the members of an anchor are the run's values inside its window
-    inside = lambda x: x - F.col("anchor") <= width if inclusive else x - F.col("anchor") < width
-    members = spread.select(
-        *keys, "anchor", F.explode(F.filter("_xs", lambda x: (x >= F.col("anchor")) & inside(x))).alias("_x")
-    )
+    opens = F.col("_prev").isNull() | _opens(F.col("_x"), F.col("_prev"), width, inclusive)
+    runs = seq.apply(gaps.withColumn("_new", opens.cast("bigint")), _run=Running("_new")).select(*keys, "_run", "_x")
+    by = [*keys, "_run"]
+
+    def folded(some: DataFrame) -> DataFrame:
+        xs = some.groupBy(*by).agg(F.array_sort(F.collect_list("_x")).alias("_xs"))
+        return xs.select(*keys, F.explode(anchored_starts(F.col("_xs"), width, inclusive)).alias("_x"))
+
+    if seq.fits:  # no key, hence no run, is above the target
+        anchors = folded(runs)
+    else:
+        runs = cut_lineage(runs)
+        # at most points/target_rows runs are this long
+        long = F.broadcast(runs.groupBy(*by).count().where(F.col("count") > target_rows).select(*by))
+        solved = _anchors_by_doubling(runs.join(long, by, "left_semi"), by, width, inclusive, target_rows)
+        anchors = folded(runs.join(long, by, "left_anti")).unionByName(solved.select(*keys, "_x"))
+    marked = points.join(anchors.withColumn("_anchor", F.col("_x")), [*keys, "_x"], "left")
+    members = seq.apply(marked, anchor=Carry("_anchor")).select(*keys, "_x", "anchor")
     return df.withColumn("_x", F.col(value).cast("double")).join(members, [*keys, "_x"]).select(*df.columns, "anchor")

@@ -236,21 +236,21 @@ def chunked(
         name = f"_chunk{r}"
         by = keys + chunks
         stats = df.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[F.min(o).cast("double").alias(f"_lo{i}") for i, o in enumerate(ordinals)],
-            *[F.max(o).cast("double").alias(f"_hi{i}") for i, o in enumerate(ordinals)],
-        ).where(F.col("_n") > target_rows)
+            F.count(F.lit(1)).alias("_group_rows"),
+            *[F.min(o).cast("double").alias(f"_group_lo{i}") for i, o in enumerate(ordinals)],
+            *[F.max(o).cast("double").alias(f"_group_hi{i}") for i, o in enumerate(ordinals)],
+        ).where(F.col("_group_rows") > target_rows)
         cut = F.lit(0).cast("bigint")
         for i in reversed(range(len(ordinals))):
-            span = F.col(f"_hi{i}") - F.col(f"_lo{i}")
-            pieces = F.ceil(F.col("_n") / F.lit(target_rows))
-            piece = F.floor((F.col(ordinals[i]).cast("double") - F.col(f"_lo{i}")) / span * pieces)
+            span = F.col(f"_group_hi{i}") - F.col(f"_group_lo{i}")
+            pieces = F.ceil(F.col("_group_rows") / F.lit(target_rows))
+            piece = F.floor((F.col(ordinals[i]).cast("double") - F.col(f"_group_lo{i}")) / span * pieces)
             cut = F.when(span > 0, F.least(piece, pieces - 1)).otherwise(cut)
         # at most rows/target_rows groups pass the filter above, so this side is bounded
         df = (
             df.join(F.broadcast(stats), by, "left")
-            .withColumn(name, F.when(F.col("_n").isNull(), F.lit(0).cast("bigint")).otherwise(cut))
-            .drop("_n", *[f"_lo{i}" for i in range(len(ordinals))], *[f"_hi{i}" for i in range(len(ordinals))])
+            .withColumn(name, F.when(F.col("_group_rows").isNull(), F.lit(0).cast("bigint")).otherwise(cut))
+            .drop("_group_rows", *[f"_group_lo{i}" for i in range(len(ordinals))], *[f"_group_hi{i}" for i in range(len(ordinals))])
         )
         chunks.append(name)
     return df, chunks
