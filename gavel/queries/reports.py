@@ -352,7 +352,7 @@ def page_facts(spark, d):
 
 def agenda_table_rows(spark, d):
     """Agenda rows parsed from tables made of line items."""
-    li = table(spark, d, "lineitem")
+    li = spread_table(spark, d, "lineitem")
     row = F.concat(
         F.lit("<table><tbody><tr><td>"), F.col("l_linenumber").cast("string"), F.lit(".</td><td>File No. PS25-"), F.col("l_partkey").cast("string"),
         F.lit(" <a id=\"lnk"), F.col("l_suppkey").cast("string"), F.lit("\" href=\"javascript:loadAgendaItem("), F.col("l_suppkey").cast("string"), F.lit(",1)\">open</a></td></tr></tbody></table>"),
@@ -369,7 +369,7 @@ SELECT l_orderkey, l_linenumber AS number, CAST(l_suppkey AS VARCHAR) AS agenda_
 
 def meeting_list(spark, d):
     """Meeting-list rows parsed from tables made of orders, one page per order."""
-    o = table(spark, d, "orders")
+    o = spread_table(spark, d, "orders")
     link = F.when(F.col("o_orderstatus") == "P", "<a href=\"/s?doctype=3\">Summary</a>").otherwise(F.concat(F.lit("<a href=\"/ViewMeeting?id="), F.col("o_orderkey").cast("string"), F.lit("&amp;doctype=1\">Agenda</a>")))
     name = F.when(F.col("o_orderpriority") == "1-URGENT", "Evening CRA").when(F.col("o_orderpriority") == "2-HIGH", "Special").otherwise("Council")
     row = F.concat(F.lit("<tr data-meeting-id=\""), F.col("o_orderkey").cast("string"), F.lit("\"><td>"), name, F.lit("</td><td>"), link, F.lit("</td></tr>"))
@@ -385,7 +385,7 @@ SELECT o_custkey, CAST(o_orderkey AS VARCHAR) AS id, CASE o_orderpriority WHEN '
 
 def transcript_index(spark, d):
     """Grid rows of a transcript index made of orders; bad dates are dropped."""
-    o = table(spark, d, "orders")
+    o = spread_table(spark, d, "orders")
     day = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(F.date_format("o_orderdate", "M/d/yyyy"))
     name = F.when(F.col("o_orderpriority") == "1-URGENT", "Evening CRA").when(F.col("o_orderpriority") == "2-HIGH", "Workshop").otherwise("Council")
     row = F.concat(F.lit("<tr><td>"), day, F.lit("</td><td>"), name, F.lit("</td><td><a href='/t?pkey="), F.col("o_orderkey").cast("string"), F.lit("'>read</a></td></tr>"))

@@ -82,7 +82,7 @@ def part_timeline(spark, d):
     out = tl.video_positions(seg, parts, "meeting_id", "sec", "start_sec")
     return out.select(
         "meeting_id", "event_id", F.col("video_part").cast("bigint").alias("video_part"),
-        F.round("video_seconds", 3).alias("video_seconds"),
+        F.round("video_seconds", 6).alias("video_seconds"),
     )
 
 
@@ -92,7 +92,7 @@ parts AS (
   SELECT meeting_id, ts AS start_ts, gap_no + 1 AS part FROM gaps
   UNION ALL SELECT user_id, min(ts), 1 FROM events GROUP BY user_id)
 SELECT e.user_id AS meeting_id, e.event_id, CAST(p.part AS BIGINT) AS video_part,
-       round(greatest(0, p.part * 10 + (epoch_us(e.ts) - epoch_us(p.start_ts)) / 1e6), 3) AS video_seconds
+       round(greatest(0, p.part * 10 + (epoch_us(e.ts) - epoch_us(p.start_ts)) / 1e6), 6) AS video_seconds
 FROM events e ASOF JOIN parts p ON e.user_id = p.meeting_id AND e.ts >= p.start_ts
 """
 
@@ -110,7 +110,7 @@ def asof_video(spark, d):
     out = tl.video_positions(errors, _videos(seg), "meeting_id", "sec", "start_sec")
     return out.select(
         "meeting_id", "event_id", F.col("match.video_id").alias("video_id"), "video_part",
-        F.round("video_seconds", 3).alias("video_seconds"),
+        F.round("video_seconds", 6).alias("video_seconds"),
     )
 
 
@@ -126,7 +126,7 @@ hits AS (SELECT e.user_id, e.event_id, e.ts, v.video_id, v.part, v.ts AS vts
 ASOF_SQL = f"""
 WITH {VIDEOS_SQL}
 SELECT h.user_id AS meeting_id, h.event_id, coalesce(h.video_id, f.video_id) AS video_id, coalesce(h.part, f.part) AS video_part,
-       round(greatest(0, 5 + (epoch_us(h.ts) - epoch_us(coalesce(h.vts, f.ts))) / 1e6), 3) AS video_seconds
+       round(greatest(0, 5 + (epoch_us(h.ts) - epoch_us(coalesce(h.vts, f.ts))) / 1e6), 6) AS video_seconds
 FROM hits h LEFT JOIN firsts f USING (user_id)
 """
 
@@ -136,7 +136,7 @@ def asof_unclamped(spark, d):
     seg = event_segments(spark, d)
     errors = seg.where(F.col("event_type") == "error").select("meeting_id", "event_id", "sec")
     out = tl.video_positions(errors, _videos(seg), "meeting_id", "sec", "start_sec", clamp=False, wrap_midnight=True)
-    return out.select("meeting_id", "event_id", "video_part", F.round("video_seconds", 3).alias("video_seconds"))
+    return out.select("meeting_id", "event_id", "video_part", F.round("video_seconds", 6).alias("video_seconds"))
 
 
 ASOF_UNCLAMPED_SQL = f"""
@@ -144,18 +144,18 @@ WITH {VIDEOS_SQL},
 x AS (SELECT h.*, coalesce(h.part, f.part) AS vp, (epoch_us(h.ts) - epoch_us(coalesce(h.vts, f.ts))) / 1e6 AS passed
       FROM hits h LEFT JOIN firsts f USING (user_id))
 SELECT user_id AS meeting_id, event_id, vp AS video_part,
-       round(5 + CASE WHEN passed < 0 THEN passed + 86400 ELSE passed END, 3) AS video_seconds FROM x
+       round(5 + CASE WHEN passed < 0 THEN passed + 86400 ELSE passed END, 6) AS video_seconds FROM x
 """
 
 
 def segment_durations(spark, d):
     out = tl.segment_durations(event_segments(spark, d), "meeting_id", ORDER, "sec")
-    return out.select("meeting_id", "event_id", F.round("duration", 2).alias("duration"))
+    return out.select("meeting_id", "event_id", F.round("duration", 6).alias("duration"))
 
 
 DURATIONS_SQL = """
 SELECT user_id AS meeting_id, event_id,
-       round(coalesce((epoch_us(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) - epoch_us(ts)) / 1e6, 30), 2) AS duration
+       round(coalesce((epoch_us(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) - epoch_us(ts)) / 1e6, 30), 6) AS duration
 FROM events
 """
 
