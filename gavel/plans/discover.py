@@ -38,5 +38,7 @@ def health(matched: DataFrame, todo: DataFrame) -> DataFrame:
 
 def ids_between(meetings: DataFrame, date: str, start: str, end: str, ident: str) -> DataFrame:
     """Distinct ids in [start, end)."""
+    # literals take the column's own type, so the comparison is pushed to the scan
+    kind = meetings.schema[date].dataType
     d = F.col(date)
-    return meetings.where((d >= F.lit(start).cast("date")) & (d < F.lit(end).cast("date"))).select(ident).distinct()
+    return meetings.where((d >= F.lit(start).cast(kind)) & (d < F.lit(end).cast(kind))).select(ident).distinct()

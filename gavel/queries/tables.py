@@ -20,6 +20,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return df
 
 
+def raw_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table with its stored types, so that filters on timestamps reach the scan."""
+    skew_settings(spark)
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
 def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A given table for heavy per-row work: small files are spread over the cores."""
     return spread_scan(table(spark, folder, name))

@@ -10,7 +10,7 @@ from ..functions.text import default_title
 from ..operators import keyed
 from ..operators.sequence import Position, Sequence
 from ..plans import discover, readmodel, warehouse
-from .tables import meetings, table
+from .tables import meetings, raw_table, table
 
 M_SQL = """
 m AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS date, o_orderpriority AS meeting_type, o_custkey, o_orderstatus,
@@ -50,7 +50,8 @@ def _placed_lines(spark, d):
 
 
 def keep_fullest(spark, d):
-    return warehouse.keep_fullest(meetings(spark, d)).select("date", "meeting_type", "id", "item_count")
+    slim = meetings(spark, d).select("date", "meeting_type", "id", "item_count")
+    return warehouse.keep_fullest(slim)
 
 
 def match_transcripts(spark, d):
@@ -79,7 +80,7 @@ def matching_stats(spark, d):
 
 def cascade_delete(spark, d):
     """Lines of the meetings that survive the de-duplication."""
-    kept = warehouse.keep_fullest(meetings(spark, d)).select(F.col("id").alias("l_orderkey"))
+    kept = warehouse.keep_fullest(meetings(spark, d).select("date", "meeting_type", "id", "item_count")).select(F.col("id").alias("l_orderkey"))
     out = keyed.keep_referenced(table(spark, d, "lineitem"), kept, ["l_orderkey"])
     return out.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("items"), F.sum("l_linenumber").alias("line_sum"))
 
@@ -188,7 +189,7 @@ todo AS (SELECT pkey, agenda_id, agenda_id IS NOT NULL AS processable FROM ix WH
 
 
 def ids_between(spark, d):
-    return discover.ids_between(table(spark, d, "orders"), "o_orderdate", "1996-01-01", "1997-01-01", "o_custkey")
+    return discover.ids_between(raw_table(spark, d, "orders"), "o_orderdate", "1996-01-01", "1997-01-01", "o_custkey")
 
 
 def year_filter(spark, d):
