@@ -27,13 +27,17 @@ def unprocessed(matched: DataFrame, processed: DataFrame, key: str) -> DataFrame
 
 def health(matched: DataFrame, todo: DataFrame) -> DataFrame:
     """Index / matched / to do / processable counts as one row."""
-    a = matched.agg(
-        F.count(F.lit(1)).alias("indexed"),
-        F.count("agenda_id").alias("with_agenda"),
-        F.count(F.when(F.col("already_matched"), 1)).alias("done"),
+    one = lambda c: F.count(F.when(c, 1))
+    index = matched.select(F.lit("index").alias("part"), F.col("agenda_id").isNotNull().alias("agenda"), F.col("already_matched").alias("flag"))
+    rest = todo.select(F.lit("todo").alias("part"), F.col("agenda_id").isNotNull().alias("agenda"), F.col("processable").alias("flag"))
+    in_index, in_todo = F.col("part") == "index", F.col("part") == "todo"
+    return index.unionByName(rest).agg(
+        one(in_index).alias("indexed"),
+        one(in_index & F.col("agenda")).alias("with_agenda"),
+        one(in_index & F.col("flag")).alias("done"),
+        one(in_todo).alias("unprocessed"),
+        one(in_todo & F.col("flag")).alias("processable"),
     )
-    b = todo.agg(F.count(F.lit(1)).alias("unprocessed"), F.count(F.when(F.col("processable"), 1)).alias("processable"))
-    return a.crossJoin(b)  # one row each
 
 
 def ids_between(meetings: DataFrame, date: str, start: str, end: str, ident: str) -> DataFrame:

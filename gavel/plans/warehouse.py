@@ -225,10 +225,10 @@ def write(tables: dict[str, DataFrame], path: str) -> None:
 
 def run_stats(meetings: DataFrame, links: DataFrame, lost: DataFrame) -> DataFrame:
     """matched / stubbed / superseded counts as one row."""
-    m = links.join(meetings.select(F.col("id").alias("meeting_id"), "item_count"), "meeting_id")
-    stub = F.col("meeting_id") >= STUB_BASE
-    counts = m.agg(F.count(F.when(~stub, 1)).alias("matched"), F.count(F.when(stub, 1)).alias("stubbed"))
-    return counts.crossJoin(lost.agg(F.count(F.lit(1)).alias("superseded")))
+    kind = F.when(F.col("meeting_id") >= STUB_BASE, "stubbed").otherwise("matched")
+    known = links.join(meetings.select(F.col("id").alias("meeting_id")), "meeting_id", "left_semi").select(kind.alias("kind"))
+    every = known.unionByName(lost.select(F.lit("superseded").alias("kind")))
+    return every.agg(*[F.count(F.when(F.col("kind") == k, 1)).alias(k) for k in ("matched", "stubbed", "superseded")])
 
 
 def orphans(tables: dict[str, DataFrame]) -> DataFrame:
