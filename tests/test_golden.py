@@ -102,7 +102,7 @@ def test_totals_equal_details(spark):
     rows = {r["amount"]: r for r in details.collect()}
     assert rows["$100.00"]["type"] == "expenditure" and rows["$100.00"]["section"] == "fiscal_impact"
     assert rows["$40.00"]["type"] == "revenue" and rows["$7"]["type"] == "unspecified"
-    assert rows["$100.00"]["sources"] == ["summary", "primary"]
+    assert rows["$100.00"]["sources"] == ["primary", "summary"]
     t = finance.item_totals(details, ["item"]).first()
     assert float(t["net"]) == sum(float(r["signed_value"]) for r in rows.values()) == 60.0
     f = finance.item_figures(details, ["item"]).first()
