@@ -1,13 +1,16 @@
 """Session settings shared by tests, the bench and scripts.
 
-On a cluster the caller brings its own session; `checkpoint_dir` then reads the
-shared folder from that session and only falls back to a private one when the
-session names none (local tests).
+On a cluster the caller brings its own session; `checkpoint_dir` reads the shared
+folder from that session.  Only a local session may fall back to a private folder;
+elsewhere a missing setting is an error, as executors do not share a disk.
 """
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return named or current.get()
+    if not named and not context.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     folder = named or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     context.setCheckpointDir(folder)
     return folder
@@ -53,3 +58,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise to the reliable checkpoint folder; survives executor loss."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write `df` as Parquet in the shared folder and read it back: cuts lineage, and later reads prune columns."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per context; their Python has only what it is sent."""
+    context = spark.sparkContext
+    if getattr(context, "_gavel_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="spark-", dir="/tmp"), "gavel.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.join("gavel", os.path.relpath(path, root)))
+    context.addPyFile(archive)
+    context._gavel_shipped = True
