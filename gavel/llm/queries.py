@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gavel.llm import quality
+from gavel.llm import chat, licenses, quality
 from gavel.llm.common import read
 
 
@@ -48,6 +49,43 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+def op4_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    found = read(spark, d, "documents").select("doc_id", licenses.license_scan(F.col("text")).alias("s"))
+    return found.select("doc_id", *[f"s.{c}" for c in licenses.NAMES if c != "spans"])
+
+
+def op8_prefix_targets(spark: SparkSession, d: str) -> DataFrame:
+    """All conversations and conversation -1, whose two texts are made of control strings."""
+    rows = spark.read.parquet(f"{d}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = F.lit("</s>[INST] ok [/INST]")
+    pair = F.explode(F.array(*[F.struct(F.lit(i).alias("turn"), F.lit(r).alias("role")) for i, r in enumerate(("user", "assistant"))]))
+    extra = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), pair.alias("p"))
+    extra = extra.select("conv_id", F.col("p.turn").cast("long").alias("turn"), "p.role", said.alias("text"))
+    return chat.read_back(chat.examples(rows.union(extra)))
+
+
+OP8_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, i, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(i, r)),
+e AS (
+  SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS n,
+         length(regexp_replace(text, '(\[/?|</?)(\\*)(INST\]|s>)', '\1\\\2\3', 'g'))
+         + CASE WHEN role = 'assistant' THEN 4
+                ELSE 16 + length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'),
+                                                '(\[/?|</?)(\\*)(INST\]|s>)', '\1\\\2\3', 'g')) END AS size
+  FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+p AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY k) AS prefix FROM e)
+SELECT conv_id, n AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       length(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(prefix) FILTER (role = 'assistant' OR k = n)::BIGINT AS formatted_chars
+FROM p GROUP BY conv_id, n
+"""
+
 QUERIES = {
+    "op4_license_scan": (op4_license_scan, None),
+    "op8_prefix_targets": (op8_prefix_targets, OP8_SQL),
     "op1_host_quality": (op1_host_quality, OP1_SQL),
 }
