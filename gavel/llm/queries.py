@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import chat, licenses, quality
+from gavel.llm import chat, licenses, packing, quality
 from gavel.llm.common import read
 
 
@@ -84,7 +84,18 @@ SELECT conv_id, n AS n_turns,
 FROM p GROUP BY conv_id, n
 """
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op10_bounded_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packed(read(spark, d, "documents"), tokenizer_path())
+
+
 QUERIES = {
+    "op10_bounded_packing": (op10_bounded_packing, None),
     "op4_license_scan": (op4_license_scan, None),
     "op8_prefix_targets": (op8_prefix_targets, OP8_SQL),
     "op1_host_quality": (op1_host_quality, OP1_SQL),
