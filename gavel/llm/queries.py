@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import chat, licenses, packing, quality
+from gavel.llm import chat, licenses, packing, quality, warc
 from gavel.llm.common import read
 
 
@@ -84,6 +84,27 @@ SELECT conv_id, n AS n_turns,
 FROM p GROUP BY conv_id, n
 """
 
+def op9_package_archive(spark: SparkSession, d: str) -> DataFrame:
+    return warc.archived(read(spark, d, "pages"))
+
+
+#: The digest is SHA-1 of the text's bytes as 32 base-32 letters of five bits each.
+OP9_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT h, min(page_id) AS m, count(*) AS n FROM p GROUP BY h),
+x AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS hex, CASE WHEN n > 1 AND page_id IS DISTINCT FROM m THEN m END AS refers_to
+      FROM p JOIN g USING (h)),
+bits AS (SELECT *, array_to_string(list_transform(string_split(hex, ''),
+           lambda c: substr('0000000100100011010001010110011110001001101010111100110111101111', (instr('0123456789abcdef', c)::BIGINT - 1) * 4 + 1, 4)), '') AS b
+         FROM x)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (list_sum(list_transform(range(0, 5), lambda j: (substr(b, (i * 5 + j + 1)::BIGINT, 1) = '1')::INT * (2 ** (4 - j))::INT)) + 1)::BIGINT, 1)), '') AS payload_digest,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM bits
+"""
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -95,6 +116,7 @@ def op10_bounded_packing(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op9_package_archive": (op9_package_archive, OP9_SQL),
     "op10_bounded_packing": (op10_bounded_packing, None),
     "op4_license_scan": (op4_license_scan, None),
     "op8_prefix_targets": (op8_prefix_targets, OP8_SQL),
