@@ -110,29 +110,25 @@ def parsed(text: Column) -> Column:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Per conversation: turns and trained text recovered from the examples, and the size of the output."""
-    turns = parsed(F.col("text"))
-    flat = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    """Per conversation: turns and trained text recovered from the examples, and the size of the output.
+
+    The last example holds all turns, so it alone is parsed; replies come from each example's masked range."""
     reply = F.when(
         F.col("loss_length").isNotNull(),
         unescaped(F.substring("text", F.col("loss_start").cast("int") + 1, F.col("loss_length").cast("int"))),
     )
-    each = formatted.select(
-        "conv_id",
-        "example",
-        F.size(turns).cast("long").alias("n_turns"),
-        F.sha2(flat.cast("binary"), 256).alias("turns_sha256"),
-        reply.alias("reply"),
-        F.length("text").cast("long").alias("chars"),
-    )
+    each = formatted.select("conv_id", "example", "text", reply.alias("reply"), F.length("text").cast("long").alias("chars"))
     replies = F.array_sort(F.collect_list(F.when(F.col("reply").isNotNull(), F.struct("example", "reply"))))
-    whole = F.max_by(F.struct("n_turns", "turns_sha256"), "example")
-    grouped = each.groupBy("conv_id").agg(whole.alias("w"), replies.alias("r"), F.sum("chars").alias("formatted_chars"))
+    grouped = each.groupBy("conv_id").agg(
+        F.max_by("text", "example").alias("text"), replies.alias("r"), F.sum("chars").alias("formatted_chars")
+    )
+    turns = grouped.select("*", parsed(F.col("text")).alias("turns"))
+    flat = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = F.array_join(F.transform("r", lambda x: x["reply"]), "")
-    return grouped.select(
+    return turns.select(
         "conv_id",
-        "w.n_turns",
-        "w.turns_sha256",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(flat.cast("binary"), 256).alias("turns_sha256"),
         F.length(loss).cast("long").alias("loss_chars"),
         F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
         "formatted_chars",
