@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import chat, html, licenses, packing, quality, warc
+from gavel.llm import chat, decontaminate, html, licenses, packing, quality, repeats, toxicity, warc
 from gavel.llm.common import read
 
 
@@ -69,6 +69,66 @@ def op4_license_scan(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", *[f"s.{c}" for c in licenses.NAMES if c != "spans"])
 
 
+def op5_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return repeats.report(read(spark, d, "documents"))
+
+
+OP5_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT r, i, md5(b[i:i + 199]) AS h FROM (SELECT r, b, unnest(range(1, octet_length(b) - 198)) AS i FROM d)),
+m AS (SELECT r, i FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+s AS (SELECT r, i, sum((i > coalesce(before, -9999) + 200)::INT) OVER (PARTITION BY r ORDER BY i) AS span
+      FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM m)),
+spans AS (SELECT r, span, min(i) AS a, max(i) + 199 AS z FROM s GROUP BY r, span),
+kept AS (
+  SELECT r, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) + 1 AS f, a - 1 AS t FROM spans
+  UNION ALL SELECT r, max(z) + 1, NULL FROM spans GROUP BY r),
+k AS (SELECT r, string_agg(hex(b[f:coalesce(t, octet_length(b))]), '' ORDER BY f) FILTER (f <= coalesce(t, octet_length(b))) AS x
+      FROM kept JOIN d USING (r) GROUP BY r),
+n AS (SELECT r, sum(z - a + 1)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       CASE WHEN n_spans IS NULL THEN sha256(b) ELSE sha256(unhex(coalesce(x, ''))) END AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)
+"""
+
+
+def op6_fm_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.report(read(spark, d, "documents"), read(spark, d, "benchmark"))
+
+
+OP6_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id::VARCHAR AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+p AS (
+  SELECT DISTINCT item, least(len(w), 13) AS n, array_to_string(w[i:i + 12], ' ') AS phrase
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM p),
+x AS (
+  SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d), sizes WHERE i + n - 1 <= len(w)),
+hits AS (SELECT r, i, n, item FROM x JOIN p USING (n, phrase)),
+covered AS (
+  SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS q FROM hits) GROUP BY r),
+found AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
+"""
+
+
+def op7_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.scored(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
 def op8_prefix_targets(spark: SparkSession, d: str) -> DataFrame:
     """All conversations and conversation -1, whose two texts are made of control strings."""
     rows = spark.read.parquet(f"{d}/conversations.parquet").select("conv_id", "turn", "role", "text")
@@ -131,6 +191,9 @@ def op10_bounded_packing(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_suffix_dedup": (op5_suffix_dedup, OP5_SQL),
+    "op6_fm_decontamination": (op6_fm_decontamination, OP6_SQL),
+    "op7_toxicity": (op7_toxicity, None),
     "op2_main_text": (op2_main_text, OP2_SQL),
     "op9_package_archive": (op9_package_archive, OP9_SQL),
     "op10_bounded_packing": (op10_bounded_packing, None),

@@ -37,8 +37,11 @@ SPAN = 32
 SAMPLE = 1500
 WINDOWS = 24
 FOLDS = 5
-#: Buckets found in fewer texts of the sample have no vector.
+#: Buckets found in fewer texts of the sample (or in under one in a hundred, if that is less) have no vector.
 LEAST_TEXTS = 8
+#: Fixed factor on the mean of a window, and the weight of clean texts against toxic ones.
+SCALE = 8
+CLEAN_WEIGHT = 3
 CACHED_WORDS = 200_000
 
 _TO_WORDS = bytes(ord(chr(b).lower()) if b < 0x80 and ALNUM[b] else b if b >= 0x80 else 0x20 for b in range(256))
@@ -68,7 +71,7 @@ def _bag(words: list[bytes], common: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """(buckets, weights) of the mean of the words' means; buckets of too few texts are zero, and left out."""
     parts = [subwords(w) for w in words]
     where = np.concatenate(parts)
-    weight = np.concatenate([np.full(len(p), 1 / (len(p) * SPAN), np.float32) for p in parts])
+    weight = np.concatenate([np.full(len(p), SCALE / (len(p) * SPAN), np.float32) for p in parts])
     used = common[where]
     if not used.any():
         return where[:1], np.zeros(1, np.float32)
@@ -121,14 +124,14 @@ class Model:
         return self.embedding @ (self.weight[:, 1] - self.weight[:, 0]), float(self.bias[1] - self.bias[0])
 
 
-def train(texts: list[list[list[bytes]]], labels: list[int], rounds: int = 4) -> tuple[np.ndarray, float]:
+def train(texts: list[list[list[bytes]]], labels: list[int], rounds: int = 3) -> tuple[np.ndarray, float]:
     """Fit on texts given as windows of words."""
     model = Model()
     y = np.array(labels)
     seen = np.zeros(BUCKETS, np.int64)
     for spans in texts:
         seen[np.unique(np.concatenate([subwords(w) for s in spans for w in s]))] += 1
-    common = seen >= LEAST_TEXTS
+    common = seen >= min(LEAST_TEXTS, max(2, len(texts) // 100))
     model.embedding[~common] = 0
     bags = [[_bag(s, common) for s in spans] for spans in texts]
     chosen: list = [b for b in bags]
@@ -137,8 +140,8 @@ def train(texts: list[list[list[bytes]]], labels: list[int], rounds: int = 4) ->
         target = np.repeat(y, [len(bs) for bs in chosen])
         share = np.concatenate([np.full(len(bs), 1 / len(bs) if t else 1.0) for bs, t in zip(chosen, y, strict=True)])
         ones = target == 1
-        importance = np.where(ones, share / max(share[ones].sum(), 1e-9), share / max(share[~ones].sum(), 1e-9)).astype(np.float32)
-        model.fit(flat, target, importance * len(flat), epochs=6 if turn else 4, rate=0.1)
+        importance = np.where(ones, share / max(share[ones].sum(), 1e-9), CLEAN_WEIGHT * share / max(share[~ones].sum(), 1e-9)).astype(np.float32)
+        model.fit(flat, target, importance * len(flat), epochs=4 if turn else 5, rate=0.1)
         if turn == rounds - 1:
             break
         per, offset = model.linear()
@@ -186,7 +189,7 @@ def scorer(per: np.ndarray, offset: float):
             cache[w] = float(per[subwords(w)].mean())
         values = np.fromiter(map(cache.__getitem__, words), np.float64, len(words))
         starts = np.arange(0, len(words), SPAN)
-        means = np.add.reduceat(values, starts) / SPAN
+        means = np.add.reduceat(values, starts) * (SCALE / SPAN)
         best = float(means.max())
         return float(1 / (1 + np.exp(-np.clip(best + offset, -30, 30))))
 
