@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import chat, decontaminate, html, licenses, packing, quality, repeats, toxicity, warc
+from gavel.llm import chat, decontaminate, html, jaccard, licenses, packing, quality, repeats, toxicity, warc
 from gavel.llm.common import read
 
 
@@ -64,6 +64,32 @@ SELECT page_id, url, text, length(text) AS n_chars FROM e
 """
 
 
+def op3_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    found = jaccard.classes(read(spark, d, "documents"))
+    return found.select(F.col("row").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("class").alias("component_id"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^ 	-]+') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i:i + 3], ' ')))) AS g
+  FROM d WHERE len(w) > 0),
+u AS (SELECT g, md5(array_to_string(g, chr(10))) AS h, min(doc_id) AS node, len(g) AS n FROM s GROUP BY g),
+x AS (SELECT node, n, unnest(g) AS g FROM u),
+common AS (
+  SELECT a.node AS a, b.node AS b, count(*) AS c FROM x a JOIN x b ON a.g = b.g AND a.node < b.node
+  AND a.n * 100 >= 85 * b.n AND b.n * 100 >= 85 * a.n GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM common UNION SELECT b, a FROM common),
+reach AS (SELECT node AS a, node AS b FROM u UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+least AS (SELECT a AS node, min(b) AS component FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(len(s.g), 0)::BIGINT AS n_shingles, coalesce(least.component, d.doc_id) AS component_id
+FROM d LEFT JOIN s USING (doc_id) LEFT JOIN u ON s.g = u.g LEFT JOIN least ON least.node = u.node
+"""
+
+
 def op4_license_scan(spark: SparkSession, d: str) -> DataFrame:
     found = read(spark, d, "documents").select("doc_id", licenses.license_scan(F.col("text")).alias("s"))
     return found.select("doc_id", *[f"s.{c}" for c in licenses.NAMES if c != "spans"])
@@ -191,6 +217,7 @@ def op10_bounded_packing(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_ngram_jaccard": (op3_ngram_jaccard, OP3_SQL),
     "op5_suffix_dedup": (op5_suffix_dedup, OP5_SQL),
     "op6_fm_decontamination": (op6_fm_decontamination, OP6_SQL),
     "op7_toxicity": (op7_toxicity, None),
