@@ -100,12 +100,12 @@ def apply_hosts(documents: DataFrame, hosts: DataFrame, host: str, out: str, lim
         return documents.withColumn(out, F.lit(False))
     if number <= BROADCAST_HOSTS:
         verdicts = F.broadcast(rejected.select(F.col("host").alias("_host"), F.lit(True).alias("_rejected")))
-        joined = documents.join(verdicts, documents[host] == F.col("_host"), "left")
+        joined = documents.join(verdicts, F.col(host) == F.col("_host"), "left")
     else:
         salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
         verdicts = rejected.select(F.col("host").alias("_host"), F.lit(True).alias("_rejected"), salts)
         salted = documents.withColumn("_pick", F.floor(F.rand(7) * SALTS).cast("int"))
-        joined = salted.join(verdicts, (salted[host] == F.col("_host")) & (F.col("_pick") == F.col("_salt")), "left")
+        joined = salted.join(verdicts, (F.col(host) == F.col("_host")) & (F.col("_pick") == F.col("_salt")), "left")
         joined = joined.drop("_pick", "_salt")
     return joined.withColumn(out, F.coalesce("_rejected", F.lit(False))).drop("_host", "_rejected")
 
@@ -137,6 +137,10 @@ def filtered(documents: DataFrame, text: str = "text", host: str = "source") ->
     failed = counts(F.col(text))["base_failed"]
     slim = stored(documents.select(F.col(host).alias("host_key"), failed.alias("base_failed")), "quality")
     hosts = host_rates(slim, "host_key", "base_failed")
-    good = documents.where(~failed)
-    judged = apply_hosts(good, hosts, host, "_gavel_host_failed")
-    return judged.where(~F.col("_gavel_host_failed")).select(*[F.col(f"`{c}`") for c in documents.columns])
+    good = documents.where(~failed).select(F.struct(*_all(documents)).alias("doc"), F.col(host).alias("host_key"))
+    judged = apply_hosts(good, hosts, "host_key", "host_failed")
+    return judged.where(~F.col("host_failed")).select("doc.*")
+
+
+def _all(documents: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in documents.columns]

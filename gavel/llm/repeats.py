@@ -372,10 +372,12 @@ def removed(documents: DataFrame, row: str = "doc_id", text: str = "text") -> Da
     changed = changed.select(F.col("sha").alias("_changed_sha"), F.col("kept").alias("_kept"))
     copies = copies_of(facts).select(F.col("copy_sha").alias("_changed_sha"), F.lit("").alias("_kept"))
     new = changed.join(copies, "_changed_sha", "left_anti").unionByName(copies)
-    rows = documents.withColumn("_sha", F.unhex(F.sha2(as_bytes(text), 256)))
+    rows = documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc"), F.unhex(F.sha2(as_bytes(text), 256)).alias("_sha")
+    )
     rows = rows.join(new, F.col("_sha") == F.col("_changed_sha"), "left")
-    value = F.when(F.col("_changed_sha").isNotNull(), F.col("_kept")).otherwise(F.col(text))
-    sizes = {"n_chars": F.when(F.col("_changed_sha").isNotNull(), F.length("_kept").cast("long")).otherwise(F.col("n_chars"))}
-    new_columns = {text: value} | (sizes if "n_chars" in documents.columns else {})
-    return rows.select(*[new_columns.get(c, F.col(f"`{c}`")).alias(c) for c in documents.columns])
-
+    hit = F.col("_changed_sha").isNotNull()
+    values = {text: F.when(hit, F.col("_kept")).otherwise(F.col(f"doc.`{text}`"))}
+    if "n_chars" in documents.columns:
+        values["n_chars"] = F.when(hit, F.length("_kept").cast("long")).otherwise(F.col("doc.n_chars"))
+    return rows.select(*[values.get(c, F.col(f"doc.`{c}`")).alias(c) for c in documents.columns])

@@ -24,11 +24,11 @@ def suffix_array(symbols: np.ndarray, span: int = 1, depth: int | None = None) -
     rank = np.empty(n, np.int64)
     rank[order] = np.repeat(starts, sizes)
     slots = np.flatnonzero(np.repeat(sizes > 1, sizes))  # places whose group is not single
-    h = span
+    h, end = span, 0 if span == 1 else n + 1
     while len(slots) and (depth is None or h < depth):
         at = order[slots]
         ahead = at + h
-        key = rank[at] * (n + 1) + np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
+        key = rank[at] * (n + 2) + np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, end)
         picked = np.argsort(key, kind="stable")
         at, key = at[picked], key[picked]
         order[slots] = at

@@ -161,7 +161,7 @@ def sample(documents: DataFrame, labels: DataFrame, most: int = SAMPLE) -> tuple
     order = F.xxhash64(F.col("doc_id"), F.lit(17))
     picks = [known.where((F.col("toxic") == 1) == F.lit(c)).orderBy(order, "doc_id").limit(most) for c in (True, False)]
     wanted = picks[0].union(picks[1])
-    rows = documents.where(train_fold & F.col("text").isNotNull()).join(F.broadcast(wanted), "doc_id").select("text", "toxic")
+    rows = documents.select("doc_id", "text").where(train_fold & F.col("text").isNotNull()).join(F.broadcast(wanted), "doc_id").select("text", "toxic")
 
     def windows(texts: pd.Series) -> pd.Series:
         def some(t: str) -> list[bytes]:
