@@ -176,7 +176,7 @@ def title_case(text: ColumnLike) -> Column:
 
     def cased(x, i, first):
         upper, lower = F.upper(x), F.lower(x)
-        capital = F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, 2, 1_000_000)))
+        capital = F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, F.lit(2), F.length(x))))
         return (
             F.when(~is_word(x), x)
             .when(upper.isin(LARGE_WORDS) | x.rlike(r"^\d{2,4}$"), upper)
@@ -387,14 +387,14 @@ def best_window(a: Column, b: Column) -> Column:
 def hyphen_parts_cased(name: ColumnLike) -> Column:
     """Johnson-velez -> Johnson-Velez; parts with mixed case stay."""
     n = col(name)
-    part = lambda p: F.when((p == F.lower(p)) | (p == F.upper(p)), F.concat(F.upper(F.substring(p, 1, 1)), F.lower(F.substring(p, 2, 10_000)))).otherwise(p)
+    part = lambda p: F.when((p == F.lower(p)) | (p == F.upper(p)), F.concat(F.upper(F.substring(p, 1, 1)), F.lower(F.substring(p, F.lit(2), F.length(p))))).otherwise(p)
     return F.when(n.contains("-"), F.array_join(F.transform(F.split(n, "-"), part), "-")).otherwise(n)
 
 
 def hyphen_parts_raised(name: ColumnLike) -> Column:
     """The other hyphen rule: only a lower-case first letter is raised."""
     n = col(name)
-    raised = F.transform(F.split(n, "-"), lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 10_000)))
+    raised = F.transform(F.split(n, "-"), lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, F.lit(2), F.length(p))))
     return F.when(n.contains("-"), F.array_join(raised, "-")).otherwise(n)
 
 

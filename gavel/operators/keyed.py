@@ -20,11 +20,6 @@ def best_per_key(df: DataFrame, keys: list[str], rank: list[Column]) -> DataFram
     return best.select(*keys, "_best.*").select(*df.columns)
 
 
-def best_match(left: DataFrame, right: DataFrame, on: list[str], rank: list[Column]) -> DataFrame:
-    """Left join to the single best right row per key."""
-    return left.join(best_per_key(right, on, rank), on, "left")
-
-
 def flag_exists(left: DataFrame, right: DataFrame, on: list[str], flag: str) -> DataFrame:
     """1 where the key occurs on the right, else 0."""
     present = right.select(*on).distinct().withColumn(flag, F.lit(1))
@@ -52,12 +47,13 @@ def carry_forward_column(new: DataFrame, old: DataFrame, on: list[str], column:
 
 
 def first_available(sources: list[DataFrame], on: list[str]) -> DataFrame:
-    """Per key, the rows' best row from the earliest source that has the key."""
+    """Per key, one row from the earliest source that has the key: the greatest by its other columns, if there are several."""
     tagged = [s.withColumn("_source", F.lit(i)) for i, s in enumerate(sources)]
     every = tagged[0]
     for t in tagged[1:]:
         every = every.unionByName(t, allowMissingColumns=True)
-    return best_per_key(every, on, [-F.col("_source")]).drop("_source")
+    others = [F.col(c) for c in every.columns if c not in (*on, "_source")]
+    return best_per_key(every, on, [-F.col("_source"), *[F.to_json(F.struct(*others))]]).drop("_source")
 
 
 def keep_or_all(df: DataFrame, group: list[str], keep: Column) -> DataFrame:

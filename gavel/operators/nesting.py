@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sequence import Position, Sequence
+
 PAGE_ROWS = 1000
 
 
@@ -13,14 +15,16 @@ def nest_pages(
 ) -> DataFrame:
     """Children as ordered arrays, one row per parent and page.
 
-    `position` is the child's 0- or 1-based place in its parent.  A page holds at
-    most `page_rows` places, so an enormous parent spreads over many rows and
-    never has to fit one task; a normal parent has the single page 0.
+    Children are ordered by `position`, those that share one by their fields.  A page holds
+    `page_rows` of them at most, counted and not by value, so an enormous parent spreads over many rows
+    and never has to fit one task; a normal parent has the single page 0.
     """
-    page = F.floor(F.col(position) / page_rows).alias("page")
     row = F.struct(position, *[f for f in fields if f != position])
+    slim = children.select(*parent, row.alias("_row")).withColumn("_position", F.col("_row").getField(position))
+    placed = Sequence(parent, ["_position", "_row"], []).apply(slim, _place=Position())
+    page = F.floor((F.col("_place") - 1) / page_rows).alias("page")
     return (
-        children.select(*parent, page, row.alias("_row"))
+        placed.select(*parent, page, "_row")
         .groupBy(*parent, "page")
         .agg(F.array_sort(F.collect_list("_row")).alias(name))
     )

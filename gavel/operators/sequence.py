@@ -3,9 +3,9 @@
 A plain `Window.partitionBy(meeting)` sends a whole meeting to one task.  That is
 right while every meeting fits one, so the largest group is counted first (a
 map-side combined count).  If it is within `target_rows`, a plain window is used.
-If not, large groups are cut into consecutive chunks; the window runs per chunk, a
-summary with one row per chunk carries state across the cuts, and the two are
-joined on the chunk.  The cut rows are written to the checkpoint folder once, as
+If not, the rows are cut into consecutive ranges of the whole order; the window runs per
+group and range, a summary with one row per chunk carries state across the cuts, and the two are
+joined on the range.  The cut rows are written to the checkpoint folder once, as
 both sides read them.
 
     seq = Sequence(keys=["meeting_id"], order=["sec", "idx"], ordinals=["sec", "idx"])
@@ -119,7 +119,7 @@ class Running:
         return F.sum(edge).over(w.rowsBetween(Window.unboundedPreceding, -1))
 
     def combine(self, inner, outer):
-        return F.coalesce(inner, F.lit(0)) + F.coalesce(outer, F.lit(0))
+        return F.when(inner.isNotNull() | outer.isNotNull(), F.coalesce(inner, F.lit(0)) + F.coalesce(outer, F.lit(0)))
 
 
 def Position() -> Running:
@@ -216,44 +216,15 @@ class Total:
         return outer
 
 
-def chunked(
-    df: DataFrame,
-    keys: list[str],
-    ordinals: list[str],
-    target_rows: int = TARGET_ROWS,
-    rounds: int = 4,
-) -> tuple[DataFrame, list[str]]:
-    """Add integer chunk columns that cut every large group into ordered pieces.
-
-    `ordinals` are numeric columns that follow the sort order.  A group above the
-    target is cut evenly over the span of the first ordinal; if all its rows
-    share that value, over the span of the next one.  A further round cuts the
-    pieces that are still too big (bursts).  The table of large groups has at
-    most rows/target_rows entries, which is why it may be broadcast.
-    """
-    chunks: list[str] = []
-    for r in range(rounds):
-        name = f"_chunk{r}"
-        by = keys + chunks
-        stats = df.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("_group_rows"),
-            *[F.min(o).cast("double").alias(f"_group_lo{i}") for i, o in enumerate(ordinals)],
-            *[F.max(o).cast("double").alias(f"_group_hi{i}") for i, o in enumerate(ordinals)],
-        ).where(F.col("_group_rows") > target_rows)
-        cut = F.lit(0).cast("bigint")
-        for i in reversed(range(len(ordinals))):
-            span = F.col(f"_group_hi{i}") - F.col(f"_group_lo{i}")
-            pieces = F.ceil(F.col("_group_rows") / F.lit(target_rows))
-            piece = F.floor((F.col(ordinals[i]).cast("double") - F.col(f"_group_lo{i}")) / span * pieces)
-            cut = F.when(span > 0, F.least(piece, pieces - 1)).otherwise(cut)
-        # at most rows/target_rows groups pass the filter above, so this side is bounded
-        df = (
-            df.join(F.broadcast(stats), by, "left")
-            .withColumn(name, F.when(F.col("_group_rows").isNull(), F.lit(0).cast("bigint")).otherwise(cut))
-            .drop("_group_rows", *[f"_group_lo{i}" for i in range(len(ordinals))], *[f"_group_hi{i}" for i in range(len(ordinals))])
-        )
-        chunks.append(name)
-    return df, chunks
+def chunked(df: DataFrame, keys: list[str], order: list[str | Column], target_rows: int = TARGET_ROWS) -> DataFrame:
+    """`df` in ranges of (keys, order), stored, with the number of its range as `_chunk`.
+
+    Ranges are cut from a sample of the rows and follow the whole order, so a group of any size is cut into
+    consecutive pieces, whatever its values are and however many rows share the first of them."""
+    total = df.count()
+    ranges = max(1, -(-total // target_rows)) * 2
+    cut = df.repartitionByRange(ranges, *keys, *[_col(o) for o in order])
+    return cut_lineage(cut.withColumn("_chunk", F.spark_partition_id()))
 
 
 @dataclass(frozen=True)
@@ -262,14 +233,13 @@ class Sequence:
 
     keys      group columns (no nulls); may be empty for one global sequence
     order     sort expressions or names that make the order total
-    ordinals  numeric columns that follow the order, used to cut large groups
+    ordinals  numeric columns that follow the order (callers state them; cutting needs the order alone)
     """
 
     keys: list[str]
     order: list[str | Column]
     ordinals: list[str] = field(default_factory=list)
     target_rows: int = TARGET_ROWS
-    rounds: int = 4
     fits: bool | None = None
 
     def sized(self, df: DataFrame) -> Sequence:
@@ -288,14 +258,11 @@ class Sequence:
 
     def _cut(self, df: DataFrame, ops: dict) -> DataFrame:
         order = [_col(o) for o in self.order]
-        if not self.ordinals:
-            raise ValueError("ordinals are needed to cut large groups")
         keys = list(self.keys)
         if not keys:
             df = df.withColumn("_all", F.lit(0))
             keys = ["_all"]
-        cut, chunks = chunked(df, keys, self.ordinals, self.target_rows, self.rounds)
-        cut = cut_lineage(cut)
+        cut, chunks = chunked(df, keys, self.order, self.target_rows), ["_chunk"]
         by = keys + chunks
         inner = Window.partitionBy(*by).orderBy(*order)
         across = Window.partitionBy(*keys).orderBy(*chunks)

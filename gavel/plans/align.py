@@ -61,7 +61,7 @@ def ngram_matches(
 
     def distinct_texts(df: DataFrame, ident: str, words: str, side: str) -> tuple[DataFrame, DataFrame]:
         rows = df.select(*on, F.col(ident).alias(f"{side}_id"), F.col(words).alias("w")).withColumn(
-            f"{side}_text", F.xxhash64(F.array_join("w", " "))
+            f"{side}_text", F.unhex(F.sha2(F.array_join("w", " "), 256))
         )
         return rows.drop("w"), rows.groupBy(*on, f"{side}_text").agg(F.first("w").alias(f"{side}_w"))
 

@@ -11,7 +11,10 @@ from ..functions.dates import iso_duration_seconds, resolve_date, wall_clock_sec
 from ..functions.text import default_title
 from ..operators.keyed import absent, best_per_key, insert_if_absent, keep_referenced
 
-STUB_BASE = 1_000_000
+
+def stub_id(transcript_id: str):
+    """Id of the stub meeting that a transcript gets: below zero, where no real id is."""
+    return -F.col(transcript_id) - 1
 
 
 def latest_documents(meetings: DataFrame) -> DataFrame:
@@ -104,7 +107,8 @@ def match_transcripts(meetings: DataFrame, transcripts: DataFrame) -> tuple[Data
     meetings: id, date, meeting_type, item_count, ...; transcripts: transcript_id
     (numeric text), date, meeting_type.  Per (date, type) the fullest meeting takes
     the transcript with the highest id.  Where no meeting exists a stub is made from
-    the lowest transcript id.  Transcripts that lost out are reported, not dropped.
+    the lowest transcript id; its `is_stub` says so, and its id is negative, so it
+    cannot meet a real one.  Transcripts that lost out are reported, not dropped.
     """
     tid = F.col("transcript_id").cast("bigint")
     groups = transcripts.groupBy("date", "meeting_type").agg(F.min(tid).alias("first_id"), F.max(tid).alias("last_id"))
@@ -112,16 +116,17 @@ def match_transcripts(meetings: DataFrame, transcripts: DataFrame) -> tuple[Data
         F.max_by("id", F.struct(F.col("item_count"), -F.col("id"))).alias("id")
     )
     owned = groups.join(best, ["date", "meeting_type"], "left").withColumn("is_stub", F.col("id").isNull())
-    owned = owned.withColumn("id", F.coalesce("id", F.col("first_id") + STUB_BASE))
+    owned = owned.withColumn("id", F.coalesce("id", stub_id("first_id")))
     sources = owned.select("id", F.col("last_id").cast("string").alias("_source"))
     matched = meetings.join(sources, "id", "left")
     if "transcript_source_id" in meetings.columns:
         matched = matched.withColumn("transcript_source_id", F.coalesce("_source", "transcript_source_id"))
     else:
         matched = matched.withColumn("transcript_source_id", F.col("_source"))
-    matched = matched.drop("_source")
+    matched = matched.drop("_source").withColumn("is_stub", F.lit(False))
     stubs = owned.where("is_stub").select(
         "id",
+        "is_stub",
         "date",
         "meeting_type",
         rules.meeting_title("meeting_type", "date").alias("title"),
@@ -129,7 +134,7 @@ def match_transcripts(meetings: DataFrame, transcripts: DataFrame) -> tuple[Data
         F.col("last_id").cast("string").alias("transcript_source_id"),
     )
     out = insert_if_absent(matched, stubs, ["id"])
-    links = owned.select(F.col("last_id").cast("string").alias("transcript_id"), F.col("id").alias("meeting_id"))
+    links = owned.select(F.col("last_id").cast("string").alias("transcript_id"), F.col("id").alias("meeting_id"), "is_stub")
     lost = transcripts.join(owned.select("date", "meeting_type", "last_id", "id"), ["date", "meeting_type"])
     lost = lost.where(tid != F.col("last_id")).select(
         "transcript_id", F.col("id").alias("meeting_id"), F.col("last_id").cast("string").alias("superseded_by")
@@ -138,7 +143,7 @@ def match_transcripts(meetings: DataFrame, transcripts: DataFrame) -> tuple[Data
 
 
 def segment_rows(transcripts: DataFrame, links: DataFrame) -> DataFrame:
-    rows = transcripts.select("transcript_id", "date", "segments").join(links, "transcript_id").select(
+    rows = transcripts.select("transcript_id", "date", "segments").join(links.drop("is_stub"), "transcript_id").select(
         "meeting_id", F.year("date").alias("year"), F.posexplode("segments").alias("segment_index", "s")
     )
     return rows.select(
@@ -225,7 +230,7 @@ def write(tables: dict[str, DataFrame], path: str) -> None:
 
 def run_stats(meetings: DataFrame, links: DataFrame, lost: DataFrame) -> DataFrame:
     """matched / stubbed / superseded counts as one row."""
-    kind = F.when(F.col("meeting_id") >= STUB_BASE, "stubbed").otherwise("matched")
+    kind = F.when(F.col("is_stub"), "stubbed").otherwise("matched")
     known = links.join(meetings.select(F.col("id").alias("meeting_id")), "meeting_id", "left_semi").select(kind.alias("kind"))
     every = known.unionByName(lost.select(F.lit("superseded").alias("kind")))
     return every.agg(*[F.count(F.when(F.col("kind") == k, 1)).alias(k) for k in ("matched", "stubbed", "superseded")])

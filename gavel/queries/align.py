@@ -74,7 +74,7 @@ def _captions(spark, d):
     """Sentences of every turn as captions of its conversation."""
     c = spread_table(spark, d, "conversations")
     rows = c.select("conv_id", "turn", F.posexplode(F.split("text", r"[.\n]")).alias("i", "text")).where(F.length(F.trim("text")) > 0)
-    cap_id = F.col("turn") * 1000 + F.col("i")
+    cap_id = F.col("turn") * (1 << 32) + F.col("i")
     return rows.select("conv_id", cap_id.alias("cap_id"), (F.col("turn") * 60 + F.col("i") * 5 + 40).cast("double").alias("start"), "text", F.lit(0.0).alias("no_speech_prob"))
 
 
@@ -102,7 +102,7 @@ def early_matches(spark, d):
 
 EARLY_SQL = """
 WITH RECURSIVE sp AS (SELECT conv_id, turn, unnest(regexp_split_to_array(text, '[.\\n]')) AS text, generate_subscripts(regexp_split_to_array(text, '[.\\n]'), 1) - 1 AS i FROM conversations),
-cw AS (SELECT conv_id, turn * 1000 + i AS cap_id, text, list_filter({NORM}, lambda w: length(w) >= 3 AND regexp_matches(w, '[A-Z]') AND NOT list_contains(['{stop}'], w)) AS w FROM sp WHERE length(trim(text)) > 0),
+cw AS (SELECT conv_id, turn * 4294967296 + i AS cap_id, text, list_filter({NORM}, lambda w: length(w) >= 3 AND regexp_matches(w, '[A-Z]') AND NOT list_contains(['{stop}'], w)) AS w FROM sp WHERE length(trim(text)) > 0),
 cc AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY cap_id) - 1 AS pos FROM cw WHERE len(w) >= 4 AND length(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g')) / length(text) >= 0.85),
 ss AS (SELECT conv_id, turn AS seg_id, list_filter({NORM}, lambda w: length(w) >= 3 AND regexp_matches(w, '[A-Z]') AND NOT list_contains(['{stop}'], w)) AS w FROM conversations),
 pr AS (SELECT cc.conv_id, cap_id, seg_id, cc.w AS a, ss.w AS b,
@@ -135,7 +135,7 @@ def first_captions(spark, d):
 
 FIRST_SQL = """
 WITH sp AS (SELECT conv_id, turn, unnest(regexp_split_to_array(text, '[.\\n]')) AS text, generate_subscripts(regexp_split_to_array(text, '[.\\n]'), 1) - 1 AS i FROM conversations)
-SELECT conv_id, arg_min(CAST(turn * 60 + i * 5 + 40 AS DOUBLE), turn * 1000 + i) AS "offset" FROM sp WHERE length(trim(text)) > 0 GROUP BY 1
+SELECT conv_id, arg_min(CAST(turn * 60 + i * 5 + 40 AS DOUBLE), turn * 4294967296 + i) AS "offset" FROM sp WHERE length(trim(text)) > 0 GROUP BY 1
 """
 
 

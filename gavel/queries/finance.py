@@ -127,7 +127,7 @@ def _mentions(spark, d):
     )
     return li.select(
         "l_orderkey", F.lit(0).alias("source_rank"), F.concat(F.lit("src"), F.col("l_suppkey") % 3).alias("source"),
-        F.col("l_linenumber").alias("line_no"), (F.col("l_partkey") * 100_000 + F.col("l_suppkey")).alias("amount_no"),
+        F.col("l_linenumber").alias("line_no"), (F.col("l_partkey") * (1 << 24) + F.col("l_suppkey")).alias("amount_no"),
         F.concat(F.lit("$"), amount.cast("string")).alias("amount"), amount.cast(money.MONEY).alias("value"),
         money.entry_type(context).alias("type"),
         F.when(F.col("l_linestatus") == "O", "projected_costs").alias("section"), context.alias("context"),
@@ -151,7 +151,7 @@ WITH RECURSIVE e AS MATERIALIZED (
     CASE WHEN l_returnflag = 'A' THEN 'expenditure_decrease' WHEN l_returnflag = 'N' THEN 'revenue' WHEN l_linestatus = 'O' AND l_quantity > 40 THEN 'expenditure' ELSE 'unspecified' END AS t,
     CASE WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN 'D' WHEN l_returnflag = 'A' AND l_quantity > 25 THEN '' WHEN l_returnflag = 'A' THEN 'E'
          WHEN l_returnflag = 'N' AND l_linestatus <> 'O' THEN 'E' WHEN l_returnflag NOT IN ('A', 'N') AND l_linestatus = 'O' AND l_quantity > 40 THEN 'E' ELSE '' END AS force,
-    row_number() OVER (PARTITION BY l_orderkey, l_partkey % 5 ORDER BY l_linenumber, l_partkey * 100000 + l_suppkey) AS n
+    row_number() OVER (PARTITION BY l_orderkey, l_partkey % 5 ORDER BY l_linenumber, l_partkey * 16777216 + l_suppkey) AS n
   FROM lineitem),
 f AS (
   SELECT l_orderkey, amount, n, t AS state FROM e WHERE n = 1

@@ -351,11 +351,15 @@ def page_facts(spark, d):
 
 
 def agenda_table_rows(spark, d):
-    """Agenda rows parsed from tables made of line items."""
+    """Agenda rows parsed from tables made of line items, in three shapes of markup."""
     li = spread_table(spark, d, "lineitem")
+    shape = F.col("l_linenumber") % 3  # with a heading row, without end tags, with a table inside the cell
+    head = F.when(shape == 0, "<table><thead><tr><th>No.</th><th>Item</th></tr></thead><tbody><tr><td>").otherwise("<table><tr><td>")
+    inner = F.when(shape == 2, "<table><tr><td></td><td></td></tr></table>").otherwise("")
+    tail = F.when(shape == 1, ",1)\">open</a><tr><td>9.<td>no link</table>").otherwise(",1)\">open</a></td></tr></tbody></table>")
     row = F.concat(
-        F.lit("<table><tbody><tr><td>"), F.col("l_linenumber").cast("string"), F.lit(".</td><td>File No. PS25-"), F.col("l_partkey").cast("string"),
-        F.lit(" <a id=\"lnk"), F.col("l_suppkey").cast("string"), F.lit("\" href=\"javascript:loadAgendaItem("), F.col("l_suppkey").cast("string"), F.lit(",1)\">open</a></td></tr></tbody></table>"),
+        head, F.col("l_linenumber").cast("string"), F.when(shape == 1, ".<td>").otherwise(".</td><td>"), F.lit("File No. PS25-"), F.col("l_partkey").cast("string"),
+        inner, F.lit(" <a id=\"lnk"), F.col("l_suppkey").cast("string"), F.lit("\" href=\"javascript:loadAgendaItem("), F.col("l_suppkey").cast("string"), tail,
     )
     pages = li.select("l_orderkey", row.alias("html"))
     return html.agenda_rows(pages, "l_orderkey").select("l_orderkey", "number", "agenda_item_id", "link_id", "file_number", "raw_text")
@@ -457,7 +461,7 @@ def _reports(spark, d):
     kind = F.when(F.col("l_returnflag") == "A", "Notice ").otherwise("Staff Report Final ")
     docs = table(spark, d, "lineitem").select(
         F.col("l_partkey").alias("p_partkey"), F.concat(kind, F.when(F.col("l_linestatus") == "O", F.date_format("l_shipdate", "MM.dd.yy")).otherwise(F.repeat(F.lit("x"), F.col("l_linenumber")))).alias("doc_title"),
-        (F.col("l_orderkey") * 1000 + F.col("l_suppkey")).alias("doc_pos"), F.concat_ws("/", "l_orderkey", "l_linenumber", "l_suppkey").alias("url"),
+        (F.col("l_orderkey") * (1 << 24) + F.col("l_suppkey")).alias("doc_pos"), F.concat_ws("/", "l_orderkey", "l_linenumber", "l_suppkey").alias("url"),
     )
     return items, docs
 

@@ -22,12 +22,15 @@ def _stream(spark, d, name):
 
 
 def incremental_pickup(spark, d):
-    """New files written by partition; the second run finds nothing and changes nothing."""
+    """Many new files, one per batch, written by partition; the second run finds nothing and changes nothing."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     out = _scratch(spark)
+    events = table(spark, d, "events").select("event_type", "event_id", "user_id")
+    events.repartition(5).write.parquet(f"{out}/in")
     for _ in range(2):
-        write = incremental.overwrite_partitions(f"{out}/table", "event_type", lambda b: b.select("event_type", "event_id", "user_id"))
-        incremental.run_available(_stream(spark, d, "events"), f"{out}/state", write)
+        stream = incremental.new_files(spark, f"{out}/in", events.schema, "parquet", files_per_batch=1)
+        write = incremental.append_partitions(f"{out}/table", "event_type", lambda b: b)
+        incremental.run_available(stream, f"{out}/state", write)
     stored = spark.read.parquet(f"{out}/table")
     return stored.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"), F.sum("event_id").alias("id_sum"))
 

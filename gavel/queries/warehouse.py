@@ -33,7 +33,7 @@ a AS (SELECT * FROM m WHERE o_orderstatus <> 'P'),
 t AS (SELECT id AS tid, date, meeting_type FROM m WHERE o_orderstatus = 'P'),
 best AS (SELECT date, meeting_type, arg_max(id, (item_count, -id)) AS id FROM a GROUP BY 1, 2),
 g AS (SELECT date, meeting_type, min(tid) AS first_id, max(tid) AS last_id FROM t GROUP BY 1, 2),
-own AS (SELECT g.*, coalesce(b.id, 1000000 + first_id) AS id, b.id IS NULL AS stub FROM g LEFT JOIN best b USING (date, meeting_type))
+own AS (SELECT g.*, coalesce(b.id, -first_id - 1) AS id, b.id IS NULL AS stub FROM g LEFT JOIN best b USING (date, meeting_type))
 """
 
 
@@ -57,7 +57,7 @@ def keep_fullest(spark, d):
 def match_transcripts(spark, d):
     """Meetings with the transcript they were given."""
     full, _, _ = warehouse.match_transcripts(_agendas(spark, d), _transcripts(spark, d))
-    return full.where(F.col("transcript_source_id").isNotNull() & (F.col("id") < warehouse.STUB_BASE)).select(
+    return full.where(F.col("transcript_source_id").isNotNull() & ~F.col("is_stub")).select(
         "id", "date", "meeting_type", "item_count", "transcript_source_id"
     )
 
@@ -65,7 +65,7 @@ def match_transcripts(spark, d):
 def transcript_stubs(spark, d):
     """Stub meetings for transcripts without an agenda."""
     full, _, _ = warehouse.match_transcripts(_agendas(spark, d), _transcripts(spark, d))
-    return full.where(F.col("id") >= warehouse.STUB_BASE).select("id", "date", "meeting_type", "title", "item_count", "transcript_source_id")
+    return full.where("is_stub").select("id", "date", "meeting_type", "title", "item_count", "transcript_source_id")
 
 
 def superseded_transcripts(spark, d):

@@ -117,50 +117,89 @@ ROWS_DDL = (
 
 
 class _Tables(HTMLParser):
-    """Collects table rows with their cell texts and links."""
+    """Collects table rows with the texts and links of their data cells.
+
+    Open tables form a stack, so a table inside a cell leaves the outer row open; its text and links belong to the
+    outer cell too.  A row or cell ends with its end tag, with the next one of its kind, or with its table.  Rows
+    are numbered outside `thead` and `tfoot` only; those get -1."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.rows: list[tuple] = []
-        self.table = -1
-        self.row: dict | None = None
+        self.tables = 0
+        self.open: list[dict] = []
         self.link: dict | None = None
-        self.open_tables: list[list[int]] = []
 
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
         if tag == "table":
-            self.table += 1
-            self.open_tables.append([self.table, -1])
-        elif tag == "tr" and self.open_tables:
-            self.open_tables[-1][1] += 1
-            no, row_no = self.open_tables[-1]
-            self.row = {"t": no, "r": row_no, "id": a.get("data-meeting-id"), "cells": [], "links": []}
-        elif tag in ("td", "th") and self.row is not None:
-            self.row["cells"].append("")
-        elif tag == "a" and self.row is not None and self.row["cells"]:
-            self.link = {"cell": len(self.row["cells"]) - 1, "href": a.get("href") or "", "id": a.get("id"), "text": ""}
+            self.open.append({"no": self.tables, "next": 0, "body": True, "row": None, "in_cell": False})
+            self.tables += 1
+        elif not self.open:
+            return
+        elif tag in ("thead", "tfoot", "tbody"):
+            self._end_row()
+            self.open[-1]["body"] = tag == "tbody"
+        elif tag == "tr":
+            self._end_row()
+            t = self.open[-1]
+            t["row"] = {"r": t["next"] if t["body"] else -1, "id": a.get("data-meeting-id"), "cells": [], "links": []}
+            t["next"] += t["body"]
+        elif tag in ("td", "th") and self.open[-1]["row"] is not None:
+            self._end_link()
+            self.open[-1]["in_cell"] = tag == "td"
+            if tag == "td":
+                self.open[-1]["row"]["cells"].append("")
+        elif tag == "a" and any(t["in_cell"] for t in self.open):
+            self._end_link()
+            self.link = {"href": a.get("href") or "", "id": a.get("id"), "text": ""}
 
     def handle_data(self, data):
-        if self.row is not None and self.row["cells"]:
-            self.row["cells"][-1] += data
+        for t in self.open:
+            if t["in_cell"]:
+                t["row"]["cells"][-1] += data
         if self.link is not None:
             self.link["text"] += data
 
     def handle_endtag(self, tag):
-        if tag == "a" and self.link is not None and self.row is not None:
-            self.row["links"].append({**self.link, "text": self.link["text"].strip()})
+        if tag == "a":
+            self._end_link()
+        elif not self.open:
+            return
+        elif tag in ("td", "th"):
+            self._end_link()
+            self.open[-1]["in_cell"] = False
+        elif tag in ("tr", "thead", "tbody", "tfoot"):
+            self._end_row()
+            if tag in ("thead", "tfoot"):
+                self.open[-1]["body"] = True
+        elif tag == "table":
+            self._end_row()
+            self.open.pop()
+
+    def close(self) -> None:
+        super().close()
+        while self.open:
+            self.handle_endtag("table")
+
+    def _end_link(self) -> None:
+        if self.link is not None:
+            for t in self.open:
+                if t["in_cell"]:
+                    cell = len(t["row"]["cells"]) - 1
+                    t["row"]["links"].append({"cell": cell, **self.link, "text": self.link["text"].strip()})
             self.link = None
-        elif tag == "tr" and self.row is not None:
-            r = self.row
-            self.rows.append((r["t"], r["r"], r["id"], [c.strip() for c in r["cells"]], r["links"]))
-            self.row = None
-        elif tag == "table" and self.open_tables:
-            self.open_tables.pop()
+
+    def _end_row(self) -> None:
+        self._end_link()
+        t = self.open[-1]
+        r, t["row"], t["in_cell"] = t["row"], None, False
+        if r is not None:
+            self.rows.append((t["no"], r["r"], r["id"], [c.strip() for c in r["cells"]], r["links"]))
 
 
 def table_rows(pages: DataFrame, key: str) -> DataFrame:
-    """One row per HTML table row of every page."""
+    """One row per HTML table row of every page; `cells` are its data cells, without headings."""
     key_type = pages.schema[key].dataType.simpleString()
     names = ["table_no", "row_no", "row_id", "cells", "links"]
 
@@ -170,17 +209,19 @@ def table_rows(pages: DataFrame, key: str) -> DataFrame:
             for k, html in zip(batch[key], batch["html"]):
                 parser = _Tables()
                 parser.feed(html or "")
+                parser.close()
                 for row in parser.rows:
                     out[key].append(k)
                     for n, v in zip(names, row):
                         out[n].append(v)
-            yield pd.DataFrame(out, columns=[key, *names])
+            if out[key]:  # a frame without rows has no list types
+                yield pd.DataFrame(out, columns=[key, *names])
 
     return pages.select(key, "html").mapInPandas(parse, f"{key} {key_type}, {ROWS_DDL}")
 
 
 def agenda_rows(pages: DataFrame, key: str) -> DataFrame:
-    """Agenda items: first row of a table, a numbered cell and a load link in the next one."""
+    """Agenda items: first body row of a table, a numbered cell and a load link in the next one."""
     rows = table_rows(pages, key).where((F.col("row_no") == 0) & (F.size("cells") >= 2))
     load = F.filter("links", lambda a: (a["cell"] == 1) & a["href"].contains("loadAgendaItem"))
     content = F.get("cells", F.lit(1))

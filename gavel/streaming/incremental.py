@@ -26,11 +26,15 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
     query.awaitTermination()
 
 
-def overwrite_partitions(path: str, partition: str, shape: Callable[[DataFrame], DataFrame]):
-    """foreachBatch writer that replaces the touched partitions only, so a retry is harmless."""
+def append_partitions(path: str, partition: str, shape: Callable[[DataFrame], DataFrame], batch_column: str = "batch_id"):
+    """foreachBatch writer that adds each batch once.
+
+    The batch's number is a second partition column, and only the batch's own folders are replaced: a retry
+    of a batch is harmless, and what other batches wrote to the same partition stays."""
 
     def write(batch: DataFrame, epoch: int) -> None:
-        shape(batch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+        rows = shape(batch).withColumn(batch_column, F.lit(epoch))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition, batch_column).parquet(path)
 
     return write
 

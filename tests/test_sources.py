@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gavel.plans import coverage, readmodel, timeline, warehouse
-from gavel.sources import files
+from gavel.sources import files, html
 from gavel.streaming import incremental
 
 
@@ -87,11 +87,11 @@ def test_lists(spark, tmp_path):
 
 def test_warehouse(tables):
     m = {r["id"]: r for r in tables["meetings"].collect()}
-    # 11 lost to 10 (same date and type, fewer items); 1000102 is a stub
-    assert set(m) == {10, 12, 14, 1_000_102}
+    # 11 lost to 10 (same date and type, fewer items); -103 is a stub
+    assert set(m) == {10, 12, 14, -103}
     assert m[10]["item_count"] == 3 and m[10]["transcript_source_id"] == "101"
-    assert m[12]["meeting_type"] == "cra" and m[1_000_102]["meeting_type"] == "workshop"
-    assert m[1_000_102]["title"] == "Workshop — May 5, 2025"
+    assert m[12]["meeting_type"] == "cra" and m[-103]["meeting_type"] == "workshop"
+    assert m[-103]["title"] == "Workshop — May 5, 2025"
     assert [tuple(r) for r in tables["superseded_transcripts"].collect()] == [("100", 10, "101")]
     items = tables["agenda_items"].where("meeting_id = 10").orderBy("item_pos").collect()
     assert [r["item_number"] for r in items] == [1, 1, None] and float(items[0]["fiscal_net"]) == 5.0
@@ -118,7 +118,7 @@ def test_write_and_listing(spark, tables, tmp_path):
     back = spark.read.parquet(f"{tmp_path}/meetings")
     assert back.where("year = 2025").count() == 3
     rows = readmodel.listing(back, spark.createDataFrame([(10, "v", 1)], "meeting_id long, video_id string, part int")).collect()
-    assert [r["id"] for r in rows] == [1_000_102, 12, 10] and rows[2]["has_video"] == 1
+    assert [r["id"] for r in rows] == [-103, 12, 10] and rows[2]["has_video"] == 1
 
 
 def test_part_starts_and_offsets(spark):
@@ -142,3 +142,25 @@ def test_late_final_supersedes_draft(spark, tmp_path):
         spark.createDataFrame(rows, schema).write.mode("append").parquet(str(src))
         incremental.run_available(incremental.new_files(spark, str(src), schema), str(tmp_path / "state"), keep)
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [2, 9]
+
+
+def test_table_rows_nest_and_close_by_implication(spark):
+    pages = [
+        (1, "<table><tr><td>a<table><tr><td>in</td></tr></table><a href='x'>l</a></td><td>b</td></tr></table>"),
+        (2, "<table><thead><tr><th>h</th></tr></thead><tr><td>1<td>2<tr><td>3</table>"),
+        (3, "<table><tr><td>open"),
+        (4, None),
+    ]
+    got = html.table_rows(spark.createDataFrame(pages, "id int, html string"), "id").collect()
+    rows = sorted((r["id"], r["table_no"], r["row_no"], tuple(r["cells"]), len(r["links"])) for r in got)
+    assert rows == [
+        (1, 0, 0, ("ainl", "b"), 1), (1, 1, 0, ("in",), 0), (2, 0, -1, (), 0), (2, 0, 0, ("1", "2"), 0), (2, 0, 1, ("3",), 0), (3, 0, 0, ("open",), 0),
+    ]
+
+
+def test_batches_of_one_partition_all_stay(spark, tmp_path):
+    for i, ids in enumerate(([1, 2], [3], [4, 5])):
+        spark.createDataFrame([(x, "a") for x in ids], "id long, kind string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = incremental.new_files(spark, str(tmp_path / "in"), "id long, kind string", files_per_batch=1)
+    incremental.run_available(stream, str(tmp_path / "state"), incremental.append_partitions(str(tmp_path / "out"), "kind", lambda b: b))
+    assert {r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {1, 2, 3, 4, 5}
