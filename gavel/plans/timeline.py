@@ -100,7 +100,7 @@ def within_search_window(
 
 def restrict_to_part(segments: DataFrame, parts: DataFrame, key: str, seconds: str, start: str) -> DataFrame:
     """Segments from the part's start on (whole transcript when it has none)."""
-    joined = segments.join(parts.select(key, start), key)
+    joined = segments.join(parts.select(key, start), key, "left")
     return joined.where(F.col(start).isNull() | (F.col(seconds) >= F.col(start)))
 
 

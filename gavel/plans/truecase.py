@@ -1,16 +1,16 @@
 """Casing of ALL-CAPS text from dictionary tables.
 
 A dictionary row is (phrase, proper, kind) with kind one of acronym, skip, lower,
-entity, surname, suffix.  Which dictionary entries a text can use depends only on
-the words of that text, so the dictionary is never shipped whole: the phrases of
+entity, surname, suffix, and may carry a rank: of rows with equal phrase and kind the
+lowest rank wins, then the first casing in order.  Which entries a text can use depends
+only on the words of that text, so the dictionary is never shipped whole: the phrases of
 each text are joined to it, and the casing step sees the text next to its own few
-entries.  A small dictionary (checked) takes the shorter road and is broadcast.
+entries.  There is one road for dictionaries of every size.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from ..functions.base import let
 
-BROADCAST_ENTRIES = 50_000
 MAX_WORDS = 6
 
 # Nouns after which "it" is the department, words before "us" the country.
@@ -40,8 +39,7 @@ class Caser:
         self.surnames = entries.get("surname", {})
         self.words = entries.get("entity", {})
         phrases = [p for p in self.words if " " in p or "-" in p]
-        longest_first = sorted(phrases, key=lambda p: (-len(p), p))
-        self.phrases = re.compile(r"\b(?:" + "|".join(map(re.escape, longest_first)) + r")\b") if phrases else None
+        self.phrases = sorted(phrases, key=lambda p: (-len(p), p))
         suffixes = sorted(entries.get("suffix", {}), key=lambda s: (-len(s), s))
         self.street = (
             re.compile(rf"\b({DIRECTIONS})?([a-z]{{2,}}(?:\s+[a-z]{{2,}})?)\s+({'|'.join(map(re.escape, suffixes))})\b")
@@ -56,12 +54,24 @@ class Caser:
         low = text.lower()
         if self.street:
             low = self.street.sub(lambda m: " ".join(w[:1].upper() + w[1:] for w in m.group(0).split()), low)
-        if self.phrases:
-            # match without case: the street rule may already have raised some letters
-            low = re.sub(self.phrases.pattern, lambda m: self.words[m.group(0).lower()], low, flags=re.IGNORECASE)
+        low = self._phrases(low)
         tokens = low.split()
         return " ".join(self._token(tokens, i) for i in range(len(tokens)))
 
+    def _phrases(self, low: str) -> str:
+        """Longest phrase first over the whole text; a place that a longer phrase has taken stays as it is."""
+        taken: list[tuple[int, int, str]] = []
+        for phrase in self.phrases:
+            # match without case: the street rule may already have raised some letters
+            for m in re.finditer(rf"\b{re.escape(phrase)}\b", low, flags=re.IGNORECASE):
+                if all(m.end() <= a or m.start() >= b for a, b, _ in taken):
+                    taken.append((m.start(), m.end(), self.words[phrase]))
+        out, at = [], 0
+        for a, b, proper in sorted(taken):
+            out += [low[at:a], proper]
+            at = b
+        return "".join([*out, low[at:]])
+
     def _token(self, tokens: list[str], i: int) -> str:
         token = tokens[i]
         lead, core, tail = re.fullmatch(r"(\W*)(.*?)(\W*)", token, re.S).groups()
@@ -110,39 +120,35 @@ def _grouped(rows) -> dict[str, dict[str, str]]:
     return out
 
 
-def _with_broadcast(texts: DataFrame, text: str, out: str, rows: list, keep: bool) -> DataFrame:
-    shared = texts.sparkSession.sparkContext.broadcast(_grouped(rows))
-
-    @F.pandas_udf("string")
-    def cased(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        caser = Caser(shared.value, keep)
-        for batch in batches:
-            yield batch.map(caser, na_action="ignore")
-
-    return texts.withColumn(out, cased(F.col(text)))
-
-
 def phrases_of(text: str, max_words: int):
-    """Distinct lower-case word runs of a text, hyphen parts included, punctuation trimmed."""
-    clean = lambda p: F.regexp_replace(p, r"^[^\p{L}\p{N}_]+|[^\p{L}\p{N}_]+\z", "")
+    """Distinct lower-case phrases of a text: every run of up to `max_words` words with what stands between them,
+    and every blank-separated part without its punctuation."""
+
+    def of(low):
+        pieces = F.filter(F.split(low, r"\b"), lambda p: p != "")  # words and what stands between them, in turn
+        word = lambda p: p.rlike(r"^\w")
 
-    def of(words):
-        def runs(n):
-            places = F.sequence(F.lit(1), F.size(words) - n + 1)
-            joined = F.transform(places, lambda i: clean(F.array_join(F.slice(words, i, n), " ")))
-            return F.when(F.size(words) >= n, joined).otherwise(F.array().cast("array<string>"))
+        def runs(pieces, n):
+            places = F.sequence(F.lit(1), F.size(pieces) - (2 * n - 2))
+            starts = F.filter(places, lambda i: word(F.element_at(pieces, i.cast("int"))))
+            joined = F.transform(starts, lambda i: F.array_join(F.slice(pieces, i, 2 * n - 1), ""))
+            return F.when(F.size(pieces) >= 2 * n - 1, joined).otherwise(F.array().cast("array<string>"))
 
-        parts = F.flatten(F.transform(words, lambda w: F.split(clean(w), r"[^\p{L}\p{N}_]")))
-        bare = F.transform(words, lambda w: F.regexp_replace(w, r"[^\p{L}\p{N}_-]", ""))
-        return F.array_distinct(F.concat(*[runs(n) for n in range(1, max_words + 1)], parts, bare))
+        bare = F.transform(F.split(low, r"\s+"), lambda w: F.regexp_replace(w, r"[^\w-]", ""))
+        every = let(pieces, lambda x: F.concat(*[runs(x, n) for n in range(1, max_words + 1)]))
+        return F.array_distinct(F.concat(every, bare))
 
-    return let(F.filter(F.split(F.lower(F.col(text)), r"\s+"), lambda w: F.length(w) > 0), of)
+    return let(F.lower(F.col(text)), of)
 
 
-def _with_join(texts: DataFrame, key: str, text: str, out: str, dictionary: DataFrame, max_words: int, keep: bool) -> DataFrame:
+def _with_join(texts: DataFrame, key: str, text: str, out: str, dictionary: DataFrame, max_words: int, keep: bool, predictions: DataFrame | None) -> DataFrame:
     phrases = texts.select(key, F.explode(phrases_of(text, max_words)).alias("phrase"))
     # acronyms, suffixes and the rest are all reached by the words of the text itself
-    hits = phrases.join(dictionary.select("phrase", "proper", "kind"), "phrase")
+    hits = phrases.join(dictionary.select("phrase", "proper", "kind"), "phrase").select(key, "phrase", "proper", "kind")
+    if predictions is not None:
+        said = predictions.select(key, F.lower("phrase").alias("phrase"), "proper", "kind", F.lit(1).alias("rank"))
+        every = hits.withColumn("rank", F.lit(0)).unionByName(said)
+        hits = every.groupBy(key, "phrase", "kind").agg(F.min_by("proper", F.struct("rank", "proper")).alias("proper"))
     own = hits.groupBy(key).agg(F.collect_set(F.struct("phrase", "proper", "kind")).alias("_entries"))
     joined = texts.join(own, key, "left")
 
@@ -164,16 +170,19 @@ def truecase(
     dictionary: DataFrame,
     out: str = "cased",
     keep_apostrophes: bool = True,
-    max_broadcast: int = BROADCAST_ENTRIES,
     max_words: int = MAX_WORDS,
+    predictions: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the cased text.  `key` must be unique per row."""
-    entries = dictionary.select("phrase", "proper", "kind").where(F.col("phrase").isNotNull())
-    head = entries.limit(max_broadcast + 1).collect()  # bounded: decides the road to take
-    if len(head) <= max_broadcast:
-        return _with_broadcast(texts, text, out, [tuple(r) for r in head], keep_apostrophes)
-    longest = entries.agg(F.max(F.size(F.split("phrase", " ")))).first()[0]
-    return _with_join(texts, key, text, out, entries, max(max_words, longest), keep_apostrophes)
+    """Add the cased text.  `key` must be unique per row.
+
+    `predictions` (key, phrase, proper, kind) are entries of single texts, such as the names a model found in
+    them; they come after the dictionary where both have the same phrase and kind."""
+    rank = F.col("rank") if "rank" in dictionary.columns else F.lit(0)
+    first = F.min_by("proper", F.struct("rank", "proper")).alias("proper")
+    entries = dictionary.withColumn("rank", rank).where(F.col("phrase").isNotNull())
+    entries = entries.groupBy("phrase", "kind").agg(first)
+    longest = entries.agg(F.max(F.size(F.split("phrase", r"\b")))).first()[0] or 0
+    return _with_join(texts, key, text, out, entries, max(max_words, longest // 2 + 1), keep_apostrophes, predictions)
 
 
 def dictionary_rows(names: DataFrame, kind: str, column: str = "name") -> DataFrame:

@@ -255,13 +255,15 @@ def _shouted(spark, d):
 
 
 def truecased_parts(spark, d):
-    """Made capitals sentences cased with the dictionary broadcast."""
+    """Made capitals sentences cased with the dictionary."""
     return truecase.truecase(_shouted(spark, d), "p_partkey", "shouted", _dictionary(spark, d)).select("p_partkey", "cased")
 
 
 def truecased_parts_joined(spark, d):
-    """The same by the join road, for dictionaries of any size."""
-    return truecase.truecase(_shouted(spark, d), "p_partkey", "shouted", _dictionary(spark, d), max_broadcast=0).select("p_partkey", "cased")
+    """The same with the part names as predictions of their own texts, not in the dictionary."""
+    p = table(spark, d, "part").select("p_partkey", F.col("p_name").alias("phrase"), F.initcap("p_name").alias("proper"), F.lit("entity").alias("kind"))
+    dictionary = _dictionary(spark, d).where("kind = 'acronym'")
+    return truecase.truecase(_shouted(spark, d), "p_partkey", "shouted", dictionary, predictions=p).select("p_partkey", "cased")
 
 
 CASED_SQL = """

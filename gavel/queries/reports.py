@@ -171,7 +171,7 @@ def resolved_links(spark, d):
         "l_orderkey", F.concat(F.lit("7"), F.col("l_linenumber").cast("string")).alias("item_id"), F.col("l_linenumber").alias("item_no"),
         F.concat(F.lit("Item about-part "), F.col("p").cast("string")).alias("text"),
     )
-    links = li.where(F.col("l_suppkey") % 4 == 0).select(
+    links = li.select(
         "l_orderkey", F.concat_ws("/", "l_partkey", "l_suppkey", "l_linenumber").alias("link_id"),
         F.when(F.col("l_partkey") % 2 == 0, F.concat(F.lit("17"), F.col("l_linenumber").cast("string"))).otherwise("x").alias("number"),
         F.when(F.col("l_partkey") % 3 == 0, F.concat(F.lit("ABOUT-PART "), F.col("l_partkey").cast("string"))).otherwise(F.concat(F.lit("about part"), F.col("l_partkey").cast("string"))).alias("text"),
@@ -182,7 +182,7 @@ def resolved_links(spark, d):
 LINKS_SQL = """
 WITH i AS (SELECT l_orderkey, '7' || l_linenumber AS item_id, l_linenumber AS item_no, 'item about-part ' || min(l_partkey) AS t FROM lineitem GROUP BY l_orderkey, l_linenumber),
 k AS (SELECT DISTINCT l_orderkey, l_partkey || '/' || l_suppkey || '/' || l_linenumber AS link_id, CASE WHEN l_partkey % 2 = 0 THEN '17' || l_linenumber ELSE 'x' END AS num,
-  CASE WHEN l_partkey % 3 = 0 THEN 'about-part ' || l_partkey ELSE 'about part' || l_partkey END AS t FROM lineitem WHERE l_suppkey % 4 = 0),
+  CASE WHEN l_partkey % 3 = 0 THEN 'about-part ' || l_partkey ELSE 'about part' || l_partkey END AS t FROM lineitem),
 h AS (SELECT k.l_orderkey, link_id, i.item_id, item_no, CASE WHEN contains(i.item_id, num) OR contains(num, i.item_id) THEN 1 WHEN contains(i.t, k.t) THEN 2
    WHEN contains(regexp_replace(i.t, '[^a-z0-9]', '', 'g'), regexp_replace(k.t, '[^a-z0-9]', '', 'g')) THEN 3 END AS tier FROM k JOIN i USING (l_orderkey)),
 b AS (SELECT l_orderkey, link_id, arg_min(item_id, (tier, item_no)) AS item_id, min(tier) AS tier FROM h WHERE tier IS NOT NULL GROUP BY 1, 2)

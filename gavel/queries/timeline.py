@@ -104,10 +104,9 @@ def _videos(seg):
 
 
 def asof_video(spark, d):
-    """Segments (errors) with the latest video (purchase) before them, else the first one."""
+    """Every segment with the latest video (purchase) before it, else the first one."""
     seg = event_segments(spark, d)
-    errors = seg.where(F.col("event_type") == "error").select("meeting_id", "event_id", "sec")
-    out = tl.video_positions(errors, _videos(seg), "meeting_id", "sec", "start_sec")
+    out = tl.video_positions(seg.select("meeting_id", "event_id", "sec"), _videos(seg), "meeting_id", "sec", "start_sec")
     return out.select(
         "meeting_id", "event_id", F.col("match.video_id").alias("video_id"), "video_part",
         F.round("video_seconds", 6).alias("video_seconds"),
@@ -119,7 +118,7 @@ videos AS (SELECT user_id, event_id AS video_id, ts, row_number() OVER (PARTITIO
            FROM events WHERE event_type = 'purchase'),
 firsts AS (SELECT * FROM videos WHERE part = 1),
 hits AS (SELECT e.user_id, e.event_id, e.ts, v.video_id, v.part, v.ts AS vts
-         FROM (SELECT * FROM events WHERE event_type = 'error') e
+         FROM events e
          ASOF LEFT JOIN videos v ON e.user_id = v.user_id AND e.ts >= v.ts)
 """
 
@@ -134,8 +133,7 @@ FROM hits h LEFT JOIN firsts f USING (user_id)
 def asof_unclamped(spark, d):
     """The other as-of: no clamp at zero, 24 h added to a negative distance."""
     seg = event_segments(spark, d)
-    errors = seg.where(F.col("event_type") == "error").select("meeting_id", "event_id", "sec")
-    out = tl.video_positions(errors, _videos(seg), "meeting_id", "sec", "start_sec", clamp=False, wrap_midnight=True)
+    out = tl.video_positions(seg.select("meeting_id", "event_id", "sec"), _videos(seg), "meeting_id", "sec", "start_sec", clamp=False, wrap_midnight=True)
     return out.select("meeting_id", "event_id", "video_part", F.round("video_seconds", 6).alias("video_seconds"))
 
 
@@ -243,7 +241,7 @@ def part_restriction(spark, d):
 RESTRICT_SQL = """
 WITH v AS (SELECT user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS part FROM events WHERE event_type = 'purchase')
 SELECT e.user_id AS meeting_id, count(*) AS segments, min(e.event_id) AS baseline_event
-FROM events e JOIN v ON e.user_id = v.user_id AND v.part = 2 AND e.ts >= v.ts GROUP BY 1
+FROM events e LEFT JOIN v ON e.user_id = v.user_id AND v.part = 2 WHERE v.ts IS NULL OR e.ts >= v.ts GROUP BY 1
 """
 
 

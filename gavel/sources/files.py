@@ -174,3 +174,28 @@ def meeting_metadata(meeting_df: DataFrame) -> DataFrame:
         F.coalesce(F.size("agendaItems"), F.lit(0)).alias("agendaItemCount"),
         F.col("sourceUrl"),
     )
+
+
+def write_files(contents: DataFrame, folder: str) -> int:
+    """Write (name, content) rows as files of those names below `folder`; the number of files written.
+
+    Any store that the Arrow file systems know will do.  A file is written whole under its own name, so a
+    retried task writes the same file again."""
+    from pyarrow import fs
+
+    folder = folder if ":" in folder else f"file://{folder}"
+    store, root = fs.FileSystem.from_uri(folder)
+    store.create_dir(root, recursive=True)
+
+    def write(batches):
+        import pyarrow as pa
+
+        target, at = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for name, content in zip(batch.column("name").to_pylist(), batch.column("content").to_pylist()):
+                with target.open_output_stream(f"{at}/{name}") as out:
+                    out.write((content or "").encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["files"])
+
+    written = contents.select("name", "content").mapInArrow(write, "files long")
+    return written.agg(F.sum("files")).first()[0] or 0

@@ -127,16 +127,26 @@ PAIRS = [
 ]
 
 
-@pytest.mark.parametrize("road", [0, 50_000])
-def test_truecase(spark, road):
+def test_truecase(spark):
     d = spark.createDataFrame(DICTIONARY, "phrase string, proper string, kind string")
     rows = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(PAIRS)], "id int, t string")
-    out = truecase.truecase(rows, "id", "t", d, max_broadcast=road).orderBy("id").collect()
+    out = truecase.truecase(rows, "id", "t", d).orderBy("id").collect()
     assert [r["cased"] for r in out] == [b for _, b in PAIRS]
-    again = truecase.truecase(spark.createDataFrame([(r["id"], r["cased"]) for r in out], "id int, t string"), "id", "t", d, max_broadcast=road)
+    again = truecase.truecase(spark.createDataFrame([(r["id"], r["cased"]) for r in out], "id int, t string"), "id", "t", d)
     assert [r["cased"] for r in again.orderBy("id").collect()] == [b for _, b in PAIRS]
 
 
+def test_longest_phrase_first_ranks_and_predictions(spark):
+    d = spark.createDataFrame(
+        [("a b", "A B", "entity", 0), ("b c d", "B C D", "entity", 0), ("plant city", "Plant City", "entity", 1), ("plant city", "PLANT CITY", "entity", 2)],
+        "phrase string, proper string, kind string, rank int",
+    )
+    rows = spark.createDataFrame([(1, "X A B C D"), (2, "SEE TAMPA/PLANT CITY NOW"), (3, "OLD ROSE LANE")], "id int, t string")
+    said = spark.createDataFrame([(3, "rose lane", "Rose Lane", "entity"), (2, "plant city", "no", "entity")], "id int, phrase string, proper string, kind string")
+    out = truecase.truecase(rows, "id", "t", d, predictions=said).orderBy("id").collect()
+    assert [r["cased"] for r in out] == ["X a B C D", "See tampa/plant City now", "Old Rose Lane"]
+
+
 def test_apostrophes_can_be_dropped(spark):
     d = spark.createDataFrame(DICTIONARY, "phrase string, proper string, kind string")
     rows = spark.createDataFrame([(1, "WE DON'T KNOW")], "id int, t string")
