@@ -22,11 +22,6 @@ def wall_clock_seconds(clock: ColumnLike, allow_no_seconds: bool = False) -> Col
     return F.when(valid, ((h % 12) + F.when(half == "PM", 12).otherwise(0)) * 3600 + m * 60 + s)
 
 
-def wall_clock_minutes(clock: ColumnLike) -> Column:
-    """Minutes of day with the seconds as a fraction."""
-    return wall_clock_seconds(clock) / 60.0
-
-
 def clock_or_elapsed_seconds(text: ColumnLike) -> Column:
     """Wall clock, or elapsed h:mm:ss / mm:ss without a half-day mark."""
     t = F.trim(col(text))

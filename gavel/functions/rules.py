@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .base import ColumnLike, blank_to_null, col
+from .dates import long_date
 
 
 @dataclass(frozen=True)
@@ -34,12 +35,6 @@ def classify(rules: list[Rule], fields: dict[str, ColumnLike]) -> Column:
     return F.coalesce(*picks) if picks else F.lit(None).cast("string")
 
 
-def rules_table(spark, classifier: str, rules: list[Rule]):
-    """The rules as a table, for review and for joins."""
-    rows = [(classifier, r.priority, r.field, r.pattern, r.label) for r in rules]
-    return spark.createDataFrame(rows, "classifier string, priority int, field string, pattern string, label string")
-
-
 def any_of(text: ColumnLike, patterns: list[str] | tuple[str, ...]) -> Column:
     """True when any pattern occurs; one alternation, one pass over the text."""
     return F.coalesce(col(text).rlike("(?i)" + "|".join(f"(?:{p})" for p in patterns)), F.lit(False))
@@ -101,7 +96,7 @@ def type_label(slug: ColumnLike) -> Column:
 
 
 def meeting_title(slug: ColumnLike, date: ColumnLike) -> Column:
-    return F.concat(type_label(slug), F.lit(" — "), F.date_format(col(date), "MMMM d, yyyy"))
+    return F.concat(type_label(slug), F.lit(" — "), long_date(date))
 
 
 # --- C3: several signals ---------------------------------------------------

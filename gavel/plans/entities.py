@@ -208,11 +208,16 @@ def word_chunks(text: ColumnLike, size: int = 250) -> Column:
 
 
 def build_dictionary(
-    agendas: DataFrame, segments: DataFrame, doc: str, text: str, place: str, predictions: DataFrame | None = None
+    agendas: DataFrame, segments: DataFrame, doc: str, text: str, place: str, predictions: DataFrame | None = None,
+    area: tuple[str, ...] = (),
 ) -> dict[str, DataFrame]:
-    """The whole dictionary build: extract, score, merge speakers, clean, rank."""
+    """The whole dictionary build: extract, score, merge speakers, clean, rank.
+
+    `place` is the city that organisations are named after; neither its words nor those of `area` (its county, say)
+    belong to a person's name."""
+    stop = tuple(w for name in (place, *area) for w in name.lower().split())
     found = {
-        "people": name_rows(agendas, doc, text, people_in(text, (place.lower(),))),
+        "people": name_rows(agendas, doc, text, people_in(text, stop)),
         "organizations": name_rows(agendas, doc, text, organizations_in(text, place)),
     }
     stats = {}

@@ -7,13 +7,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..plans import warehouse
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, removed_at_exit
 from ..streaming import incremental
 from .tables import meetings, table
 
 
 def _scratch(spark) -> str:
-    return f"{checkpoint_dir(spark)}/gavel-{uuid.uuid4().hex}"
+    return removed_at_exit(spark, f"{checkpoint_dir(spark)}/gavel-{uuid.uuid4().hex}")
 
 
 def _stream(spark, d, name):

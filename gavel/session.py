@@ -64,9 +64,18 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """Write `df` as Parquet in the shared folder and read it back: cuts lineage, and later reads prune columns."""
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    removed_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed_at_exit(spark: SparkSession, path: str) -> str:
+    """Mark a scratch path for removal when the application ends."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors once per context; their Python has only what it is sent."""
     context = spark.sparkContext
