@@ -11,12 +11,15 @@ Scale: no shuffle of texts or tokens except for leftovers (OPEN windows per part
 pass is written once to the shared folder, so leftovers and emitted pieces come from one run of it.
 
 Tokens: blanks never survive tokenisation, so a text's ids are those of its blank-separated parts in a
-row; a bounded cache of parts saves most of the tokeniser's work and gives equal ids.
+row; a bounded cache of parts saves most of the tokeniser's work and gives equal ids.  The tokeniser
+lower-cases and takes a letter and a final comma or stop apart, so parts are looked up in lower case
+and without such an ending; parts with the brackets of special tokens are left as they are.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from bisect import bisect_left, insort
@@ -33,10 +36,12 @@ from gavel.session import stored
 WINDOW = 4096
 OPEN = 64
 END_ID = 2
-CACHED_PARTS = 400_000
+CACHED_PARTS = 1_000_000
 #: Leftover windows that one task pours together.
 GROUP_WINDOWS = 1024
 
+_ENDING = re.compile(rb"(?<=[a-z])([.,])(?=[\t-\r ]|\Z)")
+
 PIECES = "doc long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -49,8 +54,14 @@ class Tokens:
 
         self.tokenizer, self.cache = Tokenizer.from_file(path), {}
 
+    @staticmethod
+    def parts(text: bytes) -> list[bytes]:
+        if b"<|" in text:
+            return text.split()
+        return _ENDING.sub(rb" \1", text.lower()).split()
+
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        parts = [t.split() for t in texts]
+        parts = [self.parts(t) for t in texts]
         if len(self.cache) > CACHED_PARTS:
             self.cache.clear()
         new = list({p for ps in parts for p in ps}.difference(self.cache))
