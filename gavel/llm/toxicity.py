@@ -22,18 +22,18 @@ of two classes is linear in the mean), 1 MB, and travels with the task.
 from __future__ import annotations
 
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gavel.llm.common import ALNUM, small_batches
+from gavel.llm.common import ALNUM, grams, mixed, small_batches
 
 BUCKETS = 1 << 18
 DIMENSION = 8
 SPAN = 32
+GRAMS = (3, 4, 5)
 SAMPLE = 1500
 WINDOWS = 24
 FOLDS = 5
@@ -42,7 +42,9 @@ LEAST_TEXTS = 8
 #: Fixed factor on the mean of a window, and the weight of clean texts against toxic ones.
 SCALE = 8
 CLEAN_WEIGHT = 3
-CACHED_WORDS = 200_000
+#: A small sample is gone through more often, up to so many steps a round.
+LEAST_STEPS = 200
+CACHED_WORDS = 500_000
 
 _TO_WORDS = bytes(ord(chr(b).lower()) if b < 0x80 and ALNUM[b] else b if b >= 0x80 else 0x20 for b in range(256))
 
@@ -54,12 +56,25 @@ def words_of(text: str | None) -> list[bytes]:
     return list(words)
 
 
-@lru_cache(maxsize=CACHED_WORDS)
-def subwords(word: bytes) -> np.ndarray:
-    """Buckets of a word: itself and its character n-grams."""
-    marked = "<" + word.decode("utf-8", "replace") + ">"
-    parts = {marked} | {marked[i : i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)}
-    return np.array(sorted({zlib.crc32(p.encode("utf-8", "surrogatepass")) % BUCKETS for p in parts}), np.int32)
+def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, index of its word) of the words themselves and of all their character n-grams."""
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    marked = [f"<{w.decode('utf-8', 'replace')}>" for w in words]
+    letters = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+    owner = np.repeat(np.arange(len(words)), sizes)
+    first = np.cumsum(sizes) - sizes
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.full(int(sizes.max()), 0x9E3779B97F4A7C15, np.uint64))
+        hashes = [mixed(np.add.reduceat(letters * power[np.arange(len(letters)) - first[owner]], first))]
+    owners = [np.arange(len(words))]
+    for n in GRAMS:
+        if len(letters) >= n:
+            inside = owner[: len(letters) - n + 1] == owner[n - 1 :]
+            hashes.append(grams(letters, n)[inside])
+            owners.append(owner[: len(letters) - n + 1][inside])
+    return (np.concatenate(hashes) % np.uint64(BUCKETS)).astype(np.int64), np.concatenate(owners)
 
 
 def spans_of(text: str | None) -> list[list[bytes]]:
@@ -69,9 +84,8 @@ def spans_of(text: str | None) -> list[list[bytes]]:
 
 def _bag(words: list[bytes], common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, weights) of the mean of the words' means; buckets of too few texts are zero, and left out."""
-    parts = [subwords(w) for w in words]
-    where = np.concatenate(parts)
-    weight = np.concatenate([np.full(len(p), SCALE / (len(p) * SPAN), np.float32) for p in parts])
+    where, owner = subwords(words)
+    weight = (SCALE / SPAN / np.bincount(owner)[owner]).astype(np.float32)
     used = common[where]
     if not used.any():
         return where[:1], np.zeros(1, np.float32)
@@ -93,9 +107,10 @@ class Model:
 
     def fit(self, bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, importance: np.ndarray, epochs: int, rate: float) -> None:
         rng = np.random.default_rng(2)
-        for _ in range(epochs):
+        batches = max(1, len(bags) // 256)
+        for _ in range(max(epochs, -(-LEAST_STEPS // batches))):
             order = rng.permutation(len(bags))
-            for part in np.array_split(order, max(1, len(order) // 256)):
+            for part in np.array_split(order, batches):
                 sizes = np.array([len(bags[i][0]) for i in part])
                 where = np.concatenate([bags[i][0] for i in part])
                 weight = np.concatenate([bags[i][1] for i in part])
@@ -130,7 +145,7 @@ def train(texts: list[list[list[bytes]]], labels: list[int], rounds: int = 3) ->
     y = np.array(labels)
     seen = np.zeros(BUCKETS, np.int64)
     for spans in texts:
-        seen[np.unique(np.concatenate([subwords(w) for s in spans for w in s]))] += 1
+        seen[np.unique(subwords([w for s in spans for w in s])[0])] += 1
     common = seen >= min(LEAST_TEXTS, max(2, len(texts) // 100))
     model.embedding[~common] = 0
     bags = [[_bag(s, common) for s in spans] for spans in texts]
@@ -175,25 +190,29 @@ def sample(documents: DataFrame, labels: DataFrame, most: int = SAMPLE) -> tuple
     return [[w.split(b" ") for w in t] for t, _ in texts], [y for _, y in texts]
 
 
-def scorer(per: np.ndarray, offset: float):
-    """Score of one text, in [0, 1]; a text without words gets the mean of class odds, clipped below one half."""
-    cache: dict[bytes, float] = {}
+class Scorer:
+    """Scores of texts, in [0, 1]; a text without words gets the odds of an empty window, below one half."""
 
-    def score(text: str | None) -> float:
-        words = words_of(text)
-        if not words:
-            return float(min(0.25, 1 / (1 + np.exp(-offset))))
-        if len(cache) > CACHED_WORDS:
-            cache.clear()
-        for w in set(words).difference(cache):
-            cache[w] = float(per[subwords(w)].mean())
-        values = np.fromiter(map(cache.__getitem__, words), np.float64, len(words))
-        starts = np.arange(0, len(words), SPAN)
-        means = np.add.reduceat(values, starts) * (SCALE / SPAN)
-        best = float(means.max())
-        return float(1 / (1 + np.exp(-np.clip(best + offset, -30, 30))))
+    def __init__(self, per: np.ndarray, offset: float) -> None:
+        self.per, self.offset, self.cache = per, offset, {}
+
+    def __call__(self, texts: list[str | None]) -> list[float]:
+        words = [words_of(t) for t in texts]
+        if len(self.cache) > CACHED_WORDS:
+            self.cache.clear()
+        new = list({w for ws in words for w in ws}.difference(self.cache))
+        bucket, owner = subwords(new)
+        if new:
+            means = np.bincount(owner, self.per[bucket], len(new)) / np.bincount(owner, minlength=len(new))
+            self.cache.update(zip(new, means.tolist(), strict=True))
+        return [self._score(ws) for ws in words]
 
-    return score
+    def _score(self, words: list[bytes]) -> float:
+        if not words:
+            return float(min(0.25, 1 / (1 + np.exp(-self.offset))))
+        values = np.fromiter(map(self.cache.__getitem__, words), np.float64, len(words))
+        means = np.add.reduceat(values, np.arange(0, len(words), SPAN)) * (SCALE / SPAN)
+        return float(1 / (1 + np.exp(-np.clip(means.max() + self.offset, -30, 30))))
 
 
 def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -210,8 +229,7 @@ def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
         per = per.astype(np.float32)
 
         def scores(column: pd.Series) -> pd.Series:
-            score = _scorer(per, offset)
-            return column.map(score).astype("float64")
+            return pd.Series(_scorer(per, offset)(column.tolist()), dtype="float64")
 
         value = F.pandas_udf(scores, "double")(F.col("text"))
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
@@ -219,13 +237,13 @@ def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-_HELD: dict[int, object] = {}
+_HELD: dict[int, Scorer] = {}
 
 
-def _scorer(per: np.ndarray, offset: float):
+def _scorer(per: np.ndarray, offset: float) -> Scorer:
     """The scorer of this worker for one model; its word cache outlives a batch."""
     key = hash((per.tobytes(), offset))
     if key not in _HELD:
         _HELD.clear()
-        _HELD[key] = scorer(per, offset)
+        _HELD[key] = Scorer(per, offset)
     return _HELD[key]
