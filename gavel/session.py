@@ -65,7 +65,16 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     removed_at_exit(df.sparkSession, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._stored_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Remove what `stored` wrote; nothing may read it any more."""
+    context = table.sparkSession.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(table._stored_at)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def removed_at_exit(spark: SparkSession, path: str) -> str:
