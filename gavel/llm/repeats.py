@@ -7,8 +7,9 @@ windows have equal anchors.  The windows of one anchor are neighbours and form a
 1. Facts: per text its digest and its anchors.  Equal whole texts are settled by digest; one of them goes on.
 2. Anchors that occur once in the corpus cannot lie in a repeated window and are dropped: no guess, no loss.
 3. Segments of the other anchors are cut from the texts, equal ones combined before the shuffle, and dealt by anchor
-   to shards.  An anchor with very many occurrences is dealt by the 92 bytes beside it as well: each of its windows
-   covers the 92 bytes to its left, or those to its right.
+   to shards.  An anchor with very many occurrences is dealt by the 80 bytes beside it as well: each of its windows
+   covers the 80 bytes to its left, or those to its right.  A key that is still hot (the edge of a frequent passage, with
+   ever other neighbours) is cut to single windows, which are dealt and counted by their whole content.
 4. A shard gets a suffix array (Larsson-Sadakane) and common prefixes (Kasai); neighbours that share 200 bytes are
    repeats.  Shards that meet in one task are merged by binary search of each other's windows.
 5. Verdicts return by segment digest, and texts lose the covered bytes.
@@ -34,7 +35,7 @@ from gavel.session import stored
 SIZE = 200
 GRAM = 40
 SPREAD = SIZE - GRAM + 1
-CONTEXT = (SIZE - GRAM) // 2 + 12
+CONTEXT = (SIZE - GRAM) // 2  # no more: a window need not cover a longer stretch on either side of its anchor
 HOT = 20_000
 SHARD_BYTES = 3 << 20
 TASK_BYTES = 6 << 20
@@ -100,8 +101,10 @@ def runs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return first, last, at[first], hashes[at[first]].view(np.int64) >> 1
 
 
-def segments(data: bytes, wanted: dict[int, bool]) -> Iterator[tuple[int, int, int]]:
-    """(dealing key, start, end) of the segments whose anchor is wanted; a hot anchor's are cut by the side of their context."""
+def segments(data: bytes, wanted: dict[int, bool], single: frozenset[int] = frozenset()) -> Iterator[tuple[int, int, int]]:
+    """(dealing key, start, end) of the segments whose anchor is wanted; a hot anchor's are cut by the side of their context.
+
+    Where that key is in `single`, every window is a segment of its own."""
     first, last, place, anchor = runs(data)
     for s0, s1, a, h in zip(first.tolist(), last.tolist(), place.tolist(), anchor.tolist(), strict=True):
         hot = wanted.get(h)
@@ -111,10 +114,16 @@ def segments(data: bytes, wanted: dict[int, bool]) -> Iterator[tuple[int, int, i
             yield h, s0, s1 + SIZE
             continue
         edge = a - CONTEXT  # windows up to here cover the context to the left, later ones that to the right
+        sides = []
         if s0 <= edge:
-            yield _key(h, 0, data[a - CONTEXT : a]), s0, min(s1, edge) + SIZE
+            sides.append((_key(h, 0, data[a - CONTEXT : a]), s0, min(s1, edge)))
         if s1 > edge:
-            yield _key(h, 1, data[a + GRAM : a + GRAM + CONTEXT]), max(s0, edge + 1), s1 + SIZE
+            sides.append((_key(h, 1, data[a + GRAM : a + GRAM + CONTEXT]), max(s0, edge + 1), s1))
+        for key, w0, w1 in sides:
+            if key in single:
+                yield from ((_key(h, 2, data[w : w + SIZE]), w, w + SIZE) for w in range(w0, w1 + 1))
+            else:
+                yield key, w0, w1 + SIZE
 
 
 def _key(anchor: int, side: int, context: bytes) -> int:
@@ -224,13 +233,13 @@ def _wanted(anchors: list[int]) -> dict[int, bool]:
 _SEGMENTS = pa.schema([("t", pa.int64()), ("name", pa.binary()), ("key", pa.int64()), ("segment", pa.binary()), ("n", pa.int64())])
 
 
-def _cutter(with_bytes: bool):
+def _cutter(with_bytes: bool, single: frozenset[int] = frozenset()):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for t, data, anchors in zip(batch.column("t").to_pylist(), byte_values(batch.column("text")), batch.column("anchors").to_pylist(), strict=True):
                 found: dict[bytes, list[int]] = {}
-                for key, a, b in segments(data, _wanted(anchors)):
+                for key, a, b in segments(data, _wanted(anchors), single):
                     found.setdefault(data[a:b], [key, 0])[1] += 1
                 rows += [(t, name_of(s), key, s if with_bytes else None, n) for s, (key, n) in found.items()]
             if rows:
@@ -239,6 +248,7 @@ def _cutter(with_bytes: bool):
     return cut
 
 
+_CUT = "t long, name binary, key long, segment binary, n long"
 _RANGE = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
 
@@ -260,10 +270,10 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in some], pa.binary()), pa.array(told, _RANGE)], names=["name", "ranges"])
 
 
-def covered(data: bytes, wanted: dict[int, bool], verdicts: dict[bytes, list]) -> list[tuple[int, int]]:
+def covered(data: bytes, wanted: dict[int, bool], verdicts: dict[bytes, list], single: frozenset[int] = frozenset()) -> list[tuple[int, int]]:
     """Maximal removed byte runs of a text."""
     mark = np.zeros(len(data) + 1, np.int32)
-    for _, s, e in segments(data, wanted):
+    for _, s, e in segments(data, wanted, single):
         for r in verdicts.get(name_of(data[s:e]), ()):
             mark[s + r["a"]] += 1
             mark[s + r["b"] - 1 + SIZE] -= 1
@@ -282,13 +292,13 @@ def without(data: bytes, spans: list[tuple[int, int]]) -> bytes:
 _DONE = pa.schema([("sha", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha", pa.binary()), ("kept", pa.string())])
 
 
-def _cleaner(with_text: bool):
+def _cleaner(with_text: bool, single: frozenset[int]):
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             columns = (batch.column(c).to_pylist() for c in ("sha", "text", "anchors", "verdicts"))
             for sha, data, anchors, verdicts in zip(*columns, strict=True):
-                spans = covered(data, _wanted(anchors), {v["name"]: v["ranges"] for v in verdicts})
+                spans = covered(data, _wanted(anchors), {v["name"]: v["ranges"] for v in verdicts}, single)
                 kept = without(data, spans)
                 rows.append((sha, len(data) - len(kept), len(spans), digest(kept), kept.decode("utf-8", "ignore") if with_text else None))
             if rows:
@@ -308,6 +318,16 @@ def _id(sha: str) -> F.Column:
     return F.xxhash64(sha)
 
 
+def _still_hot(touched: DataFrame) -> frozenset[int]:
+    """Keys of hot anchors with more than HOT different segments; each stands for megabytes of text, so they are few."""
+    hot = F.filter("anchors", lambda a: a.bitwiseAND(F.lit(1)) == 1)
+    some = touched.withColumn("anchors", hot).where(F.size("anchors") > 0)
+    if some.select("t").isEmpty():
+        return frozenset()
+    cut = some.mapInArrow(_cutter(False), _CUT).select("key", "name").distinct()
+    return frozenset(r[0] for r in cut.groupBy("key").count().where(F.col("count") > HOT).select("key").toLocalIterator())
+
+
 def changed_texts(documents: DataFrame, facts: DataFrame, text: str = "text", with_text: bool = False) -> DataFrame:
     """sha, n_removed, n_spans, kept_sha (and kept) of every distinct text that holds candidates.
 
@@ -323,15 +343,15 @@ def changed_texts(documents: DataFrame, facts: DataFrame, text: str = "text", wi
     rows = rows.withColumn("sha", F.unhex(F.sha2("text", 256))).withColumn("t", _id("sha"))
     joined = rows.join(wanted, "t").select("t", "sha", "text", "anchors")
     touched = stored(joined.mapInArrow(_once, "t long, sha binary, text binary, anchors array<long>"), "touched")
-    kind = "t long, name binary, key long, segment binary, n long"
+    single = _still_hot(touched)
     volume = touched.agg(F.sum(F.size("anchors"))).first()[0] or 0
     tasks = max(1, -(-volume * (SIZE + SPREAD // 2) // TASK_BYTES))
-    each = touched.mapInArrow(_cutter(True), kind).groupBy("name", "key", "segment").agg(F.sum("n").alias("n"))
+    each = touched.mapInArrow(_cutter(True, single), _CUT).groupBy("name", "key", "segment").agg(F.sum("n").alias("n"))
     verdicts = each.repartition(tasks, "key").mapInArrow(_judge, "name binary, ranges array<struct<a:int,b:int>>")
-    told = touched.mapInArrow(_cutter(False), kind).select("t", "name").join(verdicts, "name")
+    told = touched.mapInArrow(_cutter(False, single), _CUT).select("t", "name").join(verdicts, "name")
     told = told.groupBy("t").agg(F.collect_list(F.struct("name", "ranges")).alias("verdicts"))
     last = touched.join(told, "t").select("sha", "text", "anchors", "verdicts")
-    done = last.mapInArrow(_cleaner(with_text), "sha binary, n_removed long, n_spans long, kept_sha binary, kept string")
+    done = last.mapInArrow(_cleaner(with_text, single), "sha binary, n_removed long, n_spans long, kept_sha binary, kept string")
     return done.dropDuplicates(["sha"])
 
 

@@ -151,6 +151,46 @@ def test_repeats_in_small_shards_and_hot_anchors(documents, monkeypatch, hot, sh
     assert _bag(map(tuple, repeats.report(documents).collect())) == want
 
 
+def test_equal_windows_of_hot_anchors_have_equal_keys():
+    """Passages of 200 to 230 bytes with other neighbours, with their anchor at every offset."""
+    rng, offsets = np.random.default_rng(7), set()
+
+    def text(n):
+        return rng.integers(97, 123, n, dtype=np.uint8).tobytes()
+
+    def dealt(data, single=frozenset()):
+        hot = dict.fromkeys(repeats.runs(data)[3].tolist(), True)
+        found = list(repeats.segments(data, hot, single))
+        assert sorted(w for _, a, b in found for w in range(a, b - 199)) == list(range(len(data) - 199))
+        return {data[w : w + 200]: key for key, a, b in found for w in range(a, b - 199)}, found
+
+    for i in range(3000):
+        passage = text(200 + i % 31)
+        (first, found), (second, _) = (dealt(text(210) + passage + text(210)) for _ in range(2))
+        assert first.keys() & second.keys() >= {passage[k : k + 200] for k in range(len(passage) - 199)}
+        assert all(first[w] == second[w] for w in first.keys() & second.keys())
+        offsets.add(int(repeats.runs(passage[:200])[2][0]))
+        if i < 20:
+            cut, pieces = dealt(text(50) + passage, frozenset(k for k, _, _ in found))
+            every, _ = dealt(text(90) + passage, frozenset(k for k, _, _ in found))
+            assert all(cut[w] == every[w] for w in cut.keys() & every.keys())
+    assert offsets == set(range(161))
+
+
+@pytest.mark.parametrize("hot", [0, 3])
+def test_repeats_of_frequent_passages(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "TASK_BYTES", 20_000)
+    monkeypatch.setattr(repeats, "HOT", hot)
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passages = [word(n) for n in range(200, 231)]
+    texts = [word(rng.randint(0, 260)) + p + word(rng.randint(0, 260)) for p in passages for _ in range(5)]
+    spans = brute.repeats([t.encode() for t in texts])
+    want = [(i, len(t), sum(b - a for a, b in s), len(s), brute.sha(brute.cut(t.encode(), s))) for i, (t, s) in enumerate(zip(texts, spans, strict=True))]
+    found = repeats.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
+    assert _bag(map(tuple, found.collect())) == _bag(want)
+
+
 def test_suffix_array_and_common_prefixes():
     rng = np.random.default_rng(2)
     for data in [b"", b"a", b"mississippi", b"ab" * 300, bytes(rng.integers(97, 99, 700, dtype=np.uint8)), b"\xc3\xa9" * 50 + b"x"]:
