@@ -150,7 +150,7 @@ class Shard:
         np.add.at(valid, self.starts[:-1], 1)
         np.add.at(valid, self.starts[:-1] + sizes - SIZE + 1, -1)
         self.valid = np.cumsum(valid[:-1]) > 0
-        order = suffix_array(self.words, span=8, depth=SIZE)
+        order = suffix_array(self.words, span=8)  # whole suffixes, as equal windows may go on equally
         equal = common_prefixes(self.words, order, SIZE) >= SIZE
         equal[0] = False
         ok = self.valid[order]

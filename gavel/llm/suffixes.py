@@ -5,13 +5,13 @@ from __future__ import annotations
 import numpy as np
 
 
-def suffix_array(symbols: np.ndarray, span: int = 1, depth: int | None = None) -> np.ndarray:
+def suffix_array(symbols: np.ndarray, span: int = 1) -> np.ndarray:
     """The suffixes of a sequence in order, by Larsson-Sadakane refinement.
 
     `symbols[i]` may stand for the `span` symbols from i on (bytes packed into one number, say).  Suffixes start in
     groups of equal first entry.  Each round sorts only the groups that still hold two or more suffixes, by the
-    group of the suffix h places on, and doubles h.  With `depth` it stops once suffixes of one group agree in that many
-    symbols; such a group stays in text order.  A suffix that is the start of another comes first."""
+    group of the suffix h places on, and doubles h, until no group is left: common prefixes need the true order.  A suffix
+    that is the start of another comes first."""
     n = len(symbols)
     if n == 0:
         return np.zeros(0, np.int64)
@@ -25,7 +25,7 @@ def suffix_array(symbols: np.ndarray, span: int = 1, depth: int | None = None) -
     rank[order] = np.repeat(starts, sizes)
     slots = np.flatnonzero(np.repeat(sizes > 1, sizes))  # places whose group is not single
     h, end = span, 0 if span == 1 else n + 1
-    while len(slots) and (depth is None or h < depth):
+    while len(slots) and h < n:
         at = order[slots]
         ahead = at + h
         key = rank[at] * (n + 2) + np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, end)

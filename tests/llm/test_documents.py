@@ -6,6 +6,7 @@ import os
 import random
 import sys
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -191,6 +192,21 @@ def test_repeats_of_frequent_passages(spark, monkeypatch, hot):
     assert _bag(map(tuple, found.collect())) == _bag(want)
 
 
+def test_long_common_passages_make_no_false_repeats():
+    """Segments that share more than 256 bytes and go on in an order that is not that of the text."""
+    rng = np.random.default_rng(11)
+
+    def text(n):
+        return rng.integers(97, 99, n, dtype=np.uint8).tobytes()
+
+    for _ in range(400):
+        long = text(300)
+        parts = [text(rng.integers(1, 30)) + long + b"b" + text(29), text(rng.integers(1, 30)) + long + b"a" + text(29), text(361)]
+        times = Counter(p[w : w + 200] for p in parts for w in range(len(p) - 199))
+        want = [[w for w in range(len(p) - 199) if times[p[w : w + 200]] > 1] for p in parts]
+        assert [[w for a, b in r for w in range(a, b)] for r in repeats.repeated_ranges(parts)] == want
+
+
 def test_suffix_array_and_common_prefixes():
     rng = np.random.default_rng(2)
     for data in [b"", b"a", b"mississippi", b"ab" * 300, bytes(rng.integers(97, 99, 700, dtype=np.uint8)), b"\xc3\xa9" * 50 + b"x"]:
