@@ -9,14 +9,17 @@ positions sampled every few symbols.  All windows are searched at once, last wor
 are walked back to sampled positions; hit stretches are merged into removal spans in the documents.
 
 Scale: no shuffle at all, one pass over the documents; memory is bounded by the shard, or by one
-document that is larger.  Windows are broadcast as a query set: their number is checked, and a larger
-set is searched in blocks, one pass per block.
+document that is larger.  Windows travel with the tasks as a query set.  A set of more than BLOCK_WINDOWS is cut on
+Spark into blocks by hash, and searched with one pass over the documents per block; the finds of a text meet by its
+digest, before spans are counted.  The driver holds one block at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 
 from gavel.llm.common import ALNUM, as_bytes, byte_values, small_batches, word_hashes
 from gavel.llm.suffixes import suffix_array
+from gavel.session import stored
 
 WINDOW = 13
 SHARD_BYTES = 6 << 20
@@ -38,17 +42,21 @@ def words_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return word_hashes(data.lower(), ALNUM)
 
 
+def windows_of(text: bytes, n: int = WINDOW) -> set[bytes]:
+    """The word hashes of all windows; a text of fewer words is one window, one without words has none."""
+    words = words_of(text)[0]
+    return {words[i : i + n].tobytes() for i in range(max(1, len(words) - n + 1) if len(words) else 0)}
+
+
 class Phrases:
-    """The windows of some items as rows of symbols 1.. (0 pads at the front), with their items."""
+    """Windows of items, given as (item, window), as rows of symbols 1.. (0 pads at the front), with their items."""
 
-    def __init__(self, items: list[tuple[str, bytes]], n: int = WINDOW) -> None:
+    def __init__(self, pairs: Iterable[tuple[str, bytes]], n: int = WINDOW) -> None:
         owners: dict[bytes, set[int]] = {}
-        self.names = sorted({name for name, _ in items})
-        number = {name: i for i, name in enumerate(self.names)}
-        for name, text in items:
-            words = words_of(text)[0]
-            for i in range(max(1, len(words) - n + 1) if len(words) else 0):
-                owners.setdefault(words[i : i + n].tobytes(), set()).add(number[name])
+        number: dict[str, int] = {}
+        for name, window in pairs:
+            owners.setdefault(bytes(window), set()).add(number.setdefault(name, len(number)))
+        self.names = list(number)
         rows = [np.frombuffer(k, np.uint64) for k in owners]
         self.owners = [sorted(v) for v in owners.values()]
         self.sizes = np.array([len(r) for r in rows], np.int64)
@@ -204,28 +212,89 @@ def shards(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[
             yield batch.slice(start), texts[start:]
 
 
-def items_of(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> list[tuple[str, bytes]]:
-    """The query set; null ids and texts without words give nothing."""
+def items_of(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
+    """item, text of the query set; null ids and texts without words give nothing."""
     rows = benchmark.where(F.col(item).isNotNull() & F.col(text).isNotNull())
-    return [(r[0], bytes(r[1])) for r in rows.select(F.col(item).cast("string"), as_bytes(text)).toLocalIterator()]
+    return rows.select(F.col(item).cast("string").alias("item"), as_bytes(text).alias("text")).distinct()
+
+
+def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n = sum(len(windows_of(t)) for t in byte_values(batch.column("text")))
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+
+def _picker(block: int, blocks: int):
+    """(item, window) of one block; an item's windows, and a frequent window's items, are spread over all blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, windows = [], []
+            for name, text in zip(batch.column("item").to_pylist(), byte_values(batch.column("text")), strict=True):
+                seed = zlib.crc32(name.encode())
+                mine = [w for w in windows_of(text) if zlib.crc32(w, seed) % blocks == block]
+                names += [name] * len(mine)
+                windows += mine
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(windows, pa.binary())], names=["item", "window"])
+
+    return run
+
+
+def block_of(items: DataFrame, block: int, blocks: int) -> Phrases:
+    return Phrases(items.mapInArrow(_picker(block, blocks), "item string, window binary").toLocalIterator())
 
 
 _FOUND = "n_words long, spans array<struct<first:long,end:long>>, items array<string>"
 
 
+def _found(row: pa.Array, counts: list, spans: list, items: list) -> pa.RecordBatch:
+    kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+    told = [[{"first": a, "end": b} for a, b in s] for s in spans]
+    columns = [pa.array(counts, pa.int64()), pa.array(told, kind), pa.array(items, pa.list_(pa.string()))]
+    return pa.RecordBatch.from_arrays([row, *columns], names=["row", "n_words", "spans", "items"])
+
+
 def _finder(phrases: Phrases):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
         for part, texts in shards(batches, "text", SHARD_BYTES):
             found = find(texts, phrases)
-            spans = [[{"first": a, "end": b} for a, b in s] for _, s, _ in found]
-            names = [[phrases.names[i] for i in items] for _, _, items in found]
-            columns = [pa.array([n for n, _, _ in found], pa.int64()), pa.array(spans, kind), pa.array(names, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([part.column("row"), *columns], names=["row", "n_words", "spans", "items"])
+            names = [sorted(phrases.names[i] for i in items) for _, _, items in found]
+            yield _found(part.column("row"), [n for n, _, _ in found], [s for _, s, _ in found], names)
 
     return run
 
 
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The finds of all blocks in a text as if they had been searched at once."""
+    for batch in batches:
+        finds = [f or [] for f in batch.column("finds").to_pylist()]
+        counts = [len(words_of(t)[0]) for t in byte_values(batch.column("text"))]
+        spans = [_merged([(s["first"], s["end"]) for f in fs for s in f["spans"]]) for fs in finds]
+        yield _found(batch.column("row"), counts, spans, [sorted({i for f in fs for i in f["items"]}) for fs in finds])
+
+
+def _in_blocks(slim: DataFrame, items: DataFrame, blocks: int, kind: str) -> DataFrame:
+    """row and what was found in its text, block by block; each pass leaves only its hits, one row per distinct text."""
+    sha = F.sha2("text", 256)
+    hits = []
+    for block in range(blocks):
+        found = slim.select(sha.alias("row"), "text").mapInArrow(_finder(block_of(items, block, blocks)), f"row string, {_FOUND}")
+        hits.append(stored(found.where(F.size("items") > 0).dropDuplicates(["row"]), "block"))
+    every = reduce(DataFrame.unionByName, hits).groupBy(F.col("row").alias("sha")).agg(F.collect_list(F.struct("spans", "items")).alias("finds"))
+    rows = slim.withColumn("sha", sha).join(every, "sha", "left").select("row", "text", "finds")
+    return rows.mapInArrow(_united, f"row {kind}, {_FOUND}")
+
+
 def judged(documents: DataFrame, benchmark: DataFrame, carry: tuple[str, ...], text: str = "text", keep_text: bool = False) -> DataFrame:
     """The columns in `carry` with n_words, spans (word places, end exclusive), items, n_hit and contaminated.
 
@@ -233,13 +302,15 @@ def judged(documents: DataFrame, benchmark: DataFrame, carry: tuple[str, ...], t
     words is one window, an item without words none; items that share an id count once."""
     spark = documents.sparkSession
     small_batches(spark)
-    phrases = Phrases(items_of(benchmark))
-    if len(phrases.sizes) > BLOCK_WINDOWS:
-        raise ValueError("split the benchmark: its windows go to every task")
+    items = stored(items_of(benchmark), "items")
+    blocks = -(-(items.mapInArrow(_counter, "n long").agg(F.sum("n")).first()[0] or 0) // BLOCK_WINDOWS)
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)]) if carry else F.struct(F.lit(0).alias("c0"))
     slim = documents.select(row.alias("row"), as_bytes(text).alias("text"))
     kind = slim.schema["row"].dataType.simpleString()
-    found = slim.mapInArrow(_finder(phrases), f"row {kind}, {_FOUND}")
+    if blocks > 1:
+        found = _in_blocks(slim, items, blocks, kind)
+    else:
+        found = slim.mapInArrow(_finder(block_of(items, 0, 1)), f"row {kind}, {_FOUND}")
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["first"])
     found = found.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(carry)], "n_words", "spans", "items", hit.alias("n_hit"))
     return found.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))

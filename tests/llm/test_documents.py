@@ -238,6 +238,22 @@ def test_decontamination(documents, nothing, benchmark):
     assert _bag(r["doc_id"] for r in left.collect()) == _bag(w[0] for w in want if not w[-1])
 
 
+def test_decontamination_in_blocks(documents, nothing, benchmark, monkeypatch):
+    """More windows than go into one block, among them copies, a window of two items, and spans over several blocks."""
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 7)
+    more = [*ITEMS, (1, ITEM), (6, ITEM)]
+    twice = benchmark.union(benchmark.where("item_id = 1")).union(benchmark.where("item_id = 1").selectExpr("6L", "text"))
+    want = []
+    for r in ROWS:
+        n, hit, items = brute.hits(r["text"], [(str(i), t) for i, t in more])
+        want.append((r["doc_id"], n, hit, len(items), brute.sha(",".join(items).encode()), hit > 0 and 20 * hit >= n))
+    assert _bag(map(tuple, decontaminate.report(documents, twice).collect())) == _bag(want)
+    assert decontaminate.report(nothing, twice).count() == 0
+    left = decontaminate.clean(documents, twice)
+    assert left.columns == documents.columns
+    assert _bag(r["doc_id"] for r in left.collect()) == _bag(w[0] for w in want if not w[-1])
+
+
 def test_fm_index_counts_and_places():
     rng = np.random.default_rng(4)
     text = rng.integers(0, 5, 900)
