@@ -10,6 +10,7 @@ span.  Work is row-local (no shuffle), whole texts, memory bounded by one text.
 from __future__ import annotations
 
 from functools import lru_cache
+from typing import AnyStr
 
 import pandas as pd
 import regex
@@ -56,14 +57,14 @@ def pieces(notice: str, edits: int) -> list[tuple[int, str]]:
 
 
 @lru_cache(maxsize=None)
-def _prepared() -> list[tuple[str, str, int, list[tuple[int, bytes]], regex.Pattern]]:
+def _prepared() -> list[tuple[str, str, int, list[tuple[int, str]], regex.Pattern]]:
     return [
-        (n, label, k, [(at, p.encode()) for at, p in pieces(n, k)], regex.compile(f"(?e)(?:{regex.escape(n)}){{e<={k}}}"))
+        (n, label, k, pieces(n, k), regex.compile(f"(?e)(?:{regex.escape(n)}){{e<={k}}}"))
         for n, (label, k) in NOTICES.items()
     ]
 
 
-def places(joined: bytes, phrase: bytes) -> list[int]:
+def places(joined: AnyStr, phrase: AnyStr) -> list[int]:
     """Starts of `phrase` in `joined`, overlaps included."""
     found, at = [], joined.find(phrase)
     while at >= 0:
@@ -72,8 +73,8 @@ def places(joined: bytes, phrase: bytes) -> list[int]:
     return found
 
 
-def candidates(joined: bytes, notice: str, edits: int, seeds: list[tuple[int, bytes]]) -> list[tuple[int, int]]:
-    """Merged byte ranges that can hold the notice: around each seed, as far as the edits can move it."""
+def candidates(joined: str, notice: str, edits: int, seeds: list[tuple[int, str]]) -> list[tuple[int, int]]:
+    """Merged ranges of characters that can hold the notice: around each seed, as far as the edits can move it."""
     ranges = sorted(
         (max(0, hit - at - edits), hit - at + len(notice) + edits) for at, seed in seeds for hit in places(joined, seed)
     )
@@ -88,17 +89,14 @@ def candidates(joined: bytes, notice: str, edits: int, seeds: list[tuple[int, by
 
 def fuzzy_spans(joined: bytes) -> list[tuple[str, int, int, int, float]]:
     """(label, first word, last word, edits, similarity) of every verified notice, in text order, best first on a tie."""
-    spans = []
+    spans, text = [], joined.decode("utf-8", "surrogatepass")  # edits are counted in characters
     for notice, label, edits, seeds, pattern in _prepared():
-        for a, b in candidates(joined, notice, edits, seeds):
-            window = joined[a:b].decode("utf-8", "replace")
-            for m in pattern.finditer(window):
+        for a, b in candidates(text, notice, edits, seeds):
+            for m in pattern.finditer(text[a:b]):
                 wrong = sum(m.fuzzy_counts)
-                start = a + len(window[: m.start()].encode())
-                end = start + len(m.group().encode())
-                inner = joined[start:end].strip(b" ")
-                first = joined.count(b" ", 0, start + (joined[start : start + 1] == b" ")) - 1
-                spans.append((label, max(0, first), max(0, first) + inner.count(b" "), wrong, 1 - wrong / len(notice)))
+                start = a + m.start()
+                first = text.count(" ", 0, start + (text[start : start + 1] == " ")) - 1
+                spans.append((label, max(0, first), max(0, first) + m.group().strip(" ").count(" "), wrong, 1 - wrong / len(notice)))
     return sorted(spans, key=lambda s: (s[1], s[3], s[0]))
 
 

@@ -350,6 +350,22 @@ def test_license_seeds_lose_no_match():
                 assert label in {s[0] for s in licenses.fuzzy_spans(joined)}
 
 
+@pytest.mark.parametrize("odd", ["x", "é", "“", "😀"])
+def test_license_edits_of_wide_characters(odd):
+    """All edits on one side of the one piece that survives, which is the last or the first."""
+    for notice, (label, edits) in licenses.NOTICES.items():
+        cut = [a for a, _ in licenses.pieces(notice, edits)]
+        starts = [a + 1 for a in cut[:-1]], [a + 1 for a in cut[1:]]
+        for places in starts:
+            text = notice
+            for at in reversed(places):
+                text = text[:at] + odd + text[at:]
+            found = licenses.fuzzy_spans(f" foo {odd * 3} {text} bar ".encode())
+            assert label in {s[0] for s in found if s[1:4] == (2, 2 + text.count(" "), edits)}, text
+    found = licenses.scan("see the GNU “Lesser” General Public License")
+    assert found[5] == "lgpl" and found[7] == [("lgpl", 2, 6, 2)]
+
+
 def test_toxicity(spark, documents, nothing):
     rng = random.Random(8)
     plain = ["".join(rng.choice("abcde") for _ in range(5)) for _ in range(300)]
