@@ -4,7 +4,8 @@ A page is cut into tags and text by one regular expression; open elements form a
 can hardly be content (menus, headers, footers, sidebars, forms, scripts, comments, adverts by their
 tag, role, class or id) are left out.  Each paragraph earns points for its length and its commas and
 passes them to its ancestors, the nearer the more; an element's points are discounted by the share of
-its text that stands in links.  The best container is kept, and with it siblings that score well.
+its text that stands in links.  A long section may outscore the article it belongs to, so the whole around the best
+container is kept: its article, or the element that holds it and its sections; and with it siblings that score well.
 
 Cases: null or empty html gives an empty text; unclosed and stray tags are closed as browsers do;
 a page whose tree has no scored element gives the text of its body without the left-out blocks.
@@ -223,12 +224,38 @@ def blocks(node: Node) -> list[str]:
     return out
 
 
+def _named(node: Node) -> bool:
+    return node.base >= START.get(node.tag, 0) + 10
+
+
+def whole(best: Node) -> Node:
+    """The element whose content the best container belongs to.
+
+    That is its article, at once and undivided; else its main element, or the outermost one below the body that is
+    named as content; else its parent, unless it is named itself.  In these, blocks beside it that are mostly links go."""
+    above = [best]
+    while above[-1].parent is not None:
+        above.append(above[-1].parent)
+    marked = next((x for x in above if x.base >= 20), None)
+    if marked is best or marked is not None and marked.tag == "article":
+        return marked
+    named = [x for x in above if _named(x) and x.tag not in ("body", "html")]
+    top = marked or (named[-1] if named else best.parent or best)
+    for x in above:
+        if x is top:
+            return top
+        for c in x.parent.children:
+            if isinstance(c, Node) and c is not x and c.tag not in INLINE and 2 * c.linked >= c.chars > 0:
+                c.dropped = True
+    return top
+
+
 def kept(root: Node) -> list[Node]:
-    """The best container and those of its siblings that score well, in page order."""
+    """The whole around the best container and those of its siblings that score well, in page order."""
     ranked = score(root)
     if not ranked:
         return [root]
-    best = ranked[0]
+    best = whole(ranked[0])
     if best.parent is None:
         return [best]
     scored = {id(n) for n in ranked}

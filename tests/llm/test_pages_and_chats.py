@@ -48,6 +48,40 @@ def test_main_text(name):
     assert isinstance(got, str) and (want is None or got == want)
 
 
+LONG = "".join(f"<p>{'x' * 480}{', y' * 8} {i}</p>" for i in range(10))
+REST = (
+    "<section><h2>Next</h2><p>Short one.</p><p>Short two.</p></section><h3>Third</h3><ul><li>item</ul><ol><li>first</ol>"
+    "<pre>code</pre><blockquote>said</blockquote><table><tr><td>cell</table><figure><figcaption>figure</figcaption></figure><div>loose</div>"
+)
+REST_TEXT = "Next Short one. Short two. Third item first code said cell figure loose"
+NAV = "<nav><p>Menu, of, the, page</p></nav>"
+LINKS = "<div><ul><li><a href=1>other page</a><li><a href=2>one more</a></ul></div>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body>{NAV}<article><section>{LONG}</section>{REST}</article>{LINKS}</body>",
+        f"<body>{NAV}<article><div><div>{LONG}</div></div>{REST}</article>{LINKS}</body>",
+        f"<body>{NAV}<main><section>{LONG}</section>{REST}{LINKS}</main></body>",
+        f"<body>{NAV}<div role=main><section>{LONG}</section>{REST}{LINKS}</div></body>",
+        f"<body>{NAV}<div class=content><div><section>{LONG}</section></div>{REST}</div>{LINKS}</body>",
+        f"<body>{NAV}<div><section>{LONG}</section>{REST}{LINKS}</div></body>",
+        f"<body>{NAV}<section>{LONG}</section>{REST}{LINKS}</body>",
+    ],
+)
+def test_long_sections_do_not_displace_their_article(page):
+    got = html.main_text(page)
+    assert got.startswith("x" * 480) and got.count("x" * 480) == 10
+    assert got.endswith(", y 9 " + REST_TEXT)
+
+
+def test_sections_of_short_articles():
+    assert html.main_text(f"<article><section><p>One, two.</p></section>{REST}<p><a href=1>link</a></p></article>") == f"One, two. {REST_TEXT} link"
+    page = f"<article><section>{LONG}</section>{REST}<p><a href=1>link</a></p></article>"
+    assert html.main_text(page).endswith(f"{REST_TEXT} link")
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 5000 + "<p>" + "word, " * 40 + "</p>" + "</div>" * 5000
     assert html.main_text(deep) == ("word, " * 40).strip()
