@@ -15,6 +15,8 @@ from .tables import table
 
 PREFIX = {0: "CRA-", 1: "REZ-", 2: "PS"}
 TYPE = {0: "cra", 1: "evening", 2: "regular"}
+#: Meetings, or video mappings, of one file at most: the files grow in number, not in size.
+BUNDLE = 64
 
 
 def _pick(key: str, values: dict):
@@ -28,6 +30,11 @@ def _day(shift):
     return F.date_format(F.date_add(F.lit("1998-01-01").cast("date"), shift.cast("int")), "yyyy-MM-dd")
 
 
+def _file(key: str, kinds: int):
+    """The number of the file of a key: at most BUNDLE keys share one, and its rest by `kinds` is that of its keys."""
+    return F.col(key) % kinds + kinds * F.floor(F.col(key) / (kinds * BUNDLE)).cast("bigint")
+
+
 def _folder(spark, d) -> str:
     """Meeting, transcript and video files of the tables."""
     out = _scratch(spark)
@@ -43,13 +50,13 @@ def _folder(spark, d) -> str:
     day = _day(F.col("o_custkey") % 300)
     m = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list(item)).alias("agendaItems"))
     version = lambda v: F.to_json(F.struct(F.col("o_custkey").cast("string").alias("meetingId"), day.alias("formattedDate"), F.lit(v).alias("agendaType"), F.when(F.lit(v) == "FINAL", F.col("agendaItems")).alias("agendaItems")))
-    rows = m.select((F.col("o_custkey") % 16).alias("part"), version("FINAL").alias("j"), version("DRAFT").alias("draft"))
+    rows = m.select(_file("o_custkey", 16).alias("part"), version("FINAL").alias("j"), version("DRAFT").alias("draft"))
     bundle = lambda column: F.concat(F.lit("["), F.array_join(F.collect_list(column), ","), F.lit("]"))
     named = lambda tail: F.concat(F.lit("meeting_"), "part", F.lit(tail))
     final = rows.groupBy("part").agg(bundle("j").alias("content")).select(named("_2025-02-01.json").alias("name"), "content")
     drafts = rows.groupBy("part").agg(bundle("draft").alias("content")).select(named("_2025-01-01.json").alias("name"), "content")
     old = drafts.select(F.replace("name", F.lit("_2025-01-01"), F.lit("_2025-03-01_old")).alias("name"), "content")
-    broken = final.select(F.replace("name", F.lit("_2025-02-01"), F.lit("_2025-04-01")).alias("name"), F.lit("{ broken").alias("content"))
+    broken = rows.select((F.col("part") % 16).alias("part")).distinct().select(named("_2025-04-01.json").alias("name"), F.lit("{ broken").alias("content"))
 
     lines = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("s"), "l_linenumber").agg(F.min("l_partkey").alias("p"))
     segment = F.struct(F.col("l_linenumber").alias("n"), F.concat(F.lit("9:0"), "l_linenumber", F.lit(":00AM")).alias("timestamp"), F.lit("CHAIR").alias("speaker"), F.concat(F.lit("PART "), "p").alias("text"))
@@ -60,7 +67,7 @@ def _folder(spark, d) -> str:
     test = t.where("s % 50 = 0").select(F.concat(F.lit("transcript_--transcript-id_"), "s", F.lit(".json")).alias("name"), body("segments").alias("content"))
     chapter = F.struct(F.lit("Start").alias("title"), F.lit("0:10").alias("timestamp"), (F.col("s") % 60).cast("int").alias("seconds"))
     video = F.struct(F.concat(F.lit("v"), "s").alias("video_id"), F.lit(1).alias("part"), F.lit("PT1H2S").alias("duration"), (F.col("s") % 10 + 0.5).alias("offset_seconds"), F.array(chapter).alias("chapters"))
-    maps = t.where("s % 2 = 0").select(F.to_json(F.struct(F.col("s").alias("meeting_id"), F.col("day").alias("meeting_date"), F.array(video).alias("videos"))).alias("j"), (F.col("s") % 4).alias("part"))
+    maps = t.where("s % 2 = 0").select(F.to_json(F.struct(F.col("s").alias("meeting_id"), F.col("day").alias("meeting_date"), F.array(video).alias("videos"))).alias("j"), _file("s", 4).alias("part"))
     maps = maps.groupBy("part").agg(bundle("j").alias("content")).select(F.concat(F.lit("video_mapping_"), "part", F.lit(".json")).alias("name"), "content")
     every = [final, drafts, old, broken, processed, raw, test, maps]
     contents = every[0]
