@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import chat, decontaminate, html, jaccard, licenses, packing, quality, repeats, toxicity, warc
+from gavel.llm import audit, chat, decontaminate, html, jaccard, licenses, packing, quality, repeats, toxicity, warc
 from gavel.llm.common import read
 
 
@@ -72,7 +72,8 @@ def op3_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
 OP3_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                    '[^ 	-]+') AS w
+                                    '[^ 	-
+]+') AS w
   FROM documents),
 s AS (
   SELECT doc_id, list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i:i + 3], ' ')))) AS g
@@ -216,6 +217,46 @@ def op10_bounded_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.packed(read(spark, d, "documents"), tokenizer_path())
 
 
+def op13_filter_audit(spark: SparkSession, d: str) -> DataFrame:
+    return audit.audited(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
+OP13_SQL = r"""
+WITH l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+b AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+         + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT
+         + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS mask
+  FROM w LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM b GROUP BY part, mask),
+f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(f, bit)),
+o AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM f a, f b, f c, f d, f e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+s AS (
+  SELECT filter_order, step, (SELECT bit FROM f WHERE f = filter_order[step]) AS bit
+  FROM o, (SELECT unnest(range(1, 6)) AS step)),
+p AS (SELECT *, coalesce(sum(bit) OVER (PARTITION BY filter_order ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS before FROM s),
+x AS (
+  SELECT part, filter_order, step, bit,
+         coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0) AS kept,
+         coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS removed,
+         coalesce(sum(n) FILTER (mask & before > 0 AND mask & bit > 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS toxic_lost
+  FROM m, p GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM x
+"""
+
+
 QUERIES = {
     "op3_ngram_jaccard": (op3_ngram_jaccard, OP3_SQL),
     "op5_suffix_dedup": (op5_suffix_dedup, OP5_SQL),
@@ -227,4 +268,5 @@ QUERIES = {
     "op4_license_scan": (op4_license_scan, None),
     "op8_prefix_targets": (op8_prefix_targets, OP8_SQL),
     "op1_host_quality": (op1_host_quality, OP1_SQL),
+    "op13_filter_audit": (op13_filter_audit, OP13_SQL),
 }
