@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import audit, chat, decontaminate, html, jaccard, licenses, packing, quality, repeats, toxicity, warc
+from gavel.llm import audit, chat, decontaminate, html, jaccard, licenses, packing, patterns, quality, repeats, toxicity, warc
 from gavel.llm.common import read
 
 
@@ -217,6 +217,10 @@ def op10_bounded_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.packed(read(spark, d, "documents"), tokenizer_path())
 
 
+def op11_pattern_packing(spark: SparkSession, d: str) -> DataFrame:
+    return patterns.packed(read(spark, d, "documents"), tokenizer_path())
+
+
 def op13_filter_audit(spark: SparkSession, d: str) -> DataFrame:
     return audit.audited(read(spark, d, "documents"), read(spark, d, "labels"))
 
@@ -268,5 +272,6 @@ QUERIES = {
     "op4_license_scan": (op4_license_scan, None),
     "op8_prefix_targets": (op8_prefix_targets, OP8_SQL),
     "op1_host_quality": (op1_host_quality, OP1_SQL),
+    "op11_pattern_packing": (op11_pattern_packing, None),
     "op13_filter_audit": (op13_filter_audit, OP13_SQL),
 }
