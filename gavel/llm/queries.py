@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavel.llm import audit, chat, decontaminate, html, jaccard, licenses, packing, patterns, quality, repeats, toxicity, warc
+from gavel.llm import audit, chat, decontaminate, html, jaccard, licenses, packing, patterns, quality, repeats, toxicity, trie, warc
 from gavel.llm.common import read
 
 
@@ -221,6 +221,44 @@ def op11_pattern_packing(spark: SparkSession, d: str) -> DataFrame:
     return patterns.packed(read(spark, d, "documents"), tokenizer_path())
 
 
+def op12_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    return trie.conversation_trie(read(spark, d, "conversations"))
+
+
+OP12_SQL = r"""
+WITH t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, x) - 1 AS pos, x, chars
+  FROM (SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS x,
+               length(coalesce(text, '')) AS chars FROM conversations WHERE conv_id IS NOT NULL)),
+s AS (
+  SELECT c, n, xor(list_reduce(list_concat([4294967295], list_transform(string_split(c::VARCHAR, ''), lambda q: ascii(q)::BIGINT)),
+             lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]),
+               lambda y, i: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END)), 4294967295) % 6 AS h
+  FROM (SELECT c, count(*) AS n FROM t GROUP BY c)),
+k AS (SELECT s.*, least(s.h, coalesce(f.n, 0)) AS taken FROM s LEFT JOIN s f ON f.c = s.c - s.c % 100),
+r AS (
+  SELECT k.c, t.pos, t.x, t.chars FROM k JOIN t ON t.c = k.c - k.c % 100 WHERE t.pos < k.h
+  UNION ALL SELECT k.c, t.pos - k.h + k.taken, t.x, t.chars FROM k JOIN t ON t.c = k.c WHERE t.pos >= k.h),
+l AS (SELECT k.c, coalesce(w, []) AS w FROM k LEFT JOIN (SELECT c, list(x ORDER BY pos) AS w FROM r GROUP BY c) q ON q.c = k.c),
+m AS (SELECT c, d, len(w) AS size, sha256(array_to_string(w[:d], ',')) AS name FROM (SELECT c, w, unnest(range(0, len(w) + 1)) AS d FROM l)),
+v AS (
+  SELECT d, name, min(c) AS c, count(*) AS n, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (size = d), '')) AS ends
+  FROM m GROUP BY d, name),
+p AS (SELECT m.c AS member, m.d, v.c AS node FROM m JOIN v ON v.d = m.d AND v.name = m.name),
+e AS (
+  SELECT v.c, v.d, v.n, v.ends, p.node AS parent, (v.n - 1) * coalesce(r.chars, 0) AS saved
+  FROM v LEFT JOIN p ON p.member = v.c AND p.d = v.d - 1 LEFT JOIN r ON r.c = v.c AND r.pos = v.d - 1),
+b AS (SELECT parent AS c, d - 1 AS d, count(*) AS n_children FROM e WHERE d > 0 GROUP BY 1, 2),
+g AS (SELECT e.*, coalesce(b.n_children, 0) AS n_children FROM e LEFT JOIN b ON b.c = e.c AND b.d = e.d),
+u AS (
+  SELECT p.node AS c, p.d, sum((g.n_children = 0)::INT) AS n_leaves, sum(g.saved) AS saved_tokens
+  FROM g JOIN p ON p.member = g.c AND p.d <= g.d GROUP BY 1, 2)
+SELECT g.c AS conv_id, g.d AS depth, g.parent AS parent_conv_id, g.n AS n_convs, g.n_children, u.n_leaves::BIGINT AS n_leaves,
+       u.saved_tokens::BIGINT AS saved_tokens, g.ends AS ends_sha256
+FROM g JOIN u ON u.c = g.c AND u.d = g.d
+"""
+
+
 def op13_filter_audit(spark: SparkSession, d: str) -> DataFrame:
     return audit.audited(read(spark, d, "documents"), read(spark, d, "labels"))
 
@@ -273,5 +311,6 @@ QUERIES = {
     "op8_prefix_targets": (op8_prefix_targets, OP8_SQL),
     "op1_host_quality": (op1_host_quality, OP1_SQL),
     "op11_pattern_packing": (op11_pattern_packing, None),
+    "op12_prefix_trie": (op12_prefix_trie, OP12_SQL),
     "op13_filter_audit": (op13_filter_audit, OP13_SQL),
 }

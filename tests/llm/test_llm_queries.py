@@ -11,8 +11,8 @@ FOLDER = "/root/testdata/sf0.001"
 NAMES = sorted(n for n in entry.queries() if n.startswith("op") and n.split("_")[0][2:].isdigit())
 
 
-def test_all_ten_are_registered():
-    assert {int(n.split("_")[0][2:]) for n in NAMES} == set(range(1, 11)) and "pipeline" in entry.queries()
+def test_all_are_registered():
+    assert {int(n.split("_")[0][2:]) for n in NAMES} == set(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", NAMES)
