@@ -261,7 +261,7 @@ def pieces(
     keep_ids: bool = False,
 ) -> DataFrame:
     """Tokenised documents, cut only where they are longer than a window, numbered by task and length (`PIECES`)."""
-    small_batches(documents.sparkSession, rows=4000)
+    small_batches(documents.sparkSession, size=4 << 20)
     slim = documents.select(F.col(doc).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
     return slim.mapInArrow(_chopper(tokenizer, end, window, keep_ids), PIECES)
 

@@ -19,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Parts that are remembered before the memory starts afresh.
-CACHED_PARTS = 1_000_000
+#: Parts that are remembered; beyond these, the half that most batches have used is kept.
+CACHED_PARTS = 500_000
 #: New words that are tokenised as one text, and the ending of their last tokens.
 LINE = 500
 WORD_END = "</w>"
@@ -42,19 +42,27 @@ class Tokens:
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self._forget()
-
-    def _forget(self) -> None:
         self.known: dict[str, int] = {}  # part -> its number
         self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
-        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.starts, self.sizes, self.seen = (np.zeros(1 << 16, np.int32) for _ in range(3))
+
+    def _forget(self) -> None:
+        """Keep the half of the parts that were in most batches."""
+        n = len(self.known)
+        keep = np.sort(np.argsort(-self.seen[:n], kind="stable")[: self.most // 2])
+        parts = np.array(list(self.known), object)[keep].tolist()
+        flat, sizes, seen = self._gathered(keep), self.sizes[keep], self.seen[keep]
+        self.known, self.used = {}, 0
+        self._remember(parts, flat, sizes)
+        self.seen[: len(keep)] = seen
+        self.seen[len(keep) :] = 0
 
     def _remember(self, parts: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
         at, n = len(self.known), len(parts)
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while at + n > len(self.starts):
-            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
+            self.starts, self.sizes, self.seen = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes, self.seen))
         self.ids[self.used : self.used + len(flat)] = flat
         self.starts[at : at + n] = self.used + np.cumsum(sizes) - sizes
         self.sizes[at : at + n] = sizes
@@ -93,7 +101,7 @@ class Tokens:
     def _gathered(self, numbers: np.ndarray) -> np.ndarray:
         """The ids of parts, given by number, in a row."""
         sizes = self.sizes[numbers]
-        ends = np.cumsum(sizes)
+        ends = np.cumsum(sizes, dtype=np.int64)
         return self.ids[np.repeat(self.starts[numbers] - ends + sizes, sizes) + np.arange(int(sizes.sum()))]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -113,8 +121,10 @@ class Tokens:
             self._learn([words[k] for k in missing])
             for k in missing:
                 numbers[k] = self.known[words[k]]
-        codes = np.array(numbers, np.int64)[parts.indices.to_numpy(zero_copy_only=False)]
-        ends = np.concatenate([[0], np.cumsum(self.sizes[codes])])
+        numbers = np.array(numbers, np.int32)
+        self.seen[numbers] += 1
+        codes = numbers[parts.indices.to_numpy(zero_copy_only=False)]
+        ends = np.concatenate([[0], np.cumsum(self.sizes[codes], dtype=np.int64)])
         flat = self._gathered(codes)
         cuts = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]  # ids before each text
         n = len(cuts) - 1
