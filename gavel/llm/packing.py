@@ -9,19 +9,11 @@ is not full at most.
 
 Scale: no shuffle of texts or tokens except for leftovers (OPEN windows per partition).  The placing
 pass is written once to the shared folder, so leftovers and emitted pieces come from one run of it.
-
-Tokens: blanks never survive tokenisation, so a text's ids are those of its blank-separated parts in a
-row; a bounded cache of parts saves most of the tokeniser's work and gives equal ids.  The tokeniser
-lower-cases and takes a letter and a final comma or stop apart, so parts are looked up in lower case
-and without such an ending; parts with the brackets of special tokens are left as they are.
 """
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
-from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -30,49 +22,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gavel.llm.common import as_bytes, byte_values, small_batches
+from gavel.llm.common import small_batches
+from gavel.llm.tokens import shared_tokens
 from gavel.session import stored
 
 WINDOW = 4096
 OPEN = 64
 END_ID = 2
-CACHED_PARTS = 1_000_000
 #: Leftover windows that one task pours together.
 GROUP_WINDOWS = 1024
 
-_ENDING = re.compile(rb"(?<=[a-z])([.,])(?=[\t-\r ]|\Z)")
-
 PIECES = "doc long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-class Tokens:
-    """Little-endian 32-bit ids of texts, by the tokeniser in `path`."""
-
-    def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.cache = Tokenizer.from_file(path), {}
-
-    @staticmethod
-    def parts(text: bytes) -> list[bytes]:
-        if b"<|" in text:
-            return text.split()
-        return _ENDING.sub(rb" \1", text.lower()).split()
-
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        parts = [self.parts(t) for t in texts]
-        if len(self.cache) > CACHED_PARTS:
-            self.cache.clear()
-        new = list({p for ps in parts for p in ps}.difference(self.cache))
-        strings = [p.decode("utf-8", "replace") for p in new]
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(strings, add_special_tokens=False), strict=True):
-            self.cache[p] = array("I", e.ids).tobytes()
-        look = self.cache.__getitem__
-        for ps in parts:
-            yield b"".join(map(look, ps)) + END_ID.to_bytes(4, "little")
-
-
 class Windows:
     """The open windows of one partition."""
 
@@ -130,13 +92,15 @@ _ARROW = pa.schema(
 
 def _packer(path: str, window: int, most: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, windows = Tokens(path), Windows(TaskContext.get().partitionId() << 32, window, most)
+        tokens, windows = shared_tokens(path, END_ID), Windows(TaskContext.get().partitionId() << 32, window, most)
         for batch in batches:
             rows, docs = [], batch.column(0).to_pylist()
-            for doc, ids in zip(docs, tokens.encode(list(byte_values(batch.column(1)))), strict=True):
-                total = len(ids) // 4
-                for start in range(0, total, window):
-                    rows += windows.place(doc, start, ids[4 * start : 4 * (start + window)], total)
+            ids, begins = tokens.encode(batch.column(1))
+            raw, begins = ids.astype("<u4", copy=False).tobytes(), begins.tolist()
+            for doc, at, end in zip(docs, begins, begins[1:], strict=False):
+                for start in range(at, end, window):
+                    piece = raw[4 * start : 4 * min(start + window, end)]
+                    rows += windows.place(doc, start - at, piece, end - at)
             if rows:
                 yield _batch(rows, _ARROW)
         if rest := windows.leftovers():
@@ -173,8 +137,8 @@ def packed(documents: DataFrame, tokenizer: str, doc: str = "doc_id", text: str
     Null and empty texts are the end id alone; repeated rows and null ids are packed like any others; extra
     columns are not read; an empty table gives no pieces.  Sequence ids are unique, not dense."""
     spark = documents.sparkSession
-    small_batches(spark)
-    slim = documents.select(F.col(doc).cast("long").alias("doc"), as_bytes(text).alias("text"))
+    small_batches(spark, size=4 << 20)
+    slim = documents.select(F.col(doc).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
     placed = stored(slim.mapInArrow(_packer(tokenizer, window, most), PIECES), "packed")
     rest = placed.where("sequence_id IS NULL")
     tokens = rest.agg(F.sum("length")).first()[0] or 0
