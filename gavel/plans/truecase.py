@@ -3,9 +3,8 @@
 A dictionary row is (phrase, proper, kind) with kind one of acronym, skip, lower,
 entity, surname, suffix, and may carry a rank: of rows with equal phrase and kind the
 lowest rank wins, then the first casing in order.  Which entries a text can use depends
-only on the words of that text, so the dictionary is never shipped whole: the phrases of
-each text are joined to it, and the casing step sees the text next to its own few
-entries.  There is one road for dictionaries of every size.
+only on the words of that text: its places are followed through a trie of the dictionary, and the
+casing step sees the text next to its own few entries.
 """
 
 from __future__ import annotations
@@ -17,8 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.base import let
+from ..session import stored
 
-MAX_WORDS = 6
+#: Prefixes of dictionary phrases up to this number are broadcast; more are joined by a shuffle.
+BROADCAST_PHRASES = 500_000
 
 # Nouns after which "it" is the department, words before "us" the country.
 IT_DEPARTMENT_NEXT = (
@@ -120,29 +121,67 @@ def _grouped(rows) -> dict[str, dict[str, str]]:
     return out
 
 
-def phrases_of(text: str, max_words: int):
-    """Distinct lower-case phrases of a text: every run of up to `max_words` words with what stands between them,
-    and every blank-separated part without its punctuation."""
-
-    def of(low):
-        pieces = F.filter(F.split(low, r"\b"), lambda p: p != "")  # words and what stands between them, in turn
-        word = lambda p: p.rlike(r"^\w")
-
-        def runs(pieces, n):
-            places = F.sequence(F.lit(1), F.size(pieces) - (2 * n - 2))
-            starts = F.filter(places, lambda i: word(F.element_at(pieces, i.cast("int"))))
-            joined = F.transform(starts, lambda i: F.array_join(F.slice(pieces, i, 2 * n - 1), ""))
-            return F.when(F.size(pieces) >= 2 * n - 1, joined).otherwise(F.array().cast("array<string>"))
-
-        bare = F.transform(F.split(low, r"\s+"), lambda w: F.regexp_replace(w, r"[^\w-]", ""))
-        every = let(pieces, lambda x: F.concat(*[runs(x, n) for n in range(1, max_words + 1)]))
-        return F.array_distinct(F.concat(every, bare))
-
-    return let(F.lower(F.col(text)), of)
-
-
-def _with_join(texts: DataFrame, key: str, text: str, out: str, dictionary: DataFrame, max_words: int, keep: bool, predictions: DataFrame | None) -> DataFrame:
-    phrases = texts.select(key, F.explode(phrases_of(text, max_words)).alias("phrase"))
+def _pieces(low):
+    """Words of a lower-case text and what stands between them, in turn."""
+    return F.filter(F.split(low, r"\b"), lambda p: p != "")
+
+
+def phrase_trie(dictionary: DataFrame, phrase: str = "phrase") -> DataFrame:
+    """(prefix, words, terminal): every run of whole words that a phrase begins with.
+
+    An edge leads from a prefix to the one that has the next word, and what stands before it, more."""
+    pieces = dictionary.select(_pieces(F.lower(phrase)).alias("p")).where(F.get("p", F.lit(0)).rlike(r"^\w"))
+    # what follows the last word is not reached by the words of a text
+    counts = F.sequence(F.lit(1), F.floor((F.size("p") + 1) / 2).cast("int"))
+    runs = pieces.select(F.size("p").alias("n"), "p", F.explode(counts).alias("words"))
+    joined = runs.select(F.array_join(F.slice("p", F.lit(1), 2 * F.col("words") - 1), "").alias("prefix"), "words", (F.col("n") == 2 * F.col("words") - 1).alias("terminal"))
+    return joined.groupBy("prefix", "words").agg(F.max("terminal").alias("terminal"))
+
+
+def phrases_in(texts: DataFrame, key: str, text: str, dictionary: DataFrame, small: int = BROADCAST_PHRASES) -> DataFrame:
+    """(key, phrase): the dictionary phrases that stand in each text, found word by word.
+
+    A place in a text is followed only while the words from there are a prefix of some phrase, so rows are in
+    proportion to first words that the dictionary has, then to pairs that it has, and so on.  While the dictionary has at most
+    `small` prefixes, they travel to the texts, and no place is shuffled."""
+    trie = stored(phrase_trie(dictionary), "trie")
+    size, longest = trie.agg(F.count("*"), F.max("words")).first()
+    near = F.broadcast if size <= small else (lambda df: df)
+    level = lambda n: near(trie.where(F.col("words") == n).select("prefix", "terminal"))
+
+    def places(p):
+        at = F.filter(F.sequence(F.lit(1), F.size(p)), lambda i: F.element_at(p, i.cast("int")).rlike(r"^\w"))
+        rest = lambda i: F.slice(p, i + 1, F.lit(2 * (longest or 1) - 2))
+        return F.transform(at, lambda i: F.struct(F.element_at(p, i.cast("int")).alias("prefix"), rest(i).alias("rest")))
+
+    low = F.lower(F.col(text))
+    whole = texts.where(F.length(text) > 0)
+    now = whole.select(key, F.explode(let(_pieces(low), places)).alias("o")).select(key, "o.prefix", "o.rest")
+    found, n = [], 1
+    while n <= (longest or 0):
+        now = now.join(level(n), "prefix")
+        if n < longest:
+            now = stored(now, "places")
+        found.append(now.where("terminal").select(key, F.col("prefix").alias("phrase")))
+        longer = now.where(F.size("rest") >= 2)
+        step = F.concat("prefix", F.element_at("rest", 1), F.element_at("rest", 2))
+        now = longer.select(key, step.alias("prefix"), F.slice("rest", F.lit(3), F.greatest(F.size("rest") - 2, F.lit(0))).alias("rest"))
+        n += 1
+
+    # parts with marks inside are looked up without them
+    marked = F.filter(F.split(low, r"\s+"), lambda w: ~w.rlike(r"^[^\w-]*\w*[^\w-]*$"))
+    marked = F.transform(marked, lambda w: F.regexp_replace(w, r"[^\w-]", ""))
+    parts = whole.select(key, F.explode(marked).alias("phrase"))
+    known = dictionary.select("phrase").distinct()
+    found.append(parts.join(near(known), "phrase", "left_semi").select(key, "phrase"))
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out.distinct()
+
+
+def _with_join(texts: DataFrame, key: str, text: str, out: str, dictionary: DataFrame, keep: bool, predictions: DataFrame | None) -> DataFrame:
+    phrases = phrases_in(texts, key, text, dictionary)
     # acronyms, suffixes and the rest are all reached by the words of the text itself
     hits = phrases.join(dictionary.select("phrase", "proper", "kind"), "phrase").select(key, "phrase", "proper", "kind")
     if predictions is not None:
@@ -170,7 +209,6 @@ def truecase(
     dictionary: DataFrame,
     out: str = "cased",
     keep_apostrophes: bool = True,
-    max_words: int = MAX_WORDS,
     predictions: DataFrame | None = None,
 ) -> DataFrame:
     """Add the cased text.  `key` must be unique per row.
@@ -181,8 +219,7 @@ def truecase(
     first = F.min_by("proper", F.struct("rank", "proper")).alias("proper")
     entries = dictionary.withColumn("rank", rank).where(F.col("phrase").isNotNull())
     entries = entries.groupBy("phrase", "kind").agg(first)
-    longest = entries.agg(F.max(F.size(F.split("phrase", r"\b")))).first()[0] or 0
-    return _with_join(texts, key, text, out, entries, max(max_words, longest // 2 + 1), keep_apostrophes, predictions)
+    return _with_join(texts, key, text, out, stored(entries, "dictionary"), keep_apostrophes, predictions)
 
 
 def dictionary_rows(names: DataFrame, kind: str, column: str = "name") -> DataFrame:

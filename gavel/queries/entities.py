@@ -277,6 +277,28 @@ def truecased_turns(spark, d):
     return truecase.truecase(c, "turn_id", "shouted", _dictionary(spark, d)).select("turn_id", "cased")
 
 
+#: Words alone: no name of the dictionary has two words that stand side by side in a turn.
+TURNS_SQL = """
+WITH t AS (
+  SELECT conv_id || '/' || turn AS turn_id, upper(replace(text, 'ß', 'ss')) AS shouted,
+         string_split_regex(trim(lower(upper(replace(text, 'ß', 'ss')))), '\\s+') AS w
+  FROM conversations),
+k AS (SELECT turn_id, i, w[i] AS token, coalesce(regexp_matches(w[i - 1], '[.!?]'), false) OR i = 1 AS opens, regexp_extract(w[i], '^[^\\p{L}\\p{N}_]*', 0) AS lead
+      FROM (SELECT turn_id, w, unnest(range(1, len(w) + 1)) AS i FROM t)),
+c AS (SELECT *, regexp_extract(substr(token, length(lead) + 1), '^(.*?)[^\\p{L}\\p{N}_]*$', 1) AS core FROM k),
+n AS (SELECT DISTINCT lower(lang) AS term FROM documents),
+e AS (SELECT lower(n_name) AS term, min(n_name) AS proper FROM nation GROUP BY 1),
+o AS (
+  SELECT turn_id, i, CASE WHEN core = '' THEN token ELSE lead || CASE
+      WHEN core IN (SELECT term FROM n) THEN upper(core)
+      WHEN opens THEN upper(core[1]) || core[2:] WHEN core = 'i' THEN 'I' ELSE coalesce(e.proper, core) END
+      || substr(token, length(lead) + length(core) + 1) END AS cased
+  FROM c LEFT JOIN e ON e.term = core)
+SELECT t.turn_id, CASE WHEN trim(t.shouted) = '' OR t.shouted IS NULL THEN t.shouted ELSE s.cased END AS cased
+FROM t LEFT JOIN (SELECT turn_id, string_agg(cased, ' ' ORDER BY i) AS cased FROM o GROUP BY turn_id) s USING (turn_id)
+"""
+
+
 def dictionary_build(spark, d):
     """The whole dictionary build on made memos and speakers."""
     m = _memos(spark, d)
@@ -327,6 +349,6 @@ QUERIES = {
     "word_chunks": (word_chunks, CHUNK_SQL),
     "truecased_parts": (truecased_parts, CASED_SQL),
     "truecased_parts_joined": (truecased_parts_joined, CASED_SQL),
-    "truecased_turns": (truecased_turns, None),
+    "truecased_turns": (truecased_turns, TURNS_SQL),
     "dictionary_build": (dictionary_build, DICTIONARY_SQL),
 }
