@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..plans import warehouse
-from ..session import checkpoint_dir, removed_at_exit
-from ..streaming import incremental
+from ..session import checkpoint_dir, removed_at_exit, stored
+from ..streaming import incremental, stateful
 from .tables import meetings, table
 
 
@@ -63,6 +63,71 @@ def streamed_sessions(spark, d):
     )
 
 
+#: Files that the events arrive in, and how long a row may be late: two files.
+SLICES = 4
+
+
+def _arriving(spark, d, out, shape):
+    """Run `shape` over events that arrive in files, out of order across them, and with a restart from the checkpoint
+    after half of them.  A last file with one row far ahead lets the watermark pass what is open."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    events = table(spark, d, "events").select("user_id", "event_id", "ts", "event_type")
+    low, high = events.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
+    width = (high - low) // SLICES + 1
+    slot = F.floor((F.unix_micros("ts") - low) / width).cast("int") + (F.col("event_id") % 3 == 0).cast("int")  # a third comes one file later
+    sliced = stored(events.withColumn("slot", F.least(slot, F.lit(SLICES - 1))), "arriving")
+    seconds = 2 * width // 1_000_000 + 1
+
+    def arrive(rows):
+        rows.select(events.columns).coalesce(2).write.mode("append").parquet(f"{out}/in")
+
+    def run():
+        stream = incremental.new_files(spark, f"{out}/in", events.schema, "parquet", files_per_batch=2)
+        with stateful.keyed_state(spark):
+            found = shape(stream, f"{seconds} seconds")
+            query = (
+                found.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+                .option("checkpointLocation", f"{out}/state").option("path", f"{out}/table").start()
+            )
+            query.awaitTermination()
+
+    for k in range(SLICES):
+        arrive(sliced.where(F.col("slot") == k))
+        if k == SLICES // 2:
+            run()
+    ahead = F.timestamp_micros(F.lit(high + 10 * (seconds + 86_400 * 2) * 1_000_000))
+    arrive(events.limit(1).select(F.lit(-1).cast("long").alias("user_id"), F.lit(-1).cast("long").alias("event_id"), ahead.alias("ts"), "event_type"))
+    run()
+    return spark.read.parquet(f"{out}/table").where("user_id >= 0")
+
+
+def streamed_gaps(spark, d):
+    """Pauses of more than six hours per user, from state that outlives a restart."""
+    found = _arriving(spark, d, _scratch(spark), lambda s, late: stateful.streamed_gaps(s, "user_id", "ts", "event_id", "event_type", 360, late))
+    return found.select("user_id", "gap_no", "end_us", "resume_us", F.col("label").alias("resume_speaker"))
+
+
+def streamed_turns(spark, d):
+    """Runs of one event type per user without a pause of more than six hours."""
+    return _arriving(spark, d, _scratch(spark), lambda s, late: stateful.streamed_turns(s, "user_id", "ts", "event_id", "event_type", 360, late))
+
+
+STREAMED_GAPS_SQL = """
+WITH p AS (SELECT *, lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events)
+SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap_no, before AS end_us, epoch_us(ts) AS resume_us, event_type AS resume_speaker
+FROM p WHERE epoch_us(ts) - before > CAST(21600000000 AS BIGINT)
+"""
+STREAMED_TURNS_SQL = """
+WITH m AS (
+  SELECT *, CASE WHEN coalesce(event_type IS NOT DISTINCT FROM lag(event_type) OVER w AND epoch_us(ts) - epoch_us(lag(ts) OVER w) <= CAST(21600000000 AS BIGINT), false)
+                 THEN 0 ELSE 1 END AS s
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+t AS (SELECT *, CAST(sum(s) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS turn_no FROM m)
+SELECT user_id, turn_no, any_value(event_type) AS label, min(epoch_us(ts)) AS first_us, max(epoch_us(ts)) AS last_us, count(*) AS segments
+FROM t GROUP BY user_id, turn_no
+"""
+
+
 def stored_warehouse(spark, d):
     """Tables written by year and read back for one year."""
     out = _scratch(spark)
@@ -88,6 +153,8 @@ QUERIES = {
            t AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM m)
            SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start, count(*) AS segments FROM t GROUP BY user_id, k""",
     ),
+    "streamed_gaps": (streamed_gaps, STREAMED_GAPS_SQL),
+    "streamed_turns": (streamed_turns, STREAMED_TURNS_SQL),
     "stored_warehouse": (
         stored_warehouse,
         """SELECT l_orderkey AS meeting_id, count(*) AS items, CAST(sum(l_partkey) AS BIGINT) AS part_sum FROM lineitem JOIN orders ON o_orderkey = l_orderkey
