@@ -138,13 +138,13 @@ def test_truecase(spark):
 
 def test_longest_phrase_first_ranks_and_predictions(spark):
     d = spark.createDataFrame(
-        [("a b", "A B", "entity", 0), ("b c d", "B C D", "entity", 0), ("plant city", "Plant City", "entity", 1), ("plant city", "PLANT CITY", "entity", 2)],
+        [("a b", "A B", "entity", 0), ("b c d", "B C D", "entity", 0), ("elmer city", "Elmer City", "entity", 1), ("elmer city", "ELMER CITY", "entity", 2)],
         "phrase string, proper string, kind string, rank int",
     )
-    rows = spark.createDataFrame([(1, "X A B C D"), (2, "SEE TAMPA/PLANT CITY NOW"), (3, "OLD ROSE LANE")], "id int, t string")
-    said = spark.createDataFrame([(3, "rose lane", "Rose Lane", "entity"), (2, "plant city", "no", "entity")], "id int, phrase string, proper string, kind string")
+    rows = spark.createDataFrame([(1, "X A B C D"), (2, "SEE OAKTON/ELMER CITY NOW"), (3, "OLD ROSE LANE")], "id int, t string")
+    said = spark.createDataFrame([(3, "rose lane", "Rose Lane", "entity"), (2, "elmer city", "no", "entity")], "id int, phrase string, proper string, kind string")
     out = truecase.truecase(rows, "id", "t", d, predictions=said).orderBy("id").collect()
-    assert [r["cased"] for r in out] == ["X a B C D", "See tampa/plant City now", "Old Rose Lane"]
+    assert [r["cased"] for r in out] == ["X a B C D", "See oakton/elmer City now", "Old Rose Lane"]
 
 
 def test_apostrophes_can_be_dropped(spark):
@@ -186,6 +186,13 @@ def test_boilerplate(spark):
     s = "File No. PS25-1  Resolution; authorizing the Mayor of the City of Springfield to execute said agreement; providing an effective date."
     assert value(spark, clean, s) == "**File No. PS25-1** Resolution."
     assert value(spark, clean, "Award - (Original motion by X) - (To be R/F)") == "Award."
+    assert value(spark, clean, "Lease; authorizing the execution thereof by the Mayor and attestation by the City Clerk; and providing an effective date.") == "Lease."
+    assert value(spark, clean, "Buy; authorizing the Director of Purchasing to purchase said property, supplies, materials or services; providing for severability") == "Buy."
+    assert value(spark, clean, "Plan, and . Memorandum from J. Doe, Chief, transmitting a report for said item. Next step") == "Plan. Next step."
+    kept = "Memorandum from A. Roe requesting that said public hearing be continued to May."
+    assert value(spark, clean, kept) == kept
+    assert value(spark, clean, "Rule; repealing conflicts; setting a fee; repealing conflicts") == "Rule; repealing conflicts; setting a fee."
+    assert value(spark, clean, "Is it so?") == "Is it so?" and value(spark, clean, "") == "" and value(spark, clean, None) is None
 
 
 def test_ngram_score(spark):
