@@ -411,6 +411,12 @@ def speaker_case(name: ColumnLike) -> Column:
     return F.initcap(F.lower(squash(name)))
 
 
+def first_titled(documents: ColumnLike, *phrases: str) -> Column:
+    """The first document of an array whose title holds one of the phrases, in any case; null without one."""
+    hit = lambda x: reduce(lambda a, b: a | b, [F.lower(x["title"]).contains(p.lower()) for p in phrases])
+    return F.get(F.filter(col(documents), hit), F.lit(0))
+
+
 # --- presentation ----------------------------------------------------------
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("timeline", "warehouse", "finance", "text", "entities", "align", "reports", "streams", "build", "searching")
+MODULES = ("timeline", "warehouse", "finance", "text", "entities", "align", "reports", "streams", "build", "searching", "sqltext", "scans")
 
 
 def registered() -> dict:
