@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import sampling_window
 from ..operators.clusters import anchored_clusters
 from ..operators.sequence import Position, Sequence
+from ..operators.sweep import points_in_intervals
 from ..plans import timeline as tl
 from .tables import event_segments, table
 
@@ -342,7 +343,25 @@ SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start, coun
 FROM t GROUP BY user_id, k
 """
 
+def activity_windows(spark, d):
+    """Events of the same user within windows from no width to the whole month, counted per window."""
+    e = event_segments(spark, d).select("meeting_id", "event_id", "us", "event_type")
+    hours = F.when(F.col("event_id") % 50 == 0, 24 * 40).otherwise(F.col("event_id") % 97)
+    windows = e.where("event_type = 'signup'").select("meeting_id", F.col("event_id").alias("window_id"), "us", (F.col("us") + hours * 3_600_000_000).alias("until"))
+    found = points_in_intervals(e, windows, ["meeting_id"], "event_id", "us", "window_id", "us", "until")
+    return found.groupBy("window_id").agg(F.count(F.lit(1)).alias("events"), F.max("event_id").alias("last_id"))
+
+
+ACTIVITY_WINDOWS_SQL = """
+SELECT w.event_id AS window_id, count(*) AS events, max(e.event_id) AS last_id
+FROM events w JOIN events e ON e.user_id = w.user_id AND epoch_us(e.ts) >= epoch_us(w.ts)
+ AND epoch_us(e.ts) <= epoch_us(w.ts) + CASE WHEN w.event_id % 50 = 0 THEN 960 ELSE w.event_id % 97 END * CAST(3600000000 AS BIGINT)
+WHERE w.event_type = 'signup' GROUP BY 1
+"""
+
+
 QUERIES = {
+    "activity_windows": (activity_windows, ACTIVITY_WINDOWS_SQL),
     "gap_detection": (gap_detection, GAP_DETECTION_SQL),
     "clock_gaps": (clock_gaps, CLOCK_GAPS_SQL),
     "part_timeline": (part_timeline, PART_TIMELINE_SQL),
