@@ -34,7 +34,7 @@ SCALARS = {
     "meeting_type_label(slug STRING) RETURNS STRING": f"CASE slug {_labels()} ELSE slug END",
     "readable_date(d DATE) RETURNS STRING": "date_format(d, 'EEEE, MMMM d, yyyy')",
     "short_date(d DATE) RETURNS STRING": "date_format(d, 'MMM d, yyyy')",
-    "thumbnail_url(id STRING) RETURNS STRING": "concat('https://img.youtube.com/vi/', nullif(trim(id), ''), '/mqdefault.jpg')",
+    "thumbnail_url(id STRING) RETURNS STRING": "concat('https://img.youtube.com/vi/', nullif(id, ''), '/mqdefault.jpg')",
     "clean_title(title STRING) RETURNS STRING": f"coalesce(regexp_replace(regexp_replace(title, '(?i)^File No\\\\.\\\\s*[A-Z0-9-]+\\\\s*\\\\n?', ''), '{_BLANK}', ''), '')",
     "has_content(body STRING) RETURNS BOOLEAN": f"coalesce(length(regexp_replace(body, '{_BLANK}', '')) > 0, false)",
     "watch_url(id STRING, seconds BIGINT) RETURNS STRING": "concat('https://youtu.be/', id, '?t=', seconds)",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import rules
@@ -228,6 +228,22 @@ def write(tables: dict[str, DataFrame], path: str) -> None:
         writer.parquet(f"{path}/{name}")
 
 
+def write_counted(tables: dict[str, DataFrame], path: str, metrics: dict[str, dict[str, Column]] | None = None) -> DataFrame:
+    """`write`, and what was written: (table, metric, value), counted while the rows go by.
+
+    Every table has `rows`; `metrics` names more sums or counts of a table, as aggregate columns that give whole numbers.
+    No table is read again.  Where an executor is lost and a finished task runs again, its rows count again."""
+    seen = {name: Observation() for name in tables}
+    observed = {}
+    for name, df in tables.items():
+        own = [m.cast("long").alias(k) for k, m in (metrics or {}).get(name, {}).items()]
+        observed[name] = df.observe(seen[name], F.count(F.lit(1)).alias("rows"), *own)
+    write(observed, path)
+    spark = next(iter(tables.values())).sparkSession
+    rows = [(name, k, v) for name, o in seen.items() for k, v in o.get.items()]
+    return spark.createDataFrame(rows, "table string, metric string, value long")
+
+
 def run_stats(meetings: DataFrame, links: DataFrame, lost: DataFrame) -> DataFrame:
     """matched / stubbed / superseded counts as one row."""
     kind = F.when(F.col("is_stub"), "stubbed").otherwise("matched")

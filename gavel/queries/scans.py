@@ -77,7 +77,39 @@ SELECT l_orderkey, arg_min(title, l_linenumber) FILTER (p % 4 IN (0, 3)) AS shee
   min(l_linenumber) FILTER (p % 4 = 2) AS packet_line FROM t GROUP BY 1
 """
 
+def mixed_shapes(spark, d):
+    """Transcripts as bare lists, under either name, or broken, and sums as an object or a list: one scan for all."""
+    out = _scratch(spark)
+    lines = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("s"), "l_linenumber").agg(F.min("l_partkey").alias("p"))
+    segment = F.struct(F.col("l_linenumber").alias("n"), F.lit("9:00:00AM").alias("timestamp"), F.concat(F.lit("PART "), "p").alias("text"))
+    t = lines.groupBy("s").agg(F.array_sort(F.collect_list(segment)).alias("x"), F.sum("p").alias("total"))
+    amounts = F.to_json(F.transform("x", lambda x: F.struct(F.substring(x["text"], 6, 20).cast("long").alias("value"))))
+    kind = F.col("s") % 6
+    content = (
+        F.when(kind == 0, F.to_json("x")).when(kind == 1, F.to_json(F.struct(F.col("x").alias("segments")))).when(kind == 2, F.to_json(F.struct(F.col("x").alias("transcript"))))
+        .when(kind == 3, F.to_json(F.struct(F.col("total").alias("net")))).when(kind == 4, amounts).otherwise(F.lit('{"segments": ['))
+    )
+    files.write_files(t.select(F.concat(F.lit("record_"), "s", F.lit(".json")).alias("name"), content.alias("content")), out)
+    rows = files.mixed_records(spark, out)
+    said = files.variant_segments(F.col("record"))
+    summed = F.regexp_extract("file_name", r"(\d+)", 1).cast("long") % 6 >= 3
+    return rows.select(
+        "file_name", F.regexp_extract("shape", "^[A-Z]+", 0).alias("shape"), F.when(~summed, F.size(said).cast("long")).alias("segments"),
+        F.when(~summed, F.element_at(F.transform(said, lambda x: x["text"]), -1)).alias("last_text"),
+        F.when(summed, files.variant_total(F.col("record"))).alias("total"), "corrupt",
+    )
+
+
+MIXED_SQL = """
+WITH l AS (SELECT l_suppkey AS s, l_linenumber AS n, min(l_partkey) AS p FROM lineitem GROUP BY 1, 2),
+t AS (SELECT s, count(*) AS segments, arg_max('PART ' || p, n) AS last_text, CAST(sum(p) AS DOUBLE) AS total FROM l GROUP BY s)
+SELECT 'record_' || s || '.json' AS file_name, CASE s % 6 WHEN 0 THEN 'ARRAY' WHEN 4 THEN 'ARRAY' WHEN 5 THEN NULL ELSE 'OBJECT' END AS shape,
+  CASE WHEN s % 6 < 3 THEN segments END AS segments, CASE WHEN s % 6 < 3 THEN last_text END AS last_text,
+  CASE WHEN s % 6 IN (3, 4) THEN total END AS total, CASE WHEN s % 6 = 5 THEN '{"segments": [' END AS corrupt FROM t
+"""
+
 QUERIES = {
+    "mixed_shapes": (mixed_shapes, MIXED_SQL),
     "selected_records": (selected_records, SELECTED_SQL),
     "meeting_metadata": (meeting_metadata, METADATA_SQL),
     "country_scan": (country_scan, COUNTRY_SQL),

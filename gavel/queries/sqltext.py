@@ -24,11 +24,11 @@ def sql_filters(spark, d):
                   named_struct('part', 1, 'start_sec', 100L, 'offset_seconds', 2.5D),
                   named_struct('part', 2, 'start_sec', 700L, 'offset_seconds', 0D))) AS seek
               FROM (SELECT *, CASE o_orderkey % 3 WHEN 0 THEN 'cra' WHEN 1 THEN 'evening' ELSE 'other' END AS kind, CAST(o_orderdate AS DATE) AS day,
-                           CASE WHEN o_orderkey % 4 = 0 THEN ' ' ELSE concat('v', o_orderkey) END AS video FROM display_orders))""")
+                           CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE concat('v', o_orderkey) END AS video FROM display_orders))""")
 
 
 FILTERS_SQL = """
-WITH o AS (SELECT *, CASE WHEN o_orderkey % 4 = 0 THEN ' ' ELSE 'v' || o_orderkey END AS video FROM orders)
+WITH o AS (SELECT *, CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE 'v' || o_orderkey END AS video FROM orders)
 SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'CRA' WHEN 1 THEN 'Evening Session' ELSE 'other' END AS label,
   strftime(o_orderdate, '%A, %B %-d, %Y') AS readable, strftime(o_orderdate, '%b %-d, %Y') AS short,
   CASE WHEN o_orderkey % 4 > 0 THEN 'https://img.youtube.com/vi/' || video || '/mqdefault.jpg' END AS thumb, 'Item ' || o_orderkey AS title,

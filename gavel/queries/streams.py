@@ -139,7 +139,25 @@ def stored_warehouse(spark, d):
     return stored.groupBy("meeting_id").agg(F.count(F.lit(1)).alias("items"), F.sum("l_partkey").alias("part_sum"))
 
 
+def write_counts(spark, d):
+    """Rows and sums of two tables, counted while they are written."""
+    m = meetings(spark, d).withColumn("year", F.year("date"))
+    items = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.year("l_shipdate").alias("year"))
+    wanted = {
+        "meetings": {"without_items": F.count(F.when(F.col("item_count") == 0, 1)), "finished": F.count(F.when(F.col("o_orderstatus") == "F", 1))},
+        "agenda_items": {"first_items": F.count(F.when(F.col("l_linenumber") == 1, 1)), "part_sum": F.sum("l_partkey")},
+    }
+    return warehouse.write_counted({"meetings": m, "agenda_items": items}, _scratch(spark), wanted)
+
+
 QUERIES = {
+    "write_counts": (
+        write_counts,
+        """WITH m AS (SELECT count(*) AS "rows", count(*) FILTER (o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)) AS without_items, count(*) FILTER (o_orderstatus = 'F') AS finished FROM orders),
+           i AS (SELECT count(*) AS "rows", count(*) FILTER (l_linenumber = 1) AS first_items, CAST(sum(l_partkey) AS BIGINT) AS part_sum FROM lineitem)
+           SELECT 'meetings' AS "table", metric, value FROM (UNPIVOT m ON COLUMNS(*) INTO NAME metric VALUE value)
+           UNION ALL SELECT 'agenda_items', metric, value FROM (UNPIVOT i ON COLUMNS(*) INTO NAME metric VALUE value)""",
+    ),
     "incremental_pickup": (incremental_pickup, "SELECT event_type, count(*) AS events, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY 1"),
     "incremental_supersede": (
         incremental_supersede,

@@ -97,6 +97,36 @@ def bare_list_transcripts(spark: SparkSession, path: str, glob: str = "*.json")
     )
 
 
+def mixed_records(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+    """(file_name, record, shape, corrupt): files of any JSON shape as VARIANT values, each read and parsed once.
+
+    `shape` is the type of the outermost value and, for objects, its fields, as Spark names them.  What does not parse stays as a
+    row with its text in `corrupt` and no record; empty files give no row."""
+    text = spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(path)
+    parsed = text.select(F.col("_metadata.file_name").alias("file_name"), "value", F.try_parse_json("value").alias("record"))
+    broken = F.col("record").isNull()
+    return parsed.select("file_name", "record", F.schema_of_variant("record").alias("shape"), F.when(broken, F.col("value")).alias("corrupt"))
+
+
+def shapes_of(records: DataFrame) -> DataFrame:
+    """The one schema that holds all records of a table of `mixed_records`."""
+    return records.agg(F.schema_of_variant_agg("record").alias("schema"))
+
+
+def variant_segments(record: Column) -> Column:
+    """Segments of any of the three shapes: a bare list, or an object with `segments` or else `transcript`; empty without any."""
+    rows = f"array<{schemas.SEGMENT}>"
+    found = [F.try_variant_get(record, p, rows) for p in ("$", "$.segments", "$.transcript")]
+    return F.coalesce(*found, F.array().cast(rows))
+
+
+def variant_total(record: Column, total: str = "$.net", items: str = "$", amount: str = "$.value") -> Column:
+    """A financial figure of either shape: an object that names it, or a list whose amounts add up to it."""
+    listed = F.try_variant_get(record, items, "array<variant>")
+    added = F.aggregate(listed, F.lit(0.0), lambda a, x: a + F.coalesce(F.try_variant_get(x, amount, "double"), F.lit(0.0)))
+    return F.coalesce(F.try_variant_get(record, total, "double"), added)
+
+
 def preferred_transcripts(processed: DataFrame, raw: DataFrame) -> DataFrame:
     """Per transcript id: the processed file if there is one, else the raw file."""
     return first_available([processed, raw], ["transcript_id"])

@@ -80,16 +80,16 @@ class _InOrder(StatefulProcessor):
             self.state.clear()
         else:
             self.state.update(state)
-        self._wake(min((t for t in (rest[0][0] if rest else None, self.sleeps_until(state)) if t is not None), default=None))
+        self._wake(min((t for t in (rest[0][0] if rest else None, self.sleeps_until(state)) if t is not None), default=None), passed // 1000)
         if out:
             yield pd.DataFrame([(key[0], *r) for r in out], columns=[self.key_name, *self.columns])
 
-    def _wake(self, us: int | None) -> None:
-        """One timer: when the watermark is past `us`."""
+    def _wake(self, us: int | None, expired_ms: int = -1) -> None:
+        """One timer: when the watermark is past `us`.  Timers up to `expired_ms` are going off and count no more."""
         if us is None:
             return
         at = us // 1000 + 1
-        timers = list(self.handle.listTimers())
+        timers = [t for t in self.handle.listTimers() if t > expired_ms]
         if any(t <= at for t in timers):
             return
         for t in timers:
