@@ -164,6 +164,8 @@ def phrases_in(texts: DataFrame, key: str, text: str, dictionary: DataFrame, sma
             now = stored(now, "places")
         found.append(now.where("terminal").select(key, F.col("prefix").alias("phrase")))
         longer = now.where(F.size("rest") >= 2)
+        if n < longest and longer.isEmpty():
+            break
         step = F.concat("prefix", F.element_at("rest", 1), F.element_at("rest", 2))
         now = longer.select(key, step.alias("prefix"), F.slice("rest", F.lit(3), F.greatest(F.size("rest") - 2, F.lit(0))).alias("rest"))
         n += 1
