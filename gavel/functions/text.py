@@ -516,10 +516,11 @@ def map_record_key(file_no: ColumnLike, item_number: ColumnLike) -> Column:
 
 
 def folio_numbers(section: ColumnLike) -> Column:
-    """Distinct sorted folio numbers of a section, plausible range only."""
+    """Distinct folio numbers of a section in the order of their values, plausible range only."""
     found = F.regexp_extract_all(col(section), F.lit(r"\b(\d{5,8}(?:\.\d{4})?)\b"), F.lit(1))
     plausible = F.filter(found, lambda x: (x.cast("double") >= 10_000) & (x.cast("double") < 100_000_000))
-    return F.array_sort(F.array_distinct(plausible))
+    valued = F.transform(F.array_distinct(plausible), lambda x: F.struct(x.cast("double").alias("value"), x.alias("folio")))
+    return F.transform(F.array_sort(valued), lambda v: v["folio"])
 
 
 # Fixed value: the plan-amendment section of a packet.
