@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.base import ColumnLike, col, let
 from ..functions.text import content_type, object_key, public_url, slug
 from ..operators.keyed import carry_forward_column
+from ..session import stored
 
 
 def content_hash(content: ColumnLike) -> Column:
@@ -93,18 +94,63 @@ def _substrings(number: Column) -> Column:
     return let(number, lambda t: F.when(F.length(t) > 0, F.array_distinct(of(t))).otherwise(F.array().cast("array<string>")))
 
 
+#: Meetings with at most this many pairs of a link and an item are compared as they are.
+FEW_PAIRS = 1000
+#: Meetings with more pairs, up to this number of meetings, are broadcast.
+FEW_MEETINGS = 100_000
+
+
+def _squeezed(text: str) -> Column:
+    return F.regexp_replace(F.lower(F.col(text)), r"[^a-z0-9]", "")
+
+
 def link_items(links: DataFrame, items: DataFrame, meeting: str) -> DataFrame:
     """Resolve document links to agenda items of the same meeting in three tiers.
 
     Tier 1 compares numbers (either holds the other), tier 2 the link text inside
     the item text, tier 3 the same on letters and digits only; the first tier that
-    hits wins, then the lowest item number.  Containment is an equi-join: an
-    identifier meets the substrings of the other one, and a text meets the items
-    that hold its rarest five-letter piece, so a meeting is never paired with itself.
+    hits wins, then the lowest item number.  Meetings are counted first: where links
+    times items are few, a link meets its meeting's items as one array; in the others
+    containment is an equi-join on pieces of the texts.
     links: meeting, link_id, number, text; items: meeting, item_id, item_no, text.
     """
+    count = lambda df, name: df.groupBy(meeting).agg(F.count(F.lit(1)).alias(name))
+    sizes = count(links, "_links").join(count(items, "_items"), meeting)
+    large = stored(sizes.where(F.col("_links") * F.col("_items") > FEW_PAIRS).select(meeting), "large-meetings")
+    n = large.count()
+    if n == 0:
+        return _link_few(links, items, meeting)
+    named = F.broadcast(large) if n <= FEW_MEETINGS else large
+    part = lambda df, how: df.join(named, meeting, how)
+    few = _link_few(part(links, "left_anti"), part(items, "left_anti"), meeting)
+    return few.unionByName(_link_many(part(links, "left_semi"), part(items, "left_semi"), meeting))
+
+
+def _link_few(links: DataFrame, items: DataFrame, meeting: str) -> DataFrame:
+    """Every link against the array of its meeting's items, which is short: FEW_PAIRS at most if there is a link."""
+    i = items.select(meeting, "item_no", "item_id", F.lower("text").alias("it"), _squeezed("text").alias("iq"))
+    wanted = i.join(links.select(meeting).distinct(), meeting, "left_semi")  # a meeting without links may have any number of items
+    listed = wanted.groupBy(meeting).agg(F.collect_list(F.struct("item_no", "item_id", "it", "iq")).alias("_items"))
+    number, lt, lq = F.col("number"), F.col("_lt"), F.col("_lq")
+
+    def hit(x):
+        same = (F.length(number) > 0) & (F.length(x["item_id"]) > 0) & (x["item_id"].contains(number) | number.contains(x["item_id"]))
+        plain = (F.length(lt) > 0) & x["it"].contains(lt)
+        tier = F.when(same, 1).when(plain, 2).when((F.length(lq) > 0) & x["iq"].contains(lq), 3)
+        return F.struct(tier.alias("tier"), x["item_no"].alias("item_no"), x["item_id"].alias("item_id"))
+
+    asked = links.withColumn("_lt", F.lower("text")).withColumn("_lq", _squeezed("text")).join(listed, meeting, "left")
+    best = F.array_min(F.filter(F.transform("_items", hit), lambda h: h["tier"].isNotNull()))
+    return asked.withColumn("b", best).select(*links.columns, "b.item_id", "b.tier")
+
+
+def _link_many(links: DataFrame, items: DataFrame, meeting: str) -> DataFrame:
+    """The same by equi-joins: an identifier meets the substrings of the other one, and a text meets the items that
+    hold its rarest five-letter piece, so a meeting is never paired with itself."""
+    out_columns = links.columns
+    links = links.withColumn("_number", F.coalesce("number", F.lit(""))).withColumn("lt", F.coalesce(F.lower("text"), F.lit("")))
     squeeze = lambda c: F.regexp_replace(F.lower(c), r"[^a-z0-9]", "")
-    asked = links.select(meeting, "number", F.lower("text").alias("lt")).distinct().withColumn("lq", squeeze(F.col("lt")))
+    asked = links.select(meeting, F.col("_number").alias("number"), "lt").distinct().withColumn("lq", squeeze(F.col("lt")))
     i = items.select(meeting, "item_id", "item_no", F.lower("text").alias("it")).withColumn("iq", squeeze(F.col("it")))
     best = F.min(F.struct("tier", "item_no", "item_id")).alias("b")
     by = [meeting, "number", "lt"]
@@ -142,5 +188,5 @@ def link_items(links: DataFrame, items: DataFrame, meeting: str) -> DataFrame:
     tier23 = asked.join(tier23, [meeting, "lt"]).select(*by, "b")
 
     answer = tier1.unionByName(tier23).groupBy(*by).agg(F.min("b").alias("b"))
-    out = links.withColumn("lt", F.lower("text")).join(answer, by, "left")
-    return out.select(*links.columns, "b.item_id", "b.tier")
+    out = links.join(answer.withColumnRenamed("number", "_number"), [meeting, "_number", "lt"], "left")
+    return out.select(*out_columns, "b.item_id", "b.tier")
