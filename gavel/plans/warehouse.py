@@ -10,6 +10,7 @@ from ..functions.base import blank_to_null, first_present, zero_to_null
 from ..functions.dates import iso_duration_seconds, resolve_date, wall_clock_seconds
 from ..functions.text import default_title
 from ..operators.keyed import absent, best_per_key, insert_if_absent, keep_referenced
+from ..session import stored
 
 
 def stub_id(transcript_id: str):
@@ -186,8 +187,11 @@ def video_rows(video_maps: DataFrame, links: DataFrame) -> tuple[DataFrame, Data
 def build(
     meetings: DataFrame, transcripts: DataFrame, video_maps: DataFrame, overrides: DataFrame, year: int | None = None
 ) -> dict[str, DataFrame]:
-    """All tables; `year` filters agendas and transcripts alike."""
-    docs = dated(latest_documents(meetings), year)
+    """All tables; `year` filters agendas and transcripts alike.
+
+    Several tables read the documents, the kept meetings, the transcripts and their links, so these are stored once:
+    the source files are parsed and their rows shuffled one time, and each table reads only the columns it needs."""
+    docs = stored(dated(latest_documents(meetings), year), "meeting-documents")
     items = items_of(docs)
     heads = docs.select(
         F.col("meetingId").try_cast("bigint").alias("id"),
@@ -201,10 +205,11 @@ def build(
         "meeting_type", F.coalesce("meeting_type", F.lit("regular"))
     )
     typed = typed.withColumn("title", rules.meeting_title("meeting_type", "date"))
-    kept = keep_fullest(typed)
+    kept = stored(keep_fullest(typed), "kept-meetings")
     tr = transcripts.where(F.year("date") == year) if year else transcripts
-    tr = transcripts_typed(tr, video_maps, overrides)
+    tr = stored(transcripts_typed(tr, video_maps, overrides), "transcripts")
     full, links, lost = match_transcripts(kept, tr)
+    links = stored(links, "transcript-links")
     full = full.withColumn("year", F.coalesce("year", F.year("date")))
     keep = kept.select(F.col("id").alias("meeting_id"))
     videos, chapters = video_rows(video_maps, links)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import warehouse
+from ..session import stored
 from ..sources import files
 from .streams import _scratch
 from .tables import table
@@ -79,9 +80,13 @@ def _folder(spark, d) -> str:
 
 def _scanned(spark, d):
     folder = _folder(spark, d)
-    good, bad = files.split_corrupt(files.meetings(spark, folder, strict_name=True).cache())
-    transcripts = files.preferred_transcripts(files.processed_transcripts(spark, folder), files.raw_transcripts(spark, folder))
-    return good, bad, transcripts.drop("_corrupt_record"), files.video_maps(spark, folder), folder
+    good, bad = files.split_corrupt(stored(files.meetings(spark, folder, strict_name=True), "meetings"))
+    return good, bad, _transcripts(spark, folder), files.video_maps(spark, folder), folder
+
+
+def _transcripts(spark, folder):
+    found = files.preferred_transcripts(files.processed_transcripts(spark, folder), files.raw_transcripts(spark, folder))
+    return found.drop("_corrupt_record")
 
 
 def _built(spark, d, year=None):
@@ -128,7 +133,7 @@ UNION ALL SELECT 'broken', count(DISTINCT id % 16) FROM c UNION ALL SELECT 'firs
 
 def scanned_transcripts(spark, d):
     """Processed before raw, both spellings of the segments, test files left out."""
-    _, _, t, _, _ = _scanned(spark, d)
+    t = _transcripts(spark, _folder(spark, d))
     return t.select(F.col("transcript_id").cast("bigint").alias("transcript_id"), "date", F.size("segments").cast("bigint").alias("segments"), F.element_at(F.split("file_name", "_"), 1).alias("source"))
 
 
