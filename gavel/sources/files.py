@@ -217,15 +217,12 @@ def write_files(contents: DataFrame, folder: str) -> int:
     store, root = fs.FileSystem.from_uri(folder)
     store.create_dir(root, recursive=True)
 
-    def write(batches):
-        import pyarrow as pa
-
+    def write(rows):
         target, at = fs.FileSystem.from_uri(folder)
-        for batch in batches:
-            for name, content in zip(batch.column("name").to_pylist(), batch.column("content").to_pylist()):
-                with target.open_output_stream(f"{at}/{name}") as out:
-                    out.write((content or "").encode())
-            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["files"])
-
-    written = contents.select("name", "content").mapInArrow(write, "files long")
-    return written.agg(F.sum("files")).first()[0] or 0
+        for name, content in rows:
+            with target.open_output_stream(f"{at}/{name}") as out:
+                out.write((content or "").encode())
+            yield 1
+
+    # rows come in batches of a few MB, however long a content is; an Arrow batch has a number of rows
+    return contents.select("name", "content").rdd.mapPartitions(write).sum()
