@@ -10,13 +10,14 @@ never joined and no group is expanded into all pairs.
 
 from __future__ import annotations
 
-import difflib
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..functions.similarity import contenders, ratio_from
 from ..functions.text import (
     ascii_share,
     best_window,
@@ -237,40 +238,53 @@ def align(captions: DataFrame, segments: DataFrame, video: str) -> DataFrame:
 # --- the older search by sequence similarity --------------------------------
 
 
-@F.pandas_udf(T.DoubleType())
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff–Obershelp similarity, for which Spark has no built-in."""
-    return pd.Series(
-        [difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)], index=a.index, dtype="float64"
-    )
-
-
 def plain(text: str) -> Column:
     """Upper case, listed punctuation to spaces, whitespace collapsed."""
     return F.trim(F.regexp_replace(F.regexp_replace(F.upper(F.col(text)), r"""[.,!?;:\-"'()\[\]{}]""", " "), r"\s+", " "))
 
 
 def caption_windows(captions: DataFrame, video: str, widest: int = 5) -> DataFrame:
-    """Runs of 1..widest consecutive captions with the start of the first."""
+    """Every caption with its own plain text and those of the next widest - 1 ones; null where there is none."""
     from ..operators.sequence import Next, Sequence
 
-    seq = Sequence([video], ["cap_id"], ["cap_id"]).sized(captions)
-    df = captions.select(video, "cap_id", "start", "text")
-    out = df.withColumn("t1", F.col("text"))
+    df = captions.select(video, "cap_id", "start", plain("text").alias("t1"))
+    seq = Sequence([video], ["cap_id"], ["cap_id"]).sized(df)
     for k in range(2, widest + 1):
-        out = seq.apply(out, **{f"t{k}": Next(F.col(f"t{k - 1}"))})
-    texts = [F.when(F.col(f"t{k}").isNotNull(), F.concat_ws(" ", *[f"t{i}" for i in range(1, k + 1)])) for k in range(1, widest + 1)]
-    spread = out.select(video, "cap_id", "start", F.posexplode(F.array(*texts)).alias("w", "window_text"))
-    return spread.where(F.col("window_text").isNotNull()).withColumn("window_size", F.col("w") + 1).drop("w")
+        df = seq.apply(df, **{f"t{k}": Next(f"t{k - 1}")})
+    return df.select(video, "cap_id", "start", F.array(*[f"t{k}" for k in range(1, widest + 1)]).alias("texts"))
+
+
+def _scored(rows: DataFrame, video: str, names: list[tuple[str, T.DataType]], offers: Callable, is_good: Callable, good: float) -> DataFrame:
+    """Rows through `contenders`, in reading order; `names` are the columns of an offer."""
+    schema = T.StructType([*(T.StructField(c, rows.schema[c].dataType) for c in (video, "cap_id")), *(T.StructField(*n) for n in names), T.StructField("ratio", T.DoubleType())])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        return contenders(batches, video, "cap_id", offers, is_good, good, arrow)
+
+    return rows.sortWithinPartitions(video, "cap_id").mapInArrow(run, schema)
 
 
 def find_text(captions: DataFrame, reference: DataFrame, video: str, reference_text: str, good: float = 0.7) -> DataFrame:
     """Start of the caption window most similar to the reference text of its video.
 
-    The first window in reading order that reaches `good` wins, else the best one.
+    The first window in reading order that reaches `good` wins, else the best one.  Windows are 1 to 5 captions;
+    ratios are computed in reading order, while they may still decide (`functions.similarity`).
     """
-    windows = caption_windows(captions, video).join(reference.select(video, reference_text), video)
-    scored = windows.withColumn("_a", plain(reference_text)).withColumn("_b", plain("window_text")).withColumn("ratio", sequence_ratio("_a", "_b"))
+    texts = reference.select(video, plain(reference_text).alias("_a"))
+    rows = caption_windows(captions, video).join(texts, video)
+    bounds: dict = {}
+
+    def offers(row):
+        a, window = row["_a"] or "", ""
+        for k, text in enumerate(row["texts"], 1):
+            if text:
+                window = f"{window} {text}" if window else text
+            if text is not None:
+                yield k, (row["start"], k), lambda floor, b=window: ratio_from(a, b, floor, bounds)
+
+    names = [("start", rows.schema["start"].dataType), ("window_size", T.IntegerType())]
+    scored = _scored(rows, video, names, offers, lambda r: r >= good, good)
     order = F.struct("cap_id", "window_size")
     picked = scored.groupBy(video).agg(
         F.min_by(F.struct("start", "ratio"), F.when(F.col("ratio") >= good, order)).alias("_good"),
@@ -279,17 +293,40 @@ def find_text(captions: DataFrame, reference: DataFrame, video: str, reference_t
     return picked.withColumn("_p", F.coalesce("_good", "_best")).select(video, "_p.start", "_p.ratio")
 
 
+#: The ratio that a caption has at least with a segment that starts with its first 20 characters.
+SAME_START = 0.9
+
+
 def match_start(captions: DataFrame, segments: DataFrame, video: str, first: int = 30, accept: float = 0.5, good: float = 0.7) -> DataFrame:
     """The caption and early segment that match best, else the first caption's start.
 
     segments: video, seg_id, pos, sec, text; captions: video, cap_id, start, text.
     """
-    c = captions.where(F.length(F.trim("text")) >= 10).withColumn("_c", plain("text"))
-    s = segments.where((F.col("pos") < first) & (F.length(F.trim("text")) >= 10)).withColumn("_s", plain("text"))
-    # every caption meets at most `first` segments of its own video
-    pairs = c.select(video, "cap_id", "start", "_c").join(s.select(video, "pos", "sec", "_s"), video)
-    raised = F.when(F.col("_s").startswith(F.substring("_c", 1, 20)), F.greatest(F.col("_r"), F.lit(0.9))).otherwise(F.col("_r"))
-    scored = pairs.withColumn("_r", sequence_ratio("_c", "_s")).withColumn("ratio", raised)
+    c = captions.where(F.length(F.trim("text")) >= 10).select(video, "cap_id", "start", plain("text").alias("_c"))
+    s = segments.where((F.col("pos") < first) & (F.length(F.trim("text")) >= 10))
+    # at most `first` segments of a video, in order; every caption of the video meets them
+    early = s.groupBy(video).agg(F.array_sort(F.collect_list(F.struct("pos", "sec", plain("text").alias("text")))).alias("_s"))
+    if SAME_START > good:
+        # the first caption that starts a segment is good without its ratio, so later captions cannot win
+        starts = F.exists("_s", lambda x: x["text"].startswith(F.substring("_c", 1, 20)))
+        until = c.join(early, video).where(starts).groupBy(video).agg(F.min("cap_id").alias("_until"))
+        c = c.join(until, video, "left").where(F.col("_until").isNull() | (F.col("cap_id") <= F.col("_until"))).drop("_until")
+    rows = c.join(early, video)
+    bounds: dict = {}
+
+    def offers(row):
+        a = row["_c"] or ""
+        for s in row["_s"]:
+
+            def ratio(floor, b=s["text"] or ""):
+                if b.startswith(a[:20]):
+                    return max(ratio_from(a, b, 0.0, bounds), SAME_START)
+                return ratio_from(a, b, floor, bounds)
+
+            yield s["pos"], (row["start"], s["pos"], s["sec"]), ratio
+
+    names = [("start", rows.schema["start"].dataType), ("pos", s.schema["pos"].dataType), ("sec", s.schema["sec"].dataType)]
+    scored = _scored(rows, video, names, offers, lambda r: r > good, good)
     order = F.struct("cap_id", "pos")
     row = F.struct("cap_id", "start", "pos", "sec", "ratio")
     picked = scored.groupBy(video).agg(
