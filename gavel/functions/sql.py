@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.html import ROWS_DDL, _Tables
+from ..sources.html import ROWS_DDL, page_rows
 from .money import AMOUNT
 from .rules import TYPE_LABELS
 
@@ -65,10 +65,7 @@ class HtmlTableRows:
     """Rows of the tables of one page."""
 
     def eval(self, html: str | None) -> Iterator[tuple]:
-        parser = _Tables()
-        parser.feed(html or "")
-        parser.close()
-        yield from parser.rows
+        yield from page_rows(html)
 
 
 def register(spark: SparkSession) -> None:

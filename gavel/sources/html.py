@@ -7,13 +7,16 @@ which everything is DataFrame work again.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
+from html import unescape
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import rules
 from ..functions.base import ColumnLike, col, lines_of, squash, strip
@@ -198,26 +201,92 @@ class _Tables(HTMLParser):
             self.rows.append((t["no"], r["r"], r["id"], [c.strip() for c in r["cells"]], r["links"]))
 
 
+# Plain markup: tags with quoted attributes, short comments and a doctype.  The parser reads it alike, only slower.
+_TAG = re.compile(
+    r"""</([a-zA-Z][a-zA-Z0-9]*)>|<([a-zA-Z][a-zA-Z0-9]*)((?:[ \t\n]+[a-zA-Z_][-a-zA-Z0-9_]*(?:="[^"<>]*"|='[^'<>]*')?)*)[ \t\n]*(/?)>"""
+    r"""|<!--[^-<>]+-->|<!(?i:doctype)[ ][^<>"']*>"""
+)
+_ATTRIBUTE = re.compile(r"""([a-zA-Z_][-a-zA-Z0-9_]*)(?:(=)(?:"([^"]*)"|'([^']*)'))?""")
+_ODD_REFERENCE = re.compile(r"&(?!(?:amp|lt|gt|quot|nbsp|#39);)")
+_SHAPING = frozenset(("table", "thead", "tbody", "tfoot", "tr", "td", "th", "a"))
+_RAW = frozenset(("script", "style", "textarea", "title", "iframe", "noembed", "noframes", "noscript", "plaintext", "xmp"))
+
+
+_PIECE = re.compile("(<[^<>]*>)")
+
+
+def _plain_tag(text: str) -> tuple[str, list, bool, bool] | None:
+    """Name, attributes, is it an end tag, is it closed at once; no name where it shapes no table, None if it is not plain."""
+    m = _TAG.fullmatch(text)
+    if m is None:
+        return None
+    end, tag, attributes, closed = m.groups()
+    name = (end or tag or "").lower()
+    if name in _RAW or (attributes and "&" in attributes and _ODD_REFERENCE.search(attributes)):
+        return None
+    if name not in _SHAPING:
+        return "", [], False, False
+    pairs = [(a.lower(), unescape(double or single) if given else None) for a, given, double, single in _ATTRIBUTE.findall(attributes or "")]
+    return name, pairs, bool(end), bool(closed)
+
+
+_SHORT_TAGS: dict[str, tuple | None] = {}  # what the shortest tags are; there are few of them
+
+
+def _read_plain(html: str, parser: _Tables) -> bool:
+    """Give plain markup to the parser's handlers; False if the page holds anything else."""
+    is_tag = True
+    for piece in _PIECE.split(html):
+        is_tag = not is_tag
+        if not is_tag:
+            if piece:
+                if "<" in piece:
+                    return False
+                if parser.open or parser.link is not None:
+                    parser.handle_data(unescape(piece) if "&" in piece else piece)
+            continue
+        found = _SHORT_TAGS.get(piece)
+        if found is None:
+            found = _plain_tag(piece)
+            if found is None:
+                return False
+            if len(piece) <= 8 and len(_SHORT_TAGS) < 1000:
+                _SHORT_TAGS[piece] = found
+        name, pairs, ends, closed = found
+        if ends:
+            parser.handle_endtag(name)
+        elif name:
+            parser.handle_starttag(name, pairs)
+            if closed:
+                parser.handle_endtag(name)
+    return True
+
+
+def page_rows(html: str | None) -> list[tuple]:
+    """The table rows of one page: table, row, id, cells and links."""
+    parser = _Tables()
+    if not _read_plain(html or "", parser):
+        parser = _Tables()
+        parser.feed(html or "")
+    parser.close()
+    return parser.rows
+
+
 def table_rows(pages: DataFrame, key: str) -> DataFrame:
     """One row per HTML table row of every page; `cells` are its data cells, without headings."""
-    key_type = pages.schema[key].dataType.simpleString()
+    link = pa.struct([("cell", pa.int32()), ("href", pa.string()), ("id", pa.string()), ("text", pa.string())])
+    types = [pa.int32(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.list_(link)]
     names = ["table_no", "row_no", "row_id", "cells", "links"]
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {n: [] for n in [key, *names]}
-            for k, html in zip(batch[key], batch["html"]):
-                parser = _Tables()
-                parser.feed(html or "")
-                parser.close()
-                for row in parser.rows:
-                    out[key].append(k)
-                    for n, v in zip(names, row):
-                        out[n].append(v)
-            if out[key]:  # a frame without rows has no list types
-                yield pd.DataFrame(out, columns=[key, *names])
-
-    return pages.select(key, "html").mapInPandas(parse, f"{key} {key_type}, {ROWS_DDL}")
+            found = [page_rows(html) for html in batch.column(1).to_pylist()]
+            of = pa.array([i for i, rows in enumerate(found) for _ in rows], pa.int64())
+            columns = list(zip(*(row for rows in found for row in rows))) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(of), *map(pa.array, columns, types)], names=[key, *names])
+
+    schema = T.StructType([pages.schema[key], *T.StructType.fromDDL(ROWS_DDL).fields])
+    return pages.select(key, "html").mapInArrow(parse, schema)
 
 
 def agenda_rows(pages: DataFrame, key: str) -> DataFrame:
