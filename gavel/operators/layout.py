@@ -1,4 +1,4 @@
-"""Spreading a scan over the cores before heavy per-row work."""
+"""Spreading a scan over tasks before heavy per-row work."""
 
 from __future__ import annotations
 
@@ -14,3 +14,12 @@ def spread_scan(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def spread_rows(df: DataFrame, rows: int) -> DataFrame:
+    """Rows of a plain scan over tasks of about `rows` rows, and at least as many as there are cores.
+
+    Well compressed files hold very many rows in one split, so that the longest task would grow with the input; the
+    count comes from the files' footers.  A scan that has as many splits is not moved."""
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df

@@ -8,7 +8,7 @@ from ..functions.video import session_rank
 from ..operators.ranges import interval_join
 from ..plans import coverage, diff, directives, manifest, videos, zoning
 from ..sources import html, transcripts
-from .tables import meetings, spread_table, table
+from .tables import meetings, page_table, spread_table, table
 
 # --- directives ---------------------------------------------------------------
 
@@ -342,7 +342,7 @@ SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY n) - 1 AS pos,
 
 def page_facts(spark, d):
     """Title, date, agenda type and addendum flag; the heading is put in front of each page."""
-    p = spread_table(spark, d, "pages")
+    p = page_table(spark, d, "pages")
     kind = F.when(F.col("page_id") % 3 == 0, "R E G U L A R  F I N A L  A G E N D A").when(F.col("page_id") % 3 == 1, "D R A F T").otherwise("Agenda")
     extra = F.when(F.col("page_id") % 5 == 0, "<p>Addendum  to Final\n Agenda</p>").otherwise("")
     top = F.concat(F.lit("<h1>"), kind, F.lit("</h1><span>Thursday, March "), (F.col("page_id") % 28 + 1).cast("string"), F.lit(", 2026</span>"), extra)
@@ -352,7 +352,7 @@ def page_facts(spark, d):
 
 def agenda_table_rows(spark, d):
     """Agenda rows parsed from tables made of line items, in three shapes of markup."""
-    li = spread_table(spark, d, "lineitem")
+    li = page_table(spark, d, "lineitem")
     shape = F.col("l_linenumber") % 3  # with a heading row, without end tags, with a table inside the cell
     head = F.when(shape == 0, "<table><thead><tr><th>No.</th><th>Item</th></tr></thead><tbody><tr><td>").otherwise("<table><tr><td>")
     inner = F.when(shape == 2, "<table><tr><td></td><td></td></tr></table>").otherwise("")
@@ -373,7 +373,7 @@ SELECT l_orderkey, l_linenumber AS number, CAST(l_suppkey AS VARCHAR) AS agenda_
 
 def meeting_list(spark, d):
     """Meeting-list rows parsed from tables made of orders, one page per order."""
-    o = spread_table(spark, d, "orders")
+    o = page_table(spark, d, "orders")
     link = F.when(F.col("o_orderstatus") == "P", "<a href=\"/s?doctype=3\">Summary</a>").otherwise(F.concat(F.lit("<a href=\"/ViewMeeting?id="), F.col("o_orderkey").cast("string"), F.lit("&amp;doctype=1\">Agenda</a>")))
     name = F.when(F.col("o_orderpriority") == "1-URGENT", "Evening CRA").when(F.col("o_orderpriority") == "2-HIGH", "Special").otherwise("Council")
     row = F.concat(F.lit("<tr data-meeting-id=\""), F.col("o_orderkey").cast("string"), F.lit("\"><td>"), name, F.lit("</td><td>"), link, F.lit("</td></tr>"))
@@ -389,7 +389,7 @@ SELECT o_custkey, CAST(o_orderkey AS VARCHAR) AS id, CASE o_orderpriority WHEN '
 
 def transcript_index(spark, d):
     """Grid rows of a transcript index made of orders; bad dates are dropped."""
-    o = spread_table(spark, d, "orders")
+    o = page_table(spark, d, "orders")
     day = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(F.date_format("o_orderdate", "M/d/yyyy"))
     name = F.when(F.col("o_orderpriority") == "1-URGENT", "Evening CRA").when(F.col("o_orderpriority") == "2-HIGH", "Workshop").otherwise("Council")
     row = F.concat(F.lit("<tr><td>"), day, F.lit("</td><td>"), name, F.lit("</td><td><a href='/t?pkey="), F.col("o_orderkey").cast("string"), F.lit("'>read</a></td></tr>"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import sql
-from .tables import spread_table, table
+from .tables import page_table, table
 
 
 def _view(rows, name: str) -> None:
@@ -74,7 +74,7 @@ UNION ALL SELECT l_orderkey, l_linenumber, 1, '$' || l_linenumber || '.5 million
 def sql_table_rows(spark, d):
     """Cells of HTML tables made of line items, one row per table row."""
     sql.register(spark)
-    pages = spread_table(spark, d, "lineitem").select(
+    pages = page_table(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber",
         F.concat(F.lit("<table><tr><td>"), "l_linenumber", F.lit(".<td>Part "), "l_partkey", F.lit("<tr><td>9.<td>no link</table>")).alias("html"),
     )
