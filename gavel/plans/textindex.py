@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 
 WORD = r"[\p{L}\p{N}]+"
 BUCKETS = 64
-#: Parts that each bucket of a batch is written in, by document.
+#: Parts that each bucket of a batch is written in, by document: as many as leave a part this many documents, at least SLOTS.
 SLOTS = 4
+SLOT_DOCUMENTS = 40_000
 #: The term that every document has once, at place -1; it is no word.
 EVERY = ""
 #: Query terms up to this number are broadcast to the postings; more are joined by a shuffle.
@@ -57,8 +58,10 @@ class TextIndex:
     def bucket(self, term: str | Column) -> Column:
         return F.pmod(F.xxhash64(term), F.lit(self.buckets)).cast("int").alias("bucket")
 
-    def add(self, texts: DataFrame, doc: str, text: str, batch: str, slots: int = SLOTS) -> TextIndex:
-        """Index one batch of texts, or replace it if it was delivered before."""
+    def add(self, texts: DataFrame, doc: str, text: str, batch: str, slots: int | None = None) -> TextIndex:
+        """Index one batch of texts, or replace it if it was delivered before.  Parts grow in number with the batch, not
+        in size, so that grouping and sorting one stays in memory."""
+        slots = slots or max(SLOTS, -(-texts.count() // SLOT_DOCUMENTS))
         each = texts.select(F.col(doc).alias("doc"), words(text).alias("w")).select("doc", "w", F.size("w").alias("words"))
         with_mark = F.posexplode(F.concat(F.array(F.lit(EVERY)), "w")).alias("at", "term")
         found = each.select("doc", "words", with_mark).select("doc", "words", (F.col("at") - 1).alias("at"), "term")
