@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import groupby
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -292,33 +293,32 @@ STOP_WORDS = (
 ).split()
 
 
+#: A word for matching, and one that carries content: three characters or more, not digits alone, not a stop word.
+WORD = "[A-Z0-9]+"
+_STOP = "|".join(f"{k}(?:{'|'.join(w[1:] for w in ws)})" for k, ws in groupby(sorted(STOP_WORDS), lambda w: w[0]))
+CONTENT_WORD = rf"(?<![A-Z0-9])(?!(?:[0-9]+|{_STOP})(?![A-Z0-9]))[A-Z0-9]{{3,}}"
+
+
 def normalize_for_match(text: ColumnLike) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.upper(col(text)), r"[^A-Z0-9\s]", " "), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.upper(col(text)), "[^A-Z0-9]+", " "))
 
 
 def match_words(text: ColumnLike) -> Column:
-    return F.filter(F.split(normalize_for_match(text), " "), lambda w: F.length(w) > 0)
+    return F.regexp_extract_all(F.upper(col(text)), F.lit(WORD), F.lit(0))
 
 
 def content_words(text: ColumnLike) -> Column:
     """Words of three or more characters, with a letter, not on the stop list; order kept."""
-    stop = F.split(F.lit(" ".join(STOP_WORDS)), " ")  # folded to a constant array
-    return F.filter(
-        match_words(text),
-        lambda w: (F.length(w) >= 3) & w.rlike("[A-Z]") & ~F.array_contains(stop, w),
-    )
+    return F.regexp_extract_all(F.upper(col(text)), F.lit(CONTENT_WORD), F.lit(0))
 
 
 def ngrams(words: Column, n: int) -> Column:
-    """Space-joined n-grams in order, duplicates kept; empty when there are too few words."""
-
-    def grams(ws):
-        places = F.sequence(F.lit(1), F.size(ws) - (n - 1))
-        return F.when(
-            F.size(ws) >= n, F.transform(places, lambda i: F.array_join(F.slice(ws, i, n), " "))
-        ).otherwise(F.array().cast("array<string>"))
+    """Space-joined n-grams in order, duplicates kept; empty when there are too few words.
 
-    return let(words, grams)
+    Words hold no space, so a pattern that looks ahead from every word finds them in the joined text."""
+    gram = " ".join(["[^ ]+"] * n)
+    found = F.regexp_extract_all(F.array_join(words, " "), F.lit(f"(?<![^ ])(?=({gram}))"), F.lit(1))
+    return F.coalesce(found, F.array().cast("array<string>"))
 
 
 def overlap_share(a: Column, b: Column) -> Column:
@@ -337,7 +337,7 @@ def ngram_score(a: Column, b: Column, n: int) -> Column:
 
 def ascii_share(text: ColumnLike) -> Column:
     n = F.length(col(text))
-    return F.when(n > 0, F.length(F.regexp_replace(col(text), r"[^\x00-\x7F]", "")) / n).otherwise(F.lit(0.0))
+    return F.when(n > 0, F.length(F.regexp_replace(col(text), r"[^\x00-\x7F]+", "")) / n).otherwise(F.lit(0.0))
 
 
 def substring_position(needle: ColumnLike, haystack: ColumnLike) -> Column:
