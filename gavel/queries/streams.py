@@ -66,6 +66,8 @@ def streamed_sessions(spark, d):
 
 #: Files that the events arrive in, and how long a row may be late: two files.
 SLICES = 4
+#: Rows whose users share a state, about: states grow in number with the events, not in size.
+STATE_ROWS = 5_000
 
 
 def _arriving(spark, d, out, shape):
@@ -73,19 +75,20 @@ def _arriving(spark, d, out, shape):
     after half of them.  A last file with one row far ahead lets the watermark pass what is open."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     events = table(spark, d, "events").select("user_id", "event_id", "ts", "event_type")
-    low, high = events.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
+    low, high, n = events.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts")), F.count(F.lit(1))).first()
     width = (high - low) // SLICES + 1
     slot = F.floor((F.unix_micros("ts") - low) / width).cast("int") + (F.col("event_id") % 3 == 0).cast("int")  # a third comes one file later
     sliced = stored(events.withColumn("slot", F.least(slot, F.lit(SLICES - 1))), "arriving")
     seconds = 2 * width // 1_000_000 + 1
+    files = max(2, sliced.rdd.getNumPartitions())  # of a batch: more rows arrive in more files, not in longer ones
 
     def arrive(rows):
-        rows.select(events.columns).coalesce(2).write.mode("append").parquet(f"{out}/in")
+        rows.select(events.columns).coalesce(files).write.mode("append").parquet(f"{out}/in")
 
     def run():
-        stream = incremental.new_files(spark, f"{out}/in", events.schema, "parquet", files_per_batch=2)
+        stream = incremental.new_files(spark, f"{out}/in", events.schema, "parquet", files_per_batch=files)
         with stateful.keyed_state(spark):
-            found = shape(stream, f"{seconds} seconds")
+            found = shape(stream, f"{seconds} seconds", -(-n // STATE_ROWS))
             query = (
                 found.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
                 .option("checkpointLocation", f"{out}/state").option("path", f"{out}/table").start()
@@ -104,13 +107,13 @@ def _arriving(spark, d, out, shape):
 
 def streamed_gaps(spark, d):
     """Pauses of more than six hours per user, from state that outlives a restart."""
-    found = _arriving(spark, d, _scratch(spark), lambda s, late: stateful.streamed_gaps(s, "user_id", "ts", "event_id", "event_type", 360, late))
+    found = _arriving(spark, d, _scratch(spark), lambda s, late, buckets: stateful.streamed_gaps(s, "user_id", "ts", "event_id", "event_type", 360, late, buckets=buckets))
     return found.select("user_id", "gap_no", "end_us", "resume_us", F.col("label").alias("resume_speaker"))
 
 
 def streamed_turns(spark, d):
     """Runs of one event type per user without a pause of more than six hours."""
-    return _arriving(spark, d, _scratch(spark), lambda s, late: stateful.streamed_turns(s, "user_id", "ts", "event_id", "event_type", 360, late))
+    return _arriving(spark, d, _scratch(spark), lambda s, late, buckets: stateful.streamed_turns(s, "user_id", "ts", "event_id", "event_type", 360, late, buckets=buckets))
 
 
 STREAMED_GAPS_SQL = """

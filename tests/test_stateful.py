@@ -59,3 +59,13 @@ def test_turns_ties_nulls_and_forgotten_meetings(spark, tmp_path, forget):
     want = [(1, 1, "B", _us(0), _us(0), 1), (1, 2, "A", _us(0), _us(10), 2), (1, 3, None, _us(20), _us(21), 2), (1, 4, None, _us(90), _us(90), 1)]
     want.append((1, 5 if forget is None else 1, "A", _us(50_000), _us(50_000), 1))
     assert sorted(map(str, found)) == sorted(map(str, want))
+
+
+def test_meetings_of_a_bucket_share_a_state(spark, tmp_path):
+    batches = [[_row(m, 10 * m + k, 7 * m + 45 * k * (1 + m % 2), "AB"[k % 2]) for m in range(40) for k in ks] for ks in ((0, 2, 3), (1, 4))]
+    shape = lambda buckets: lambda s: stateful.streamed_gaps(s, "m", "ts", "id", "who", 60, "1000 minutes", buckets=buckets)
+    found = _run(spark, tmp_path / "shared", [*batches, END], shape(3))
+    assert found == [(m, k, _us(7 * m + 90 * (k - 1)), _us(7 * m + 90 * k), "AB"[k % 2]) for m in range(1, 40, 2) for k in range(1, 5)]
+    keys = spark.read.format("state-metadata").load(f"{tmp_path}/shared/state")
+    assert keys.select("operatorName").distinct().first()[0] != "transformWithStateInPandasExec"  # one exchange per state, not per call
+    assert spark.read.format("statestore").load(f"{tmp_path}/shared/state").count() == 3
