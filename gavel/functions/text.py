@@ -327,11 +327,17 @@ def overlap_share(a: Column, b: Column) -> Column:
     return F.when(size > 0, F.size(F.array_intersect(a, b)) / size).otherwise(F.lit(0.0))
 
 
+def share_in(xs: Column, ys: Column) -> Column:
+    """Share of the elements of xs, duplicates counted, that are in ys; by hashing where xs has no duplicates."""
+    distinct = F.size(F.array_distinct(xs)) == F.size(xs)
+    one_by_one = F.size(F.filter(xs, lambda x: F.array_contains(ys, x)))
+    return F.when(distinct, F.size(F.array_intersect(xs, ys))).otherwise(one_by_one) / F.size(xs)
+
+
 def ngram_score(a: Column, b: Column, n: int) -> Column:
     """Share of a's n-grams found in b; share of a's words when either side is short."""
-    found = lambda xs, ys: F.size(F.filter(xs, lambda x: F.array_contains(ys, x))) / F.size(xs)
-    by_gram = let(F.array_distinct(ngrams(b, n)), lambda seen: let(ngrams(a, n), lambda grams: found(grams, seen)))
-    by_word = let(F.array_distinct(b), lambda words: found(a, words))
+    by_gram = let(F.array_distinct(ngrams(b, n)), lambda seen: let(ngrams(a, n), lambda grams: share_in(grams, seen)))
+    by_word = let(F.array_distinct(b), lambda words: share_in(a, words))
     return F.when(F.size(a) == 0, F.lit(0.0)).when((F.size(a) < n) | (F.size(b) < n), by_word).otherwise(by_gram)
 
 

@@ -28,7 +28,7 @@ from ..functions.text import (
 )
 from ..operators.clusters import anchored_clusters
 from ..operators.keyed import best_per_key
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
 
 N = 3
 MIN_SCORE = 0.3
@@ -68,6 +68,7 @@ def ngram_matches(
 
     c_members, c_texts = distinct_texts(captions, caption_id, caption_words, "c")
     s_members, s_texts = distinct_texts(segments, segment_id, segment_words, "s")
+    s_texts = stored(s_texts, "segment-texts")  # two branches read them
 
     # units: n = n-grams for long against long, s = words against short segments,
     # a = words of a short caption against anything
@@ -87,7 +88,7 @@ def ngram_matches(
     ).select(*on, "s_text", F.xxhash64("kind", "g").alias("gram"))
 
     # segment grams that some caption has; counted first, joined to the rare ones after
-    s_hits = s_grams.join(c_grams.select(*on, "gram").distinct(), [*on, "gram"], "left_semi")
+    s_hits = stored(s_grams.join(c_grams.select(*on, "gram").distinct(), [*on, "gram"], "left_semi"), "gram-hits")
     seen = s_hits.groupBy(*on, "gram").agg(F.count(F.lit(1)).alias("df"))
     weighed = c_grams.join(seen, [*on, "gram"], "left").withColumn("df", F.coalesce("df", F.lit(0)))
     # of each caption's grams: the rarest total - ceil(floor * total) + 1 positions
@@ -112,9 +113,9 @@ def ngram_matches(
     )
 
 
-def position_share(caption_text: str, segment_text: str) -> Column:
-    """Where in the segment the caption is said: by substring, else by best window."""
-    window = best_window(content_words(caption_text), content_words(segment_text))["position"]
+def position_share(caption_text: str, segment_text: str, caption_words: str, segment_words: str) -> Column:
+    """Where in the segment the caption is said: by substring, else by best window of content words."""
+    window = best_window(F.col(caption_words), F.col(segment_words))["position"]
     return F.coalesce(substring_position(caption_text, segment_text), window)
 
 
@@ -205,8 +206,11 @@ def align(captions: DataFrame, segments: DataFrame, video: str) -> DataFrame:
     from ..operators.sequence import First, Next, Position, Sequence
 
     on, c_key, s_key = [video], [video, "cap_id"], [video, "seg_id"]
-    # positions come from slim rows; texts are joined back only where they are needed
-    spoken = clean_captions(captions).select(*c_key, "start", "text")
+    # words are found once and stored, as several branches read them; positions come from slim rows, and texts are
+    # joined back only where they are needed
+    words = content_words("text").alias("w")
+    spoken = stored(clean_captions(captions).select(*c_key, "start", "text", words), "captions")
+    segments = stored(segments.select(*s_key, "sec", "text", words), "segments")
     c_meta = Sequence(on, ["cap_id"], ["cap_id"]).apply(spoken.select(*c_key), pos=Position()).withColumn("pos", F.col("pos") - 1)
     s_meta = Sequence(on, ["seg_id"], ["seg_id"]).apply(
         segments.select(*s_key, "sec"), pos=Position(), _base=First("sec"), _next=Next("sec")
@@ -214,23 +218,22 @@ def align(captions: DataFrame, segments: DataFrame, video: str) -> DataFrame:
         *s_key, (F.col("pos") - 1).alias("pos"), (F.col("sec") - F.col("_base")).alias("elapsed"),
         F.coalesce(F.col("_next") - F.col("sec"), F.lit(30)).alias("duration"),
     )
-    said = segments.select(*s_key, "text")
-    words = content_words("text").alias("w")
+    said = segments.select(*s_key, "text", "w")
 
     # matches and pairs are read by several branches below and are small next to the texts
     hits = cut_lineage(
-        ngram_matches(spoken.select(*c_key, words), said.select(*s_key, words), on, "cap_id", "seg_id", "w", "w", short_captions=False)
+        ngram_matches(spoken.select(*c_key, "w"), said.select(*s_key, "w"), on, "cap_id", "seg_id", "w", "w", short_captions=False)
     )
     pairs = (
-        hits.join(spoken.withColumnRenamed("text", "c_text"), c_key).join(c_meta.withColumnRenamed("pos", "c_pos"), c_key)
-        .join(said.withColumnRenamed("text", "s_text"), s_key).join(s_meta.withColumnRenamed("pos", "s_pos"), s_key)
-        .withColumn("share", position_share("c_text", "s_text"))
+        hits.join(spoken.withColumnsRenamed({"text": "c_text", "w": "c_w"}), c_key).join(c_meta.withColumnRenamed("pos", "c_pos"), c_key)
+        .join(said.withColumnsRenamed({"text": "s_text", "w": "s_w"}), s_key).join(s_meta.withColumnRenamed("pos", "s_pos"), s_key)
+        .withColumn("share", position_share("c_text", "s_text", "c_w", "s_w"))
         .withColumn("offset", implied_offset("start", "elapsed", "share", "duration"))
-        .drop("c_text", "s_text")
+        .drop("c_text", "s_text", "c_w", "s_w")
     )
-    opening = c_meta.where(F.col("pos") < EARLY_CAPTIONS).join(spoken, c_key).withColumn("w", words)
-    early = s_meta.where(F.col("pos") < EARLY_SEGMENTS).join(said, s_key).withColumn("w", words)
-    fuzzy = early_matches(opening, early, hits, on, "cap_id", "seg_id").withColumn("share", position_share("c_text", "s_text"))
+    opening = c_meta.where(F.col("pos") < EARLY_CAPTIONS).join(spoken, c_key)
+    early = s_meta.where(F.col("pos") < EARLY_SEGMENTS).join(said, s_key)
+    fuzzy = early_matches(opening, early, hits, on, "cap_id", "seg_id").withColumn("share", position_share("c_text", "s_text", "c_w", "s_w"))
     fuzzy = fuzzy.withColumn("offset", implied_offset("start", "elapsed", "share", "duration"))
     return choose_offset(cut_lineage(pairs), fuzzy, on, "cap_id")
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import best_window, content_words, match_words, substring_position
 from ..plans import align
+from ..session import stored
 from .tables import spread_table, table
 
 
@@ -93,8 +94,9 @@ def early_matches(spark, d):
     from ..operators.sequence import Position, Sequence
 
     c = Sequence(["conv_id"], ["cap_id"], ["cap_id"]).apply(align.clean_captions(_captions(spark, d)), pos=Position())
-    c = c.withColumn("pos", F.col("pos") - 1).withColumn("w", content_words("text"))
+    c = stored(c.withColumn("pos", F.col("pos") - 1).withColumn("w", content_words("text")), "captions")
     s = _segments(spark, d).select("conv_id", "seg_id", "pos", "text", F.col("sec").alias("elapsed"), F.lit(60).alias("duration"), content_words("text").alias("w"))
+    s = stored(s, "segments")
     known = align.ngram_matches(c, s, ["conv_id"], "cap_id", "seg_id", "w", "w")
     out = align.early_matches(c, s, known, ["conv_id"], "cap_id", "seg_id")
     return out.select("conv_id", "cap_id", "seg_id", F.round("score", 6).alias("score"))

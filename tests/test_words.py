@@ -5,7 +5,10 @@ from __future__ import annotations
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from gavel.functions import text
+from gavel.plans import align
 
 ODD = ["", " ", "the", "12", "a1b", "ab", "ABC_the", "straße", "ÀÉ", "the-end", " x yes", "'tis", "123", "1st", "😀and", "andy", "\n", "THEM", "then5", "_", "ﬁne"]
 
@@ -33,3 +36,21 @@ def test_words_follow_the_rules(spark):
 def test_no_word_is_looked_at_by_a_lambda(spark):
     df = spark.createDataFrame([("a b",)], "t string").select(text.match_words("t"), text.content_words("t"))
     assert "lambdafunction" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ngram_score_counts_every_gram_of_the_caption(spark):
+    rng = random.Random(8)
+    pairs = [([rng.choice("ABCD") for _ in range(rng.randrange(1, 9))], [rng.choice("ABCDE") for _ in range(rng.randrange(1, 30))]) for _ in range(200)]
+    pairs.append((list("ABCDEFG"), list("XABCDY")))
+    for a, b, score in spark.createDataFrame(pairs, "a array<string>, b array<string>").select("a", "b", text.ngram_score(F.col("a"), F.col("b"), 3)).collect():
+        xs, ys = ([s[k : k + 3] for k in range(len(s) - 2)] for s in (a, b)) if min(len(a), len(b)) >= 3 else (a, b)
+        assert score == sum(x in ys for x in xs) / len(xs)
+
+
+def test_texts_of_segments_are_read_by_one_branch(spark):
+    words = F.split(F.concat(F.lit("MARK of a long text "), F.col("id").cast("string")), " ")
+    segments = spark.range(9).select(F.lit(1).alias("v"), F.col("id").alias("seg_id"), words.alias("w"))
+    captions = spark.createDataFrame([(1, 5, "MARK of a long text 3".split())], "v int, cap_id long, w array<string>")
+    out = align.ngram_matches(captions, segments, ["v"], "cap_id", "seg_id", "w", "w")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+    assert {(r["seg_id"], r["score"]) for r in out.collect()} == {(k, 1.0 if k == 3 else 0.75) for k in range(9)}
