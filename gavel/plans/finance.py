@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.base import ColumnLike, col, indexes, let, lines_of, squash
+from ..functions.base import ColumnLike, col, indexes, let, lines_of
 from ..functions.money import MONEY, amount_label, amount_value, amounts_in, entry_type, section_of_line, signed_value
 from ..functions.rules import is_second_part
 
@@ -34,7 +34,9 @@ def summary_lines(text: ColumnLike, strict_reference: bool = False) -> Column:
         marked = F.transform(lines, lambda x, i: F.struct(i.alias("i"), section_of_line(x).alias("s")))
         return F.filter(marked, lambda h: h["s"].isNotNull())
 
-    return let(F.transform(lines_of(text), squash), lambda lines: let(headers_of(lines), lambda hs: read(lines, hs)))
+    # white space inside lines is squashed in the whole text, at once
+    squashed = F.regexp_replace(col(text), r"[\s\u00A0&&[^\n]]+", " ")
+    return let(lines_of(squashed), lambda lines: let(headers_of(lines), lambda hs: read(lines, hs)))
 
 
 def _with_money(lines: Column) -> Column:

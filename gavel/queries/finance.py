@@ -5,17 +5,25 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import money
+from ..operators.layout import spread_rows
 from ..plans import finance
-from .tables import spread_table, table
+from .tables import table
 
 
 def _cents(c):
     return F.col(c).cast("decimal(18,2)")
 
 
+#: Rows of one task that makes a text of every row: tasks stay short however many rows there are.
+PRICED_ROWS = 250_000
+
+
 def _priced(spark, d):
     """Line items with prices as shown in text: $1,234.56."""
-    li = spread_table(spark, d, "lineitem")
+    li = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus"
+    )
+    li = spread_rows(li, PRICED_ROWS)
     shown = F.concat(F.lit("$"), F.format_number(_cents("l_extendedprice"), 2))
     return li.withColumn("shown", shown).withColumn("price", _cents("l_extendedprice"))
 
