@@ -299,6 +299,15 @@ _STOP = "|".join(f"{k}(?:{'|'.join(w[1:] for w in ws)})" for k, ws in groupby(so
 CONTENT_WORD = rf"(?<![A-Z0-9])(?!(?:[0-9]+|{_STOP})(?![A-Z0-9]))[A-Z0-9]{{3,}}"
 
 
+#: Characters, ß apart, whose upper case is several characters, ASCII letters among them (ﬁ: FI).
+LONG_UPPER = "[ŉǰẖ-ẚﬀ-ﬆ]"
+
+
+def without_long_upper(text: ColumnLike) -> Column:
+    """Characters whose upper case would be several are blanks, as where upper case goes one by one and they are no letters."""
+    return F.regexp_replace(col(text), LONG_UPPER, " ")
+
+
 def normalize_for_match(text: ColumnLike) -> Column:
     return F.trim(F.regexp_replace(F.upper(col(text)), "[^A-Z0-9]+", " "))
 
